@@ -20,6 +20,10 @@ class PrepareOptions:
     # Hex digits of the split hash used as rank buckets: 16**k buckets, so the
     # offset table that is broadcast has at most 16**k rows whatever the data size.
     rank_bucket_hex_digits: int = 4
+    # Spread the raw rows over the cluster before the regex work: True, False,
+    # or None = only when the input has fewer files than task slots (a small
+    # input whose few row groups would otherwise each be one task).
+    rebalance_input: bool | None = None
 
     def check(self) -> None:
         """Ratios must sum to one (rounded to 6 places) and each be in [0, 1]."""

@@ -129,6 +129,7 @@ def finish_clean(deduped: DataFrame, opts: PrepareOptions = PrepareOptions()) ->
         training_text(F.col("prompt_text"), F.col("target_text"), opts.template).alias("text"),
         F.size("target_codes").cast("int").alias("num_codes"),
         "had_label_mismatch", "row_no", "target_codes",
+        *[c for c in ("split_key", "split") if c in deduped.columns],
     )
 
 
@@ -136,10 +137,31 @@ _CARRY = ("row_no", "example_id", "ehr_text", "instruction", "raw_icd_code", "ra
           "target_text", "target_codes", "had_label_mismatch")
 
 
+def accepted_rows(classified: DataFrame) -> DataFrame:
+    return classified.where(F.col("reject_reason").isNull()).select(*_CARRY)
+
+
+def accepted_ids(classified: DataFrame) -> DataFrame:
+    """Distinct accepted ids (= the kept ids), narrow and partially aggregated."""
+    return classified.where(F.col("reject_reason").isNull()).select("example_id").distinct()
+
+
 def clean_rows(classified: DataFrame, opts: PrepareOptions = PrepareOptions()) -> DataFrame:
     """Accepted, deduplicated rows in the clean layout (+ ``row_no``, ``target_codes``)."""
-    accepted = classified.where(F.col("reject_reason").isNull()).select(*_CARRY)
-    return finish_clean(first_seen(accepted), opts)
+    return finish_clean(first_seen(accepted_rows(classified)), opts)
+
+
+def clean_split_rows(classified: DataFrame, opts: PrepareOptions = PrepareOptions()) -> DataFrame:
+    """Deduplicated rows with ``split_key`` and ``split``, prompt columns built last.
+
+    One shuffle of wide rows (the dedup); the split thresholds come from the
+    narrow accepted ids through a scalar subquery.
+    """
+    from notecodes.operators.split import assign_splits
+
+    deduped = first_seen(accepted_rows(classified))
+    labelled = assign_splits(deduped, opts, ids=accepted_ids(classified))
+    return finish_clean(labelled, opts)
 
 
 def clean_table(raw: DataFrame, opts: PrepareOptions = PrepareOptions()) -> DataFrame:

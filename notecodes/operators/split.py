@@ -1,11 +1,14 @@
 """Seeded exact-size train/validation/test split (W2), limits (L1), invariants.
 
-The rank is global but no task sees the whole table: rows are bucketed by a
-hex prefix of their split hash, bucket sizes are counted (partial aggregation),
-a running sum over the bucket table gives each bucket's offset, and a
-``row_number`` inside each bucket adds the local rank. The bucket table has at
-most ``16**k`` rows, a bound that does not grow with the data, so it is safe to
-broadcast.
+Rows are ordered by ``split_key = sha256('<seed>:' || example_id)``. The first
+``n_train`` keys are train, the next ``n_validation`` validation, the rest test,
+so a row's split only needs two threshold keys: the keys at ranks ``n_train``
+and ``n_train + n_validation``. They are found on the narrow id column alone:
+ids are bucketed by a hex prefix of their key, bucket sizes are counted
+(partial aggregation), a running sum over the bucket table (at most ``16**k``
+rows, whatever the data size) locates the two target buckets, and only those
+two buckets are ranked. The wide rows are then labelled by comparison with a
+one-row scalar subquery: no shuffle of wide rows, no task sees the whole table.
 """
 
 from __future__ import annotations
@@ -37,44 +40,96 @@ def split_sizes(n: Column, opts: PrepareOptions) -> dict[str, Column]:
     return {"n_train": n - holdout, "n_validation": holdout - test, "n_test": test}
 
 
-def global_rank(df: DataFrame, key: Column, hex_digits: int, rank_col: str = "split_rank") -> DataFrame:
-    """1-based rank of every row by the hex string ``key`` (unique per row).
+def _bucketed(ids: DataFrame, opts: PrepareOptions) -> DataFrame:
+    key = split_hash(F.col("example_id"), opts.seed)
+    return ids.select(key.alias("_key")).withColumn("_bucket", F.substring("_key", 1, opts.rank_bucket_hex_digits))
 
-    Adds ``rank_col`` and ``_n`` (total rows). One shuffle of ``df`` by bucket;
-    the bucket table is ``<= 16**hex_digits`` rows.
+
+def _bucket_offsets(keyed: DataFrame) -> DataFrame:
+    """``_bucket, _cnt, _offset`` (rows in earlier buckets) and ``_n`` (all rows).
+
+    The windows run over the bucket table, at most ``16**k`` rows.
     """
-    keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, hex_digits))
     counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_bucket",
+    return counts.select(
+        "_bucket", "_cnt",
         F.coalesce(F.sum("_cnt").over(running), F.lit(0)).alias("_offset"),
         F.sum("_cnt").over(Window.partitionBy()).alias("_n"),
     )
+
+
+def split_thresholds(ids: DataFrame, opts: PrepareOptions = PrepareOptions()) -> DataFrame:
+    """One row ``t_train, t_validation`` from the distinct kept ids.
+
+    ``t_train`` is the key at rank ``n_train`` and ``t_validation`` the key at
+    rank ``n_train + n_validation`` (NULL when that rank is 0).
+    """
+    keyed = _bucketed(ids, opts)
+    offsets = _bucket_offsets(keyed)
+    sizes = split_sizes(F.col("_n"), opts)
+    wanted = F.array(
+        F.struct(F.lit("t_train").alias("name"), sizes["n_train"].alias("rank")),
+        F.struct(F.lit("t_validation").alias("name"), (sizes["n_train"] + sizes["n_validation"]).alias("rank")),
+    )
+    targets = (
+        offsets.select("_bucket", "_offset", "_cnt", "_n", F.explode(wanted).alias("t"))
+        .where((F.col("t.rank") > F.col("_offset")) & (F.col("t.rank") <= F.col("_offset") + F.col("_cnt")))
+        .select("_bucket", "_n", F.col("t.name").alias("name"), (F.col("t.rank") - F.col("_offset")).alias("local"))
+    )
+    # ``targets`` has at most two rows (two ranks), so the broadcast is bounded;
+    # only the rows of those two buckets reach the window.
     local = Window.partitionBy("_bucket").orderBy("_key")
+    picked = (
+        keyed.join(F.broadcast(targets), "_bucket")
+        .withColumn("_rn", F.row_number().over(local))
+        .where(F.col("_rn") == F.col("local"))
+    )
+    return picked.agg(
+        F.max(F.when(F.col("name") == "t_train", F.col("_key"))).alias("t_train"),
+        F.max(F.when(F.col("name") == "t_validation", F.col("_key"))).alias("t_validation"),
+    )
+
+
+def label_split(key: Column, thresholds: Column) -> Column:
+    """``train`` up to ``t_train``, ``validation`` up to ``t_validation``, else ``test``."""
     return (
-        keyed.join(F.broadcast(offsets), "_bucket")
-        .withColumn(rank_col, F.col("_offset") + F.row_number().over(local))
-        .drop("_bucket", "_offset", "_key")
+        F.when(key <= thresholds["t_train"], F.lit("train"))
+        .when(key <= thresholds["t_validation"], F.lit("validation"))
+        .otherwise(F.lit("test"))
     )
 
 
-def assign_splits(clean: DataFrame, opts: PrepareOptions = PrepareOptions()) -> DataFrame:
-    """Add ``split`` and ``split_rank`` to deduplicated clean rows.
+def assign_splits(deduped: DataFrame, opts: PrepareOptions = PrepareOptions(), ids: DataFrame | None = None) -> DataFrame:
+    """Add ``split_key`` and ``split`` to deduplicated rows.
 
-    Rank by the seeded hash of ``example_id``: ranks ``1..n_train`` are train,
-    the next ``n_validation`` validation, the rest test.
+    ``ids`` are the distinct kept ids (default: ``deduped.example_id``; pass a
+    narrow source, e.g. the distinct accepted ids, so the threshold subquery
+    never touches wide columns).
     """
     opts.check()
-    ranked = global_rank(clean, split_hash(F.col("example_id"), opts.seed), opts.rank_bucket_hex_digits)
-    sizes = split_sizes(F.col("_n"), opts)
-    r = F.col("split_rank")
-    split = (
-        F.when(r <= sizes["n_train"], F.lit("train"))
-        .when(r <= sizes["n_train"] + sizes["n_validation"], F.lit("validation"))
-        .otherwise(F.lit("test"))
+    ids = deduped.select("example_id") if ids is None else ids
+    th = split_thresholds(ids, opts).select(F.struct("t_train", "t_validation").alias("t")).scalar()
+    keyed = deduped.withColumn("split_key", split_hash(F.col("example_id"), opts.seed)).withColumn("_t", th)
+    return keyed.withColumn("split", label_split(F.col("split_key"), F.col("_t"))).drop("_t")
+
+
+def global_rank(df: DataFrame, opts: PrepareOptions = PrepareOptions(), rank_col: str = "split_rank") -> DataFrame:
+    """Exact 1-based rank by ``split_key`` for every row (unique keys).
+
+    For when the rank itself is wanted: rank = bucket offset + ``row_number``
+    inside the bucket; one shuffle of ``df`` by bucket, the offset table is
+    bounded by ``16**k`` rows and broadcast.
+    """
+    keyed = df.withColumn("_key", split_hash(F.col("example_id"), opts.seed)).withColumn(
+        "_bucket", F.substring("_key", 1, opts.rank_bucket_hex_digits))
+    offsets = _bucket_offsets(keyed.select("_key", "_bucket")).select("_bucket", "_offset")
+    local = Window.partitionBy("_bucket").orderBy("_key")
+    return (
+        keyed.join(F.broadcast(offsets), "_bucket")
+        .withColumn(rank_col, F.col("_offset") + F.row_number().over(local))
+        .drop("_bucket", "_offset", "_key")
     )
-    return ranked.withColumn("split", split).drop("_n")
 
 
 def split_counts(split_df: DataFrame) -> DataFrame:
@@ -82,7 +137,7 @@ def split_counts(split_df: DataFrame) -> DataFrame:
     return split_df.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def limit_first(df: DataFrame, n: int | None, order_col: str = "split_rank") -> DataFrame:
+def limit_first(df: DataFrame, n: int | None, order_col: str = "split_key") -> DataFrame:
     """L1: the first ``n`` rows in split order; ``None`` keeps all rows.
 
     ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps its top

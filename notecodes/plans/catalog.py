@@ -49,7 +49,7 @@ def clean_rows(spark, sf):
 
 
 def splits(spark, sf):
-    return split.assign_splits(clean_rows(spark, sf), OPTS)
+    return clean.clean_split_rows(classified(spark, sf), OPTS)
 
 
 def predictions(spark, sf):
@@ -189,7 +189,7 @@ def q_split_sizes(spark, sf):
 
 
 def q_split_assignment(spark, sf):
-    return splits(spark, sf).select("example_id", "split_rank", "split")
+    return split.global_rank(splits(spark, sf), OPTS).select("example_id", "split_rank", "split")
 
 
 def q_split_invariants(spark, sf):
@@ -197,7 +197,7 @@ def q_split_invariants(spark, sf):
 
 
 def q_first_n_train(spark, sf):
-    return split.limit_first(_train(spark, sf), 2048).select("example_id", "split_rank")
+    return split.limit_first(_train(spark, sf), 2048).select("example_id", "split_key")
 
 
 # ---- step 6: profile ------------------------------------------------------------
@@ -229,7 +229,7 @@ def q_token_length_summary(spark, sf):
 
 def q_dataset_report(spark, sf):
     c = classified(spark, sf)
-    return profile.dataset_report(raw(spark, sf), split.assign_splits(clean.clean_rows(c, OPTS), OPTS),
+    return profile.dataset_report(raw(spark, sf), clean.clean_split_rows(c, OPTS),
                                   clean.cleaning_stats(c), OPTS.sample_report_size)
 
 
@@ -311,8 +311,8 @@ def q_parse_predictions(spark, sf):
 
 def q_save_and_reload_split(spark, sf):
     out = scratch_path(spark, "splits")
-    io.save_splits(splits(spark, sf).select("example_id", "split_rank", "target_text", "row_no", "split"), out)
-    return io.read_split(spark, out, "test").select("example_id", "split_rank", "target_text", "row_no")
+    io.save_splits(splits(spark, sf).select("example_id", "split_key", "target_text", "row_no", "split"), out)
+    return io.read_split(spark, out, "test").select("example_id", "split_key", "target_text", "row_no")
 
 
 def q_jsonl_notes(spark, sf):

@@ -152,7 +152,7 @@ ranked AS (
 sized AS (SELECT *, CAST(ceil(round(CAST({HOLD!r} AS DOUBLE) * n_rows, 6)) AS BIGINT) AS n_hold FROM ranked),
 sized2 AS (SELECT *, CAST(ceil(round(CAST({TEST_SHARE!r} AS DOUBLE) * n_hold, 6)) AS BIGINT) AS n_test FROM sized),
 splits AS (
-  SELECT * EXCLUDE (n_rows, n_hold, n_test),
+  SELECT * EXCLUDE (n_rows, n_hold, n_test), sha256('{OPTS.seed}:' || example_id) AS split_key,
     CASE WHEN split_rank <= n_rows - n_hold THEN 'train'
          WHEN split_rank <= n_rows - n_test THEN 'validation' ELSE 'test' END AS split
   FROM sized2),
@@ -311,7 +311,7 @@ UNION ALL SELECT 'rows_in_splits', CAST(count(*) FILTER (WHERE split IN ('train'
 UNION ALL SELECT 'distinct_ids', CAST(count(*) AS BIGINT) FROM per_id
 UNION ALL SELECT 'ids_in_two_splits', CAST(count(*) FILTER (WHERE k > 1) AS BIGINT) FROM per_id
 UNION ALL SELECT 'notes_in_two_splits', CAST(count(*) FILTER (WHERE k > 1) AS BIGINT) FROM per_note"""),
-        "first_n_train": q("SELECT example_id, split_rank FROM splits WHERE split = 'train' ORDER BY split_rank LIMIT 2048"),
+        "first_n_train": q("SELECT example_id, split_key FROM splits WHERE split = 'train' ORDER BY split_rank LIMIT 2048"),
         # step 6: profile
         "instruction_profile": q("SELECT instruction, min(row_no) AS first_row, count(*) AS n FROM raw GROUP BY instruction"),
         "instruction_preview": q("""
@@ -366,7 +366,7 @@ SELECT CAST(floor({tokens('text')} / 128) AS BIGINT) AS length_bucket, count(*)
 SELECT example_id, {strip('prediction')} AS raw_prediction, {canon(strip('prediction'))} AS normalized_prediction,
        array_to_string({extract(strip('prediction'))}, '|') AS codes FROM preds"""),
         # step 10: io, stream
-        "save_and_reload_split": q("SELECT example_id, split_rank, target_text, row_no FROM splits WHERE split = 'test'"),
+        "save_and_reload_split": q("SELECT example_id, split_key, target_text, row_no FROM splits WHERE split = 'test'"),
         "jsonl_notes": q(SCORED + "\nSELECT row_no, normalized_prediction FROM scored"),
         "load_or_prepare": q("SELECT example_id, split FROM splits"),
         "stream_score": q(SCORED + "\nSELECT row_no, normalized_prediction FROM scored"),

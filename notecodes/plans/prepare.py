@@ -14,13 +14,29 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from notecodes.config import PrepareOptions
-from notecodes.operators.clean import CLEAN_COLUMNS, classify, clean_rows, cleaning_stats, rejects
+from notecodes.operators.clean import CLEAN_COLUMNS, classify, clean_split_rows, cleaning_stats, rejects
 from notecodes.operators.profile import dataset_report
-from notecodes.operators.split import assign_splits
 from notecodes.session import scratch_path
 from notecodes.sources.io import read_split, save_splits, table_exists, write_json_document
 
-OUTPUT_COLUMNS = CLEAN_COLUMNS + ("row_no", "split_rank", "split")
+OUTPUT_COLUMNS = CLEAN_COLUMNS + ("row_no", "split_key", "split")
+
+
+def rebalanced(spark: SparkSession, raw: DataFrame, opts: PrepareOptions) -> DataFrame:
+    """Hash-partition the raw rows by ``row_no`` when the scan is too coarse.
+
+    Hash partitioning (not round-robin) keeps retries deterministic and needs no
+    sort. With many input files (the large-data case) the scan is already
+    spread and nothing is added.
+    """
+    slots = spark.sparkContext.defaultParallelism
+    wanted = opts.rebalance_input
+    if wanted is None:
+        try:
+            wanted = len(raw.inputFiles()) < slots
+        except Exception:  # noqa: BLE001 - sources without a file listing
+            wanted = False
+    return raw.repartition(2 * slots, "row_no") if wanted else raw
 
 
 @dataclass
@@ -35,10 +51,11 @@ def prepare(spark: SparkSession, raw: DataFrame, out_dir: str, opts: PrepareOpti
             report_path: str | None = None, stage_dir: str | None = None) -> Prepared:
     """Run the whole Prepare job; returns lazy views over what was written."""
     opts.check()
+    raw = rebalanced(spark, raw, opts)
     stage = stage_dir or scratch_path(spark, "classified")
     classify(raw, opts).write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
-    split_df = assign_splits(clean_rows(staged, opts), opts)
+    split_df = clean_split_rows(staged, opts)
     save_splits(split_df.select(*OUTPUT_COLUMNS), out_dir)
     written = read_split(spark, out_dir)
     stats = cleaning_stats(staged)
