@@ -50,7 +50,8 @@ def numeric_summary(df: DataFrame, value_col: str, by: Sequence[str] = (),
     for p in percentiles:
         index = F.least(n - 1, F.rint(F.lit(p / 100) * (n - 1)))
         aggs.append(F.min(F.when(F.col("_cum") > index, F.col("_v"))).cast("double").alias(f"p{p}"))
-    return cum.groupBy(*keys).agg(*aggs)
+    # A global aggregate over no rows still yields one (all-NULL) row: drop it.
+    return cum.groupBy(*keys).agg(*aggs).where(F.col("count").isNotNull())
 
 
 def profile_series(sample: DataFrame, token_count=approx_token_count) -> DataFrame:
