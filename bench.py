@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -26,7 +25,7 @@ from notecodes.operators import evaluate  # noqa: E402
 from notecodes.operators.clean import cleaning_stats  # noqa: E402
 from notecodes.operators.profile import dataset_report  # noqa: E402
 from notecodes.plans.prepare import prepare  # noqa: E402
-from notecodes.session import get_session  # noqa: E402
+from notecodes.session import get_session, scratch_path  # noqa: E402
 from notecodes.sources import fixtures, io  # noqa: E402
 from notecodes.streaming.score_stream import run_stream_once  # noqa: E402
 
@@ -73,8 +72,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="notecodes-bench")
-    ckpt = spark.conf.get("spark.checkpoint.dir", None)
-    base = ckpt or tempfile.mkdtemp(prefix="notecodes-bench-")
+    base = scratch_path(spark, "bench")
     opts = PrepareOptions()
     # Warm-up on the smallest scale (JIT, Python workers); not timed.
     warm = os.path.join(os.path.dirname(sf_dir), "sf0.001")

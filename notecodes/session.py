@@ -36,12 +36,16 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only when
-    neither is set (local tests) is a private temporary folder created and set.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
+    when neither is set and the master is local (tests, benches) is a private
+    temporary folder created and set; on a cluster that would be a folder other
+    executors cannot see, so it is an error instead.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("Set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3).")
     local = tempfile.mkdtemp(prefix="notecodes-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
