@@ -99,15 +99,21 @@ def dataset_report(raw: DataFrame, split_df: DataFrame, stats: DataFrame, sample
     union and folded into one row, so no join is needed.
     """
     sample = first_rows(split_df, sample_size)
+    if sample_size is not None:
+        # The limit leaves the sample in one partition; spread its (at most
+        # ``sample_size``) rows so the token counting runs on every core.
+        slots = split_df.sparkSession.sparkContext.defaultParallelism
+        sample = sample.repartition(max(1, min(slots, sample_size // 64 + 1)), "row_no")
     summaries = numeric_summary(profile_series(sample, token_count), "value", by=["metric"])
+    instructions = instruction_profile(raw)
     parts = [
-        raw.agg(F.count(F.lit(1)).cast("bigint").alias("raw_rows")),
+        instructions.agg(F.sum("n").cast("bigint").alias("raw_rows"),
+                         F.count(F.lit(1)).cast("bigint").alias("unique_instruction_count")),
         split_df.groupBy("split").count().agg(
             F.sum("count").cast("bigint").alias("clean_rows"),
             F.map_from_entries(F.collect_list(F.struct("split", F.col("count").cast("bigint")))).alias("splits"),
         ),
-        instruction_profile(raw).agg(F.count(F.lit(1)).cast("bigint").alias("unique_instruction_count")),
-        instruction_preview(raw).agg(
+        instructions.orderBy("first_row").limit(3).agg(
             F.transform(F.sort_array(F.collect_list(F.struct("first_row", "instruction"))),
                         lambda s: s["instruction"]).alias("instruction_preview")
         ),
