@@ -76,11 +76,16 @@ def length_bucket(tokens: Column, width: int = 128) -> Column:
     return F.floor(tokens / F.lit(width)).cast("bigint")
 
 
-def group_by_length(df: DataFrame, num_partitions: int, text_col: str = "text", token_count=approx_token_count) -> DataFrame:
+def group_by_length(df: DataFrame, num_partitions: int, text_col: str = "text", token_count=approx_token_count,
+                    tie_breaker: str = "example_id") -> DataFrame:
     """L5 re-aimed: range-partition by token length and sort inside partitions, so
-    batches read in order hold rows of similar length."""
+    batches read in order hold rows of similar length.
+
+    The unique ``tie_breaker`` is part of the range key, so one very common
+    length is split across partitions instead of landing in one.
+    """
     with_len = df.withColumn("n_tokens", token_count(F.col(text_col)))
-    return with_len.repartitionByRange(num_partitions, "n_tokens").sortWithinPartitions("n_tokens")
+    return with_len.repartitionByRange(num_partitions, "n_tokens", tie_breaker).sortWithinPartitions("n_tokens", tie_breaker)
 
 
 def length_buckets(df: DataFrame, width: int = 128, text_col: str = "text", token_count=approx_token_count) -> DataFrame:
