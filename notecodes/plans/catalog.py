@@ -345,6 +345,23 @@ def q_stream_score(spark, sf):
     return sink.select("row_no", "normalized_prediction")
 
 
+def q_evaluation_file(spark, sf):
+    """S10 through the Evaluate job: prepare, evaluate the test split with given
+    predictions, write rows + ``.metrics.json``, read the metrics back."""
+    from notecodes.config import EvaluateOptions
+    from notecodes.plans.evaluate_job import read_metrics, run_evaluation
+    from notecodes.plans.prepare import prepare
+
+    prepared = scratch_path(spark, "prepared")
+    done = prepare(spark, raw(spark, sf), prepared, OPTS)
+    test_ids = done.splits.where(F.col("split") == "test").select("example_id")
+    test_preds = predictions(spark, sf).join(test_ids, "example_id", "left_semi")
+    out = scratch_path(spark, "eval") + "/test_predictions.jsonl"
+    run_evaluation(spark, prepared, out, EvaluateOptions(split="test", max_samples=None), predictions=test_preds)
+    m = read_metrics(spark, out)
+    return r9(m, evaluate.EVALUATION_FIELDS).select("split", "num_examples", *evaluate.EVALUATION_FIELDS)
+
+
 def queries() -> dict[str, Query]:
     names = [
         "extract_codes", "canonical_text", "normalize_code", "code_variants",
@@ -360,6 +377,7 @@ def queries() -> dict[str, Query]:
         "template_check", "request_check", "over_budget", "length_buckets",
         "batch_predict", "parse_predictions",
         "save_and_reload_split", "jsonl_notes", "load_or_prepare", "report_json", "stream_score",
+        "evaluation_file",
     ]
     g = globals()
     return {n: g[f"q_{n}"] for n in names}

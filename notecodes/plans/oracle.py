@@ -370,5 +370,6 @@ SELECT example_id, {strip('prediction')} AS raw_prediction, {canon(strip('predic
         "jsonl_notes": q(SCORED + "\nSELECT row_no, normalized_prediction FROM scored"),
         "load_or_prepare": q("SELECT example_id, split FROM splits"),
         "stream_score": q(SCORED + "\nSELECT row_no, normalized_prediction FROM scored"),
+        "evaluation_file": q(_evaluation_select("split").replace("FROM m3 GROUP BY split", "FROM m3 WHERE split = 'test' GROUP BY split")),
     }
     return {k: v.strip() for k, v in sql.items()}
