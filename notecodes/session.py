@@ -55,3 +55,25 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings sized for a run over ``input_bytes`` of raw notes on ``total_cores``.
+
+    The classify stage is CPU-bound (regex over text), so input splits are kept
+    at 128 MB; shuffle partitions target ~200 MB each (at least three waves of
+    tasks), and AQE coalesces small ones and splits skewed joins at run time.
+    Example: 100 TB on 8,000 cores -> 524,288 shuffle partitions.
+    """
+    mb = 1024 * 1024
+    shuffle = max(3 * total_cores, input_bytes // (200 * mb))
+    shuffle = 1 << max(0, int(shuffle - 1).bit_length())  # next power of two
+    return {
+        "spark.sql.files.maxPartitionBytes": str(128 * mb),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.maxConcurrentOutputFileWriters": "4",
+    }

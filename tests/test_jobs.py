@@ -83,3 +83,17 @@ def test_rejects_and_stats_agree(spark):
     by_reason = {r.reject_reason: r["count"] for r in clean.rejects(c).groupBy("reject_reason").count().collect()}
     for reason, n in by_reason.items():
         assert stats[reason] == n
+
+
+def test_batch_inference_job(spark):
+    from notecodes.plans.score_job import run_batch_inference
+
+    src = scratch_path(spark, "notes-src")
+    io.write_jsonl(fixtures.notes_table(spark, SF0001).select("note", "instruction"), src)
+    with pytest.raises(ValueError):
+        run_batch_inference(spark, src, None)
+    q = scratch_path(spark, "quarantine")
+    out = run_batch_inference(spark, src, scratch_path(spark, "scored"), quarantine_path=q)
+    n_bad = spark.read.json(q).count()
+    assert out.count() + n_bad == 200 and n_bad > 0
+    assert out.where(F.col("normalized_prediction") != "").count() > 0
