@@ -227,12 +227,34 @@ def q_token_length_summary(spark, sf):
     return profile.numeric_summary(profile.profile_series(_sample(spark, sf)), "value", by=["metric"])
 
 
-def q_dataset_report(spark, sf):
+def _report(spark, sf):
     c = classified(spark, sf)
     return profile.dataset_report(raw(spark, sf), clean.clean_split_rows(c, OPTS),
                                   clean.cleaning_stats(c), OPTS.sample_report_size)
 
 
+REPORT_SERIES = ("prompt_token_length", "full_text_token_length", "num_codes_per_example")
+
+
+def q_dataset_report(spark, sf):
+    """R1 flattened to scalar columns (the timestamp is left out; ``report_json``
+    checks the whole document)."""
+    r = _report(spark, sf)
+    stats = F.array_join(F.array_sort(F.transform(
+        F.map_entries("cleaning_stats"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ";")
+    cols = [
+        "raw_rows", "clean_rows",
+        F.col("splits")["train"].alias("n_train"), F.col("splits")["validation"].alias("n_validation"),
+        F.col("splits")["test"].alias("n_test"),
+        F.array_join("columns", "|").alias("columns"), "unique_instruction_count",
+        F.array_join("instruction_preview", "|", "NULL").alias("instruction_preview"),
+        stats.alias("cleaning_stats"), "sample_size_for_report",
+    ]
+    for series in REPORT_SERIES:
+        cols += [F.col(series)[f].alias(f"{series}_{f}") for f in profile.SUMMARY_FIELDS]
+    return r.select(*cols)
+
+
 # ---- step 7: evaluate ----------------------------------------------------------
 
 def q_example_metrics(spark, sf):
@@ -334,7 +356,7 @@ def q_load_or_prepare(spark, sf):
 
 def q_report_json(spark, sf):
     out = scratch_path(spark, "report")
-    io.write_json_document(q_dataset_report(spark, sf), out)
+    io.write_json_document(_report(spark, sf), out)
     return io.read_json_document(spark, out)
 
 

@@ -208,6 +208,44 @@ SELECT {k}CAST(any_value(n) AS DOUBLE) AS count, CAST(min(v) AS DOUBLE) AS min,
 FROM hc {group}"""
 
 
+def _report_sql() -> str:
+    series = ("prompt_token_length", "full_text_token_length", "num_codes_per_example")
+    fields = ("count", "min", "max", "mean", "p50", "p90", "p95", "p99")
+    summary = summary_sql(f"""
+SELECT 'prompt_token_length' AS metric, {tokens('prompt_text')} AS value FROM sample_
+UNION ALL SELECT 'full_text_token_length', {tokens('text')} FROM sample_
+UNION ALL SELECT 'num_codes_per_example', num_codes FROM sample_""", "value", by="metric")
+    head, select = summary.rsplit("\nSELECT ", 1)
+    flat = ",\n".join(
+        f"(SELECT {f} FROM summ WHERE metric = '{s}') AS {s}_{f}" for s in series for f in fields
+    )
+    return q(f"""
+, sample_ AS (SELECT * FROM clean ORDER BY row_no LIMIT 1000){head.replace(", src AS (", ", src AS (", 1)},
+summ AS (SELECT {select}),
+inst AS (SELECT instruction, min(row_no) AS first_row, count(*) AS n FROM raw GROUP BY instruction),
+per AS (SELECT reject_reason, count(*) AS n, count(DISTINCT example_id) AS ids FROM cid GROUP BY 1),
+mis AS (SELECT count(*) FILTER (WHERE had_label_mismatch) AS n FROM kept),
+items AS (
+  SELECT 'rows_seen' AS stat, sum(n) AS n FROM per
+  UNION ALL SELECT reject_reason, n FROM per WHERE reject_reason IS NOT NULL
+  UNION ALL SELECT 'duplicate_rows', n - ids FROM per WHERE reject_reason IS NULL
+  UNION ALL SELECT 'rows_kept', ids FROM per WHERE reject_reason IS NULL
+  UNION ALL SELECT 'label_mismatches', n FROM mis)
+SELECT
+  (SELECT CAST(sum(n) AS BIGINT) FROM inst) AS raw_rows,
+  (SELECT count(*) FROM splits) AS clean_rows,
+  (SELECT count(*) FROM splits WHERE split = 'train') AS n_train,
+  (SELECT count(*) FROM splits WHERE split = 'validation') AS n_validation,
+  (SELECT count(*) FROM splits WHERE split = 'test') AS n_test,
+  'row_no|ehr_text|instruction|output|icd_code' AS columns,
+  (SELECT count(*) FROM inst) AS unique_instruction_count,
+  (SELECT string_agg(coalesce(instruction, 'NULL'), '|' ORDER BY first_row)
+     FROM (SELECT * FROM inst ORDER BY first_row LIMIT 3)) AS instruction_preview,
+  (SELECT string_agg(stat || '=' || CAST(n AS BIGINT), ';' ORDER BY stat) FROM items WHERE n > 0) AS cleaning_stats,
+  (SELECT count(*) FROM sample_) AS sample_size_for_report,
+{flat}""")
+
+
 def _evaluation_select(by: str = "") -> str:
     keys = f"{by}, " if by else ""
     group = f"GROUP BY {by}" if by else ""
@@ -370,6 +408,7 @@ SELECT example_id, {strip('prediction')} AS raw_prediction, {canon(strip('predic
         "jsonl_notes": q(SCORED + "\nSELECT row_no, normalized_prediction FROM scored"),
         "load_or_prepare": q("SELECT example_id, split FROM splits"),
         "stream_score": q(SCORED + "\nSELECT row_no, normalized_prediction FROM scored"),
+        "dataset_report": _report_sql(),
         "evaluation_file": q(_evaluation_select("split").replace("FROM m3 GROUP BY split", "FROM m3 WHERE split = 'test' GROUP BY split")),
     }
     return {k: v.strip() for k, v in sql.items()}
