@@ -118,7 +118,6 @@ def dataset_report(raw: DataFrame, split_df: DataFrame, stats: DataFrame, sample
                         lambda s: s["instruction"]).alias("instruction_preview")
         ),
         stats.agg(F.map_from_entries(F.collect_list(F.struct("stat", "n"))).alias("cleaning_stats")),
-        sample.agg(F.count(F.lit(1)).cast("bigint").alias("sample_size_for_report")),
         summaries.agg(F.map_from_entries(F.collect_list(F.struct("metric", summary_struct()))).alias("_m")),
     ]
     stacked = parts[0]
@@ -129,7 +128,10 @@ def dataset_report(raw: DataFrame, split_df: DataFrame, stats: DataFrame, sample
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("created_at_utc"),
         "raw_rows", "clean_rows", "splits",
         F.array(*[F.lit(c) for c in raw.columns]).alias("columns"),
-        "unique_instruction_count", "instruction_preview", "cleaning_stats", "sample_size_for_report",
+        "unique_instruction_count", "instruction_preview", "cleaning_stats",
+        # every sampled row has a code count, so that series' count is the sample size
+        F.coalesce(F.col("_m")["num_codes_per_example"]["count"].cast("bigint"), F.lit(0).cast("bigint"))
+        .alias("sample_size_for_report"),
         F.col("_m")["prompt_token_length"].alias("prompt_token_length"),
         F.col("_m")["full_text_token_length"].alias("full_text_token_length"),
         F.col("_m")["num_codes_per_example"].alias("num_codes_per_example"),
