@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from notecodes.config import PrepareOptions
 from notecodes.functions.codes import code_variants, extract_codes, leaks, normalize_code
-from notecodes.functions.prompts import DEFAULT_TEMPLATE, chat_messages, completion_text, prompt_text, system_prompt
+from notecodes.functions.prompts import DEFAULT_TEMPLATE, chat_messages, completion_text, system_prompt
 from notecodes.operators import checks, clean, evaluate, profile, score, split
 from notecodes.session import scratch_path
 from notecodes.sources import fixtures, io

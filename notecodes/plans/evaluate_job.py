@@ -9,7 +9,6 @@ the prompts first.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from notecodes.config import EvaluateOptions, PredictOptions
 from notecodes.operators import evaluate
@@ -47,4 +46,3 @@ def read_metrics(spark: SparkSession, output_path: str) -> DataFrame:
     return doc.select("split", "model_id", "num_examples", "metrics.*")
 
 
-__all__ = ["evaluation_rows", "run_evaluation", "read_metrics", "F"]

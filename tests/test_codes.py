@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from notecodes.functions.codes import CODE_PATTERN, code_variants, extract_codes, leaks, normalize_code
 from notecodes.functions.metrics import example_metrics
 from notecodes.functions.prompts import DEFAULT_SYSTEM_PROMPT, DEFAULT_TEMPLATE
-from notecodes.functions.text import STRIP_PATTERN, clean_text, py_strip
+from notecodes.functions.text import STRIP_PATTERN, clean_text
 from tests.conftest import one_col
 
 MATCHES = [
@@ -119,7 +119,6 @@ def test_strip_matches_python(spark):
                      F.regexp_replace(F.coalesce("t", F.lit("")), STRIP_PATTERN, "").alias("b")).collect()
     assert [r.a for r in rows] == [(s or "").strip() for s in STRIPS]
     assert [r.b for r in rows] == [(s or "").strip() for s in STRIPS]
-    assert py_strip is not None
 
 
 def test_default_prompt_has_no_code_like_word():
