@@ -44,21 +44,20 @@ def normalize_code(code: Column) -> Column:
     return F.when(cleaned == "", F.lit("")).otherwise(F.rtrim(shaped, F.lit(".")))
 
 
-def _normalize_match(match: Column) -> Column:
-    """``normalize_code`` specialised to pattern matches.
+def extract_codes(text: Column) -> Column:
+    """Distinct canonical codes in first-seen order; null or empty text gives ``[]``.
 
-    A match is three characters, an optional dot, then up to four characters, so
-    normalization reduces to: drop the dot, put one back after character three.
+    Matches are joined with ``;`` (never part of a match) and normalized on that
+    short string in one pass: a match is three characters, an optional dot and
+    up to four more, so its canonical form is the first three characters, a dot,
+    the rest, with a trailing dot dropped. No lambda is involved, so the whole
+    projection stays in whole-stage codegen.
     """
-    d = F.replace(match, F.lit("."), F.lit(""))
-    return F.when(F.length(d) > 3, F.concat(F.substring(d, 1, 3), F.lit("."), d.substr(F.lit(4), F.length(d)))).otherwise(d)
-
-
-def extract_codes(text: Column) -> Column:
-    """Distinct canonical codes in first-seen order; null or empty text gives ``[]``."""
     matches = F.regexp_extract_all(F.upper(F.coalesce(text, F.lit(""))), F.lit(CODE_PATTERN), 0)
-    normalized = F.transform(matches, _normalize_match)
-    return F.array_distinct(F.filter(normalized, lambda c: c != ""))
+    joined = F.array_join(matches, ";")
+    dotted = F.regexp_replace(joined, r"([^;]{3})\.?([^;]*)", "$1.$2")
+    canonical = F.regexp_replace(dotted, r"\.(;|$)", "$1")
+    return F.array_distinct(F.array_remove(F.split(canonical, ";"), ""))
 
 
 def codes_to_text(codes: Column) -> Column:
@@ -80,17 +79,14 @@ def code_variants(code: Column) -> Column:
 def leaks(text: Column, codes: Column) -> Column:
     """True when any code, dotted or undotted, is a substring of ``upper(text)``.
 
-    ``codes`` must hold canonical codes (as produced by ``extract_codes``); the
-    canonical form is a fixed point of normalization, so its variants are the
-    code itself and the code without its dot. Substring match, no word boundary.
-    ``upper(text)`` is bound once through a one-element array: a plain
-    projection would be folded back into the lambda and run once per code.
+    ``codes`` must hold canonical codes (as produced by ``extract_codes``: only
+    ``[A-Z0-9.]``); the canonical form is a fixed point of normalization, so
+    its variants are the code itself and the code without its dot. Substring
+    match, no word boundary. The variants become one alternation
+    (``E11\\.9|I10|E119|I10``) matched once over ``upper(text)``: one scan of
+    the text per row, whatever the number of codes, and no lambda.
     """
-    hit = F.element_at(
-        F.transform(
-            F.array(F.upper(text)),
-            lambda u: F.exists(codes, lambda c: u.contains(c) | u.contains(F.replace(c, F.lit("."), F.lit("")))),
-        ),
-        1,
-    )
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(False)).otherwise(F.coalesce(hit, F.lit(False)))
+    joined = F.array_join(codes, "|")
+    variants = F.concat(F.replace(joined, F.lit("."), F.lit("\\.")), F.lit("|"), F.replace(joined, F.lit("."), F.lit("")))
+    empty = (F.coalesce(text, F.lit("")) == "") | (F.coalesce(F.size(codes), F.lit(0)) == 0)
+    return F.when(empty, F.lit(False)).otherwise(F.regexp_like(F.upper(text), variants))

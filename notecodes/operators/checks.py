@@ -57,7 +57,7 @@ def request_violations(requests: DataFrame) -> DataFrame:
     for name, (lo, hi) in REQUEST_RANGES.items():
         c = F.col(name)
         rules.append(F.when(c.isNull() | (c < lo) | (c > hi), F.lit(name)))
-    violations = F.filter(F.array(*rules), lambda v: v.isNotNull())
+    violations = F.array_compact(F.array(*rules))
     return requests.withColumn("violations", violations).withColumn("valid", F.size("violations") == 0)
 
 

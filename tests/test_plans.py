@@ -21,6 +21,14 @@ def test_classification_runs_once_under_a_filter(spark):
     assert "Generate inline" in plan
 
 
+def test_classification_is_lambda_free_and_codegen(spark):
+    c = clean.classify(fixtures.raw_examples(spark, SF0001))
+    plan = _plan(c)
+    assert "lambdafunction" not in plan
+    projects = [line for line in plan.splitlines() if "Project [" in line]
+    assert projects and all(line.lstrip("+- :").startswith("*(") for line in projects)
+
+
 def test_dedup_limits_before_the_shuffle(spark):
     c = clean.classify(fixtures.raw_examples(spark, SF0001))
     plan = _plan(clean.first_seen(clean.accepted_rows(c)))
