@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from notecodes.config import PrepareOptions
-from notecodes.functions.codes import canonical_text, codes_to_text, extract_codes, leaks
+from notecodes.functions.codes import canonical_text, codes_to_text, extract_codes, leaks, leaks_in_upper
 from notecodes.functions.prompts import prompt_text, system_prompt, training_text
 from notecodes.functions.text import clean_text
 
@@ -67,11 +67,15 @@ def with_targets(stripped: DataFrame) -> DataFrame:
     ).drop("_out_codes", "_icd_codes")
 
 
+NOTE_UPPER = "_note_upper"
+
+
 def reject_reason(opts: PrepareOptions = PrepareOptions()) -> Column:
     """the first failing check names the reason; NULL means accepted.
 
     ``CASE`` stops at the first true branch, so the leakage scans only run on
-    rows with a note and a target.
+    rows with a note and a target. Needs the ``_note_upper`` column (the note
+    upper-cased once, see ``classify``).
     """
     note, target, codes = F.col("ehr_text"), F.col("target_text"), F.col("target_codes")
     system = system_prompt(F.col("instruction"), opts.system_prompt)
@@ -83,7 +87,7 @@ def reject_reason(opts: PrepareOptions = PrepareOptions()) -> Column:
     return (
         F.when(note == "", F.lit(EMPTY_EHR_TEXT))
         .when(target == "", F.lit(EMPTY_TARGET_TEXT))
-        .when(leaks(note, codes), F.lit(LEAK_IN_NOTE))
+        .when(leaks_in_upper(F.col(NOTE_UPPER), codes), F.lit(LEAK_IN_NOTE))
         .when(prompt_leak, F.lit(LEAK_IN_PROMPT))
         .when(canonical_text(target) == "", F.lit(INVALID_TRAINING_TEXT))
     )
@@ -102,7 +106,13 @@ def fence(df: DataFrame) -> DataFrame:
 
 def classify(raw: DataFrame, opts: PrepareOptions = PrepareOptions()) -> DataFrame:
     """Every raw row with ``reject_reason`` and, when accepted, ``example_id``."""
-    df = with_targets(strip_inputs(raw)).withColumn("reject_reason", reject_reason(opts))
+    # The note is upper-cased once, in its own projection: the leakage check reads
+    # it several times and Catalyst keeps a non-cheap column that is read more
+    # than once out of the consumer. It is dropped before the fence.
+    reaches_leak_check = (F.col("ehr_text") != "") & (F.col("target_text") != "")
+    df = with_targets(strip_inputs(raw)).withColumn(
+        NOTE_UPPER, F.when(reaches_leak_check, F.upper(F.col("ehr_text"))).otherwise(F.lit("")))
+    df = df.withColumn("reject_reason", reject_reason(opts)).drop(NOTE_UPPER)
     df = df.withColumn(
         "example_id",
         F.when(F.col("reject_reason").isNull(), example_id(F.col("ehr_text"), F.col("target_text"))),
