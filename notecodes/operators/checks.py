@@ -52,8 +52,11 @@ def require_not_empty(df: DataFrame, what: str = "Training dataset") -> None:
 
 
 def request_violations(requests: DataFrame) -> DataFrame:
-    """adds ``violations array<string>`` (names of failed rules) and ``valid``."""
-    rules = [F.when(F.coalesce(F.col("note"), F.lit("")) == "", F.lit("note"))]
+    """adds ``violations array<string>`` (names of failed rules) and ``valid``.
+
+    ``note`` must be present (not null); each setting must lie in its range.
+    """
+    rules = [F.when(F.col("note").isNull(), F.lit("note"))]  # required; "" is a valid note
     for name, (lo, hi) in REQUEST_RANGES.items():
         c = F.col(name)
         rules.append(F.when(c.isNull() | (c < lo) | (c > hi), F.lit(name)))

@@ -269,7 +269,7 @@ FROM mic"""
 
 
 def _violations() -> str:
-    rules = ["CASE WHEN coalesce(note, '') = '' THEN 'note' END"]
+    rules = ["CASE WHEN note IS NULL THEN 'note' END"]
     for name, (lo, hi) in REQUEST_RANGES.items():
         rules.append(f"CASE WHEN {name} IS NULL OR {name} < {lo} OR {name} > {hi} THEN '{name}' END")
     return "list_filter([" + ", ".join(rules) + "], lambda v_: v_ IS NOT NULL)"
@@ -407,7 +407,8 @@ SELECT example_id, {strip('prediction')} AS raw_prediction, {canon(strip('predic
         "save_and_reload_split": q("SELECT example_id, split_key, target_text, row_no FROM splits WHERE split = 'test'"),
         "jsonl_notes": q(SCORED + "\nSELECT row_no, normalized_prediction FROM scored"),
         "load_or_prepare": q("SELECT example_id, split FROM splits"),
-        "stream_score": q(SCORED + "\nSELECT row_no, normalized_prediction FROM scored"),
+        "stream_score": q(SCORED.replace("FROM raw)", "FROM raw WHERE ehr_text IS NOT NULL)")
+                          + "\nSELECT row_no, normalized_prediction FROM scored"),
         "dataset_report": _report_sql(),
         "evaluation_file": q(_evaluation_select("split").replace("FROM m3 GROUP BY split", "FROM m3 WHERE split = 'test' GROUP BY split")),
     }

@@ -24,7 +24,7 @@ def run_batch_inference(spark: SparkSession, input_path: str, output_path: str |
     if not output_path:
         raise ValueError("An output path is required when an input file is given.")
     notes = with_row_no(read_notes_jsonl(spark, input_path))
-    has_note = F.coalesce(F.col("note"), F.lit("")) != ""
+    has_note = F.col("note").isNotNull()  # required; "" is a valid note
     scored = score_notes(notes.where(has_note), factory, options)
     write_jsonl(scored.select(*SCORED_COLUMNS), output_path)
     if quarantine_path:

@@ -59,7 +59,7 @@ def test_request_violations(spark):
         [("n", 32, 0.0, 1.0, 1), ("", 0, 2.5, 1.0, 9), (None, 128, 2.0, 0.0, 8)],
         "note string, max_new_tokens int, temperature double, top_p double, num_beams int")
     rows = checks.request_violations(df).collect()
-    assert [r.violations for r in rows] == [[], ["note", "max_new_tokens", "temperature", "num_beams"], ["note"]]
+    assert [r.violations for r in rows] == [[], ["max_new_tokens", "temperature", "num_beams"], ["note"]]
 
 
 def test_token_run_check(spark):
@@ -72,11 +72,16 @@ def test_stream_equals_batch(spark):
     notes = fixtures.notes_table(spark, SF0001)
     src = scratch_path(spark, "stream-in")
     io.write_jsonl(notes, src)
-    streamed = run_stream_once(spark, src, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"))
-    batch = score.score_notes(notes)
+    quarantine = scratch_path(spark, "stream-bad")
+    streamed = run_stream_once(spark, src, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt"),
+                               quarantine_dir=quarantine)
+    batch = score.score_notes(notes.where(F.col("note").isNotNull()))
     cols = ["row_no", "prompt_text", "raw_prediction", "normalized_prediction"]
     assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
-    assert streamed.count() == batch.count() == 200
+    assert batch.select(cols).exceptAll(streamed.select(cols)).count() == 0
+    bad = spark.read.parquet(quarantine)
+    assert streamed.count() + bad.count() == 200 and bad.count() > 0
+    assert {tuple(r.violations) for r in bad.select("violations").collect()} == {("note",)}
     assert batch.where(F.col("normalized_prediction") != "").count() > 0
 
 
