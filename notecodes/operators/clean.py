@@ -120,12 +120,32 @@ def classify(raw: DataFrame, opts: PrepareOptions = PrepareOptions()) -> DataFra
     return fence(df)
 
 
-def first_seen(accepted: DataFrame) -> DataFrame:
-    """Keep the earliest ``row_no`` per ``example_id``.
+def first_rows(accepted: DataFrame) -> DataFrame:
+    """``example_id, row_no`` of the earliest row per id (narrow, one row per id).
 
-    ``row_number() = 1`` lets Catalyst plant a partial WindowGroupLimit before the
-    shuffle, so a hot duplicate is cut to one row per map task before it moves.
+    A hash aggregate with a map-side partial step: a hot duplicate is reduced
+    to one row per map task before anything moves.
     """
+    return accepted.groupBy("example_id").agg(F.min("row_no").alias("row_no"))
+
+
+def first_seen(accepted: DataFrame, kept: DataFrame | None = None) -> DataFrame:
+    """W1 + J2: keep the earliest ``row_no`` per ``example_id``.
+
+    The ids are deduplicated on the narrow ``(example_id, row_no)`` columns
+    (``first_rows``); the wide rows are then kept by a semi join on the unique
+    ``row_no``: they are shuffled once and never sorted (shuffle-hash join with
+    the narrow side as build; AQE turns it into a broadcast when the narrow side
+    is measured small at run time). Read ``accepted`` from a staged table: it
+    is scanned twice (narrow, then wide).
+    """
+    kept = first_rows(accepted) if kept is None else kept
+    return accepted.join(kept.select("row_no").hint("shuffle_hash"), "row_no", "left_semi")
+
+
+def first_seen_window(accepted: DataFrame) -> DataFrame:
+    """W1 as a window (same rows as ``first_seen``): ``row_number() = 1`` with a
+    partial WindowGroupLimit before the shuffle. Sorts the wide rows."""
     w = Window.partitionBy("example_id").orderBy("row_no")
     return accepted.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
@@ -169,8 +189,9 @@ def clean_split_rows(classified: DataFrame, opts: PrepareOptions = PrepareOption
     """
     from notecodes.operators.split import assign_splits
 
-    deduped = first_seen(accepted_rows(classified))
-    labelled = assign_splits(deduped, opts, ids=accepted_ids(classified))
+    accepted = accepted_rows(classified)
+    kept = first_rows(accepted)
+    labelled = assign_splits(first_seen(accepted, kept), opts, ids=kept.select("example_id"))
     return finish_clean(labelled, opts)
 
 

@@ -29,23 +29,35 @@ def test_classification_is_lambda_free_and_codegen(spark):
     assert projects and all(line.lstrip("+- :").startswith("*(") for line in projects)
 
 
-def test_dedup_limits_before_the_shuffle(spark):
+def test_window_dedup_limits_before_the_shuffle(spark):
     c = clean.classify(fixtures.raw_examples(spark, SF0001))
-    plan = _plan(clean.first_seen(clean.accepted_rows(c)))
-    partial = plan.index("WindowGroupLimit [example_id")
+    plan = _plan(clean.first_seen_window(clean.accepted_rows(c)))
     assert "Partial" in plan and "Final" in plan
-    # the partial limit sits below (after, in the string) the exchange
+    # the partial limit sits below (later in the string than) the exchange
     assert plan.index("Exchange hashpartitioning(example_id") < plan.rindex("Partial")
-    assert partial >= 0
 
 
-def test_split_moves_wide_rows_once(spark):
+def test_dedup_reduces_ids_map_side_and_never_sorts_wide_rows(spark):
+    c = clean.classify(fixtures.raw_examples(spark, SF0001))
+    plan = _plan(clean.first_seen(clean.accepted_rows(c)))
+    assert "ShuffledHashJoin [row_no" in plan and "LeftSemi, BuildRight" in plan
+    assert "partial_min(row_no" in plan  # map-side combine before the id exchange
+    assert "Sort [" not in plan
+
+
+def test_same_rows_as_window_dedup(spark):
+    c = clean.classify(fixtures.raw_examples(spark, SF0001))
+    a = clean.first_seen(clean.accepted_rows(c)).select("example_id", "row_no")
+    b = clean.first_seen_window(clean.accepted_rows(c)).select("example_id", "row_no")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_split_never_sorts_or_reshuffles_wide_rows(spark):
     c = clean.classify(fixtures.raw_examples(spark, SF0001))
     plan = _plan(clean.clean_split_rows(c))
-    main = plan.split("Subquery")[0] + plan.split("+- Window [row_number() windowspecdefinition(example_id")[-1]
-    # wide rows: one hash exchange (by example_id); the thresholds run in a subquery
-    assert main.count("Exchange hashpartitioning(example_id") == 1
-    assert "Exchange hashpartitioning(_bucket" not in main
+    main = plan.split("Subquery")[0] + plan.split("ShuffledHashJoin")[-1]
+    assert "Exchange hashpartitioning(_bucket" not in main  # thresholds run in the subquery
+    assert "Sort [" not in main
 
 
 def test_length_grouping_range_key_has_tie_breaker(spark):
