@@ -24,6 +24,9 @@ class PrepareOptions:
     # or None = only when the input has fewer files than task slots (a small
     # input whose few row groups would otherwise each be one task).
     rebalance_input: bool | None = None
+    # Parquet codec of the written table (text compresses well with zstd; the
+    # temporary staged table keeps Spark's default, faster codec).
+    output_compression: str = "zstd"
 
     def check(self) -> None:
         """Ratios must sum to one (rounded to 6 places) and each be in [0, 1]."""

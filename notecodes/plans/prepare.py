@@ -56,7 +56,7 @@ def prepare(spark: SparkSession, raw: DataFrame, out_dir: str, opts: PrepareOpti
     classify(raw, opts).write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
     split_df = clean_split_rows(staged, opts)
-    save_splits(split_df.select(*OUTPUT_COLUMNS), out_dir)
+    save_splits(split_df.select(*OUTPUT_COLUMNS), out_dir, opts.output_compression)
     written = read_split(spark, out_dir)
     stats = cleaning_stats(staged)
     report = dataset_report(raw, written, stats, opts.sample_report_size)

@@ -62,9 +62,12 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", split: str |
     return with_row_no(df)
 
 
-def save_splits(split_df: DataFrame, out_dir: str) -> None:
+def save_splits(split_df: DataFrame, out_dir: str, compression: str | None = None) -> None:
     """One table, partitioned by ``split`` (readers prune to one split)."""
-    split_df.write.mode("overwrite").partitionBy("split").parquet(out_dir)
+    writer = split_df.write.mode("overwrite").partitionBy("split")
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.parquet(out_dir)
 
 
 def read_split(spark: SparkSession, out_dir: str, split: str | None = None) -> DataFrame:

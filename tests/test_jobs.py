@@ -97,3 +97,14 @@ def test_batch_inference_job(spark):
     n_bad = spark.read.json(q).count()
     assert out.count() + n_bad == 200 and n_bad > 0
     assert out.where(F.col("normalized_prediction") != "").count() > 0
+
+
+def test_read_raw_json_picks_one_split(spark):
+    path = scratch_path(spark, "raw-json")
+    rows = [("note a", None, "Codes: E11.9", None, "train"), ("note b", "x", None, "I10", "test"),
+            ("note c", None, "K21.9", None, "train")]
+    df = spark.createDataFrame(rows, "ehr_text string, instruction string, output string, icd_code string, split string")
+    io.write_jsonl(df, path)
+    raw = io.read_raw(spark, path, fmt="json", split="train")
+    assert sorted(r.ehr_text for r in raw.collect()) == ["note a", "note c"]
+    assert raw.select("row_no").distinct().count() == 2
