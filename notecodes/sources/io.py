@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -62,12 +64,39 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", split: str |
     return with_row_no(df)
 
 
+@contextmanager
+def session_conf(spark: SparkSession, key: str, value: str, only_if: str | None = None):
+    """Set a SQL conf for the duration of a block, then restore it.
+
+    With ``only_if``, the value is set only when the current one equals it.
+    """
+    old = spark.conf.get(key, None)
+    change = only_if is None or (old or "") == only_if
+    if change:
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if change:
+            if old is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, old)
+
+
 def save_splits(split_df: DataFrame, out_dir: str, compression: str | None = None) -> None:
-    """One table, partitioned by ``split`` (readers prune to one split)."""
+    """One table, partitioned by ``split`` (readers prune to one split).
+
+    With at most a few open writers per task (one per split value) the writer
+    does not sort the wide rows by ``split`` first; that needs
+    ``spark.sql.maxConcurrentOutputFileWriters`` > 0, set here for the write
+    when the session leaves it at 0.
+    """
     writer = split_df.write.mode("overwrite").partitionBy("split")
     if compression:
         writer = writer.option("compression", compression)
-    writer.parquet(out_dir)
+    with session_conf(split_df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "4", only_if="0"):
+        writer.parquet(out_dir)
 
 
 def read_split(spark: SparkSession, out_dir: str, split: str | None = None) -> DataFrame:
