@@ -346,6 +346,16 @@ def q_jsonl_notes(spark, sf):
     return back.select("row_no", "normalized_prediction")
 
 
+def q_note_files(spark, sf):
+    """Each raw note as its own file (one folder per ``row_no``), read back
+    one row per file and stripped."""
+    out = scratch_path(spark, "note-files")
+    notes = fixtures.notes_table(spark, sf).where(F.col("note").isNotNull())
+    notes.select("row_no", "note").repartition("row_no").write.partitionBy("row_no").text(out)
+    back = io.read_note_files(spark, out)
+    return back.select(F.col("row_no").cast("bigint").alias("row_no"), clean.clean_text(F.col("note")).alias("note"))
+
+
 def q_load_or_prepare(spark, sf):
     from notecodes.plans.prepare import load_or_prepare
 
@@ -398,7 +408,7 @@ def queries() -> dict[str, Query]:
         "prediction_rows", "prediction_gaps",
         "template_check", "request_check", "over_budget", "length_buckets",
         "batch_predict", "parse_predictions",
-        "save_and_reload_split", "jsonl_notes", "load_or_prepare", "report_json", "stream_score",
+        "save_and_reload_split", "jsonl_notes", "note_files", "load_or_prepare", "report_json", "stream_score",
         "evaluation_file",
     ]
     g = globals()

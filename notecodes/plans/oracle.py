@@ -407,6 +407,7 @@ SELECT example_id, {strip('prediction')} AS raw_prediction, {canon(strip('predic
         "save_and_reload_split": q("SELECT example_id, split_key, target_text, row_no FROM splits WHERE split = 'test'"),
         "jsonl_notes": q(SCORED + "\nSELECT row_no, normalized_prediction FROM scored"),
         "load_or_prepare": q("SELECT example_id, split FROM splits"),
+        "note_files": q(f"SELECT row_no, {strip('ehr_text')} AS note FROM raw WHERE ehr_text IS NOT NULL"),
         "stream_score": q(SCORED.replace("FROM raw)", "FROM raw WHERE ehr_text IS NOT NULL)")
                           + "\nSELECT row_no, normalized_prediction FROM scored"),
         "dataset_report": _report_sql(),

@@ -119,9 +119,11 @@ def read_notes_jsonl(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_note_files(spark: SparkSession, path: str) -> DataFrame:
-    """A directory of note files, one row per file (``path``, ``note``)."""
+    """A directory of note files, one row per file (``path``, ``note``, plus
+    any partition columns found in the folder names)."""
     df = spark.read.text(path, wholetext=True)
-    return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("note"))
+    extra = [c for c in df.columns if c != "value"]
+    return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("note"), *extra)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
