@@ -66,9 +66,11 @@ def example_metric_rows(pairs: DataFrame, prediction: str = "prediction", refere
     return coded.withColumns({**m, "true_positives": true_positives(F.col("pred_codes"), F.col("ref_codes")).cast("double")})
 
 
-def evaluation_aggregates(per_row: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def evaluation_aggregates(per_row: DataFrame, by: Sequence[str] = (), with_total: bool = False) -> DataFrame:
     """Macro means, micro P/R/F1 and row count, per group or overall.
 
+    ``with_total`` adds the overall row (group columns NULL) in the same
+    aggregation (``rollup``), so per-split and overall metrics cost one pass.
     Empty input: the seven rate fields are 0.0 and the two count means stay
     NULL, as the reference returns them only when there are rows.
     """
@@ -78,7 +80,10 @@ def evaluation_aggregates(per_row: DataFrame, by: Sequence[str] = ()) -> DataFra
         F.sum("num_reference_codes").alias("_nr"),
         F.count(F.lit(1)).cast("bigint").alias("num_examples"),
     ]
-    agg = per_row.groupBy(*by).agg(*sums) if by else per_row.agg(*sums)
+    if by and with_total:
+        agg = per_row.rollup(*by).agg(*sums)
+    else:
+        agg = per_row.groupBy(*by).agg(*sums) if by else per_row.agg(*sums)
 
     def ratio(num: Column, den: Column) -> Column:
         return F.when(F.coalesce(den, F.lit(0.0)) > 0, num / den).otherwise(F.lit(0.0))

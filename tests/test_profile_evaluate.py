@@ -95,3 +95,15 @@ def test_report_row(spark, clean_rows):
     assert rep.sample_size_for_report == 152
     assert len(rep.instruction_preview) == 3
     assert rep.num_codes_per_example["count"] == 152.0
+
+
+def test_rollup_total_equals_overall(clean_rows):
+    preds = fixtures.fixture_predictions(clean_rows)
+    per_row = evaluate.example_metric_rows(evaluate.pair_predictions(clean_rows.withColumn(
+        "split", F.when(F.col("row_no") % 2 == 0, "a").otherwise("b")), preds))
+    rows = evaluate.evaluation_aggregates(per_row, by=["split"], with_total=True).collect()
+    total = [r for r in rows if r.split is None][0]
+    overall = evaluate.evaluation_aggregates(per_row).first()
+    assert len(rows) == 3 and total.num_examples == overall.num_examples == 152
+    for c in evaluate.EVALUATION_FIELDS:
+        assert total[c] == pytest.approx(overall[c], abs=1e-12)
