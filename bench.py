@@ -86,7 +86,7 @@ def main() -> None:
     times = {k: statistics.median(r[k] for r in runs) for k in runs[0]}
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
-        "metric": "headline_jobs_total_median_of_3",
+        "metric": f"headline_jobs_total_median_of_{REPEATS}",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},

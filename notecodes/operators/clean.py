@@ -14,13 +14,16 @@ from notecodes.functions.codes import canonical_text, codes_to_text, extract_cod
 from notecodes.functions.prompts import prompt_text, system_prompt, training_text
 from notecodes.functions.text import clean_text
 
-# Reject reasons, in the order the checks run.
+# Reject reasons, in the order the checks run; the other cleaning
+# statistics; the separator between note and target in the content id.
 EMPTY_EHR_TEXT = "empty_ehr_text"
 EMPTY_TARGET_TEXT = "empty_target_text"
 LEAK_IN_NOTE = "label_leakage_in_ehr_text"
 LEAK_IN_PROMPT = "label_leakage_in_prompt"
 INVALID_TRAINING_TEXT = "invalid_training_text"
 REJECT_REASONS = (EMPTY_EHR_TEXT, EMPTY_TARGET_TEXT, LEAK_IN_NOTE, LEAK_IN_PROMPT, INVALID_TRAINING_TEXT)
+ROWS_SEEN, DUPLICATE_ROWS, ROWS_KEPT, LABEL_MISMATCHES = "rows_seen", "duplicate_rows", "rows_kept", "label_mismatches"
+ID_SEPARATOR = "|||"
 
 # Declared clean schema (the ten reference columns, in order); ``row_no`` is ours.
 CLEAN_COLUMNS = (
@@ -33,7 +36,7 @@ RAW_COLUMNS = ("ehr_text", "instruction", "output", "icd_code")
 
 def example_id(note: Column, target: Column) -> Column:
     """SHA-256 hex of ``note || '|||' || target`` (both already stripped)."""
-    return F.sha2(F.concat(note, F.lit("|||"), target), 256)
+    return F.sha2(F.concat(note, F.lit(ID_SEPARATOR), target), 256)
 
 
 def strip_inputs(raw: DataFrame) -> DataFrame:
@@ -228,11 +231,11 @@ def cleaning_stats(classified: DataFrame) -> DataFrame:
         return F.struct(stat.alias("stat"), n.cast("bigint").alias("n"))
 
     items = F.array(
-        item(F.lit("rows_seen"), F.col("rows")),
+        item(F.lit(ROWS_SEEN), F.col("rows")),
         item(F.col("reject_reason"), F.col("rows")),
-        item(F.when(accepted, F.lit("duplicate_rows")), F.col("rows") - F.col("ids")),
-        item(F.when(accepted, F.lit("rows_kept")), F.col("ids")),
-        item(F.when(accepted, F.lit("label_mismatches")), F.col("mismatches")),
+        item(F.when(accepted, F.lit(DUPLICATE_ROWS)), F.col("rows") - F.col("ids")),
+        item(F.when(accepted, F.lit(ROWS_KEPT)), F.col("ids")),
+        item(F.when(accepted, F.lit(LABEL_MISMATCHES)), F.col("mismatches")),
     )
     return (
         per_reason.select(F.explode(items).alias("s"))

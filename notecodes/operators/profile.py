@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from notecodes.functions.tokens import approx_token_count
 
+# The reported percentiles.
 PERCENTILES = (50, 90, 95, 99)
 SUMMARY_FIELDS = ("count", "min", "max", "mean") + tuple(f"p{p}" for p in PERCENTILES)
 
