@@ -1,7 +1,7 @@
 """Cleaning: strip, choose the target, reject with a reason, content id, dedup, stats.
 
-Everything is column expressions plus one window; rows are never handled one at
-a time in Python.
+Everything is column expressions, one aggregate and one semi join (the dedup);
+rows are never handled one at a time in Python.
 """
 
 from __future__ import annotations
@@ -136,14 +136,16 @@ def first_seen(accepted: DataFrame, kept: DataFrame | None = None) -> DataFrame:
     """W1 + J2: keep the earliest ``row_no`` per ``example_id``.
 
     The ids are deduplicated on the narrow ``(example_id, row_no)`` columns
-    (``first_rows``); the wide rows are then kept by a semi join on the unique
-    ``row_no``: they are shuffled once and never sorted (shuffle-hash join with
+    (``first_rows``); the wide rows are then kept by a semi join on that unique
+    pair: they are shuffled once and never sorted (shuffle-hash join with
     the narrow side as build; AQE turns it into a broadcast when the narrow side
     is measured small at run time). Read ``accepted`` from a staged table: it
     is scanned twice (narrow, then wide).
     """
     kept = first_rows(accepted) if kept is None else kept
-    return accepted.join(kept.select("row_no").hint("shuffle_hash"), "row_no", "left_semi")
+    # Keyed on (example_id, row_no), so a source repeating a row number cannot
+    # let a second row through; the pair is unique and spreads evenly.
+    return accepted.join(kept.hint("shuffle_hash"), ["example_id", "row_no"], "left_semi")
 
 
 def first_seen_window(accepted: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ def test_window_dedup_limits_before_the_shuffle(spark):
 def test_dedup_reduces_ids_map_side_and_never_sorts_wide_rows(spark):
     c = clean.classify(fixtures.raw_examples(spark, SF0001))
     plan = _plan(clean.first_seen(clean.accepted_rows(c)))
-    assert "ShuffledHashJoin [row_no" in plan and "LeftSemi, BuildRight" in plan
+    assert "ShuffledHashJoin [example_id" in plan and "LeftSemi, BuildRight" in plan
     assert "partial_min(row_no" in plan  # map-side combine before the id exchange
     assert "Sort [" not in plan
 
