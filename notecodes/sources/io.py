@@ -21,29 +21,61 @@ NOTES_SCHEMA = StructType([
 ])
 
 
-def with_row_no(df: DataFrame) -> DataFrame:
-    """Source order as ``row_no`` for file sources without one.
-
-    Parquet exposes ``_metadata.row_index``: ``row_no`` = rows in the files
-    before this one (ordered by path) + the row's index in its file. The per-file
-    table has one row per input file, the list the driver already holds to plan
-    the scan, so broadcasting it is bounded; no window runs over the rows and no
-    single task sees a whole file. Other formats get ``monotonically_increasing_id()``
-    taken right after the scan, which follows file order inside each file.
+# Per-split tables (one row per input file or file block) up to this many rows
+# are broadcast (about 100-200 bytes a row); beyond it they are joined by a
+# plain join that AQE plans from measured sizes.
+ROW_NO_BROADCAST_MAX = 1_000_000
+
+
+def _split_count_estimate(df: DataFrame) -> int:
+    """Upper bound on the rows of the per-split table: files plus input bytes
+    over the split size (both known to the driver before any task runs)."""
+    spark = df.sparkSession
+    files = len(df.inputFiles())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b") or 134217728)
+    return files + size // max(split, 1) + 1
+
+
+def with_row_no(df: DataFrame, broadcast_max: int = ROW_NO_BROADCAST_MAX) -> DataFrame:
+    """Source order as ``row_no`` (0-based, dense) for file sources without one.
+
+    Each row gets the key of its file split ``(_file, _block)`` and its position
+    ``_pos`` inside that split: Parquet exposes ``_metadata.row_index`` (the
+    whole file is one unit); text formats (JSON, CSV) expose
+    ``_metadata.file_block_start``, and a task reads its blocks one after the
+    other, so ``monotonically_increasing_id()`` minus its smallest value in the
+    block is the row's position in the block. ``row_no`` = rows in earlier
+    splits (ordered by path, then block start) + position. The per-split table
+    is one row per file or block, a list the driver already holds to plan the
+    scan; it is broadcast when the driver's estimate of its size is under
+    ``broadcast_max`` rows, else joined without a hint. No window runs over the
+    rows and no task sees a whole file. Number rows before any row filter (the
+    counts must cover the same rows as the positions).
     """
     if "row_no" in df.columns:
         return df
     meta_fields = df.select("_metadata").schema["_metadata"].dataType.fieldNames()
-    if "row_index" not in meta_fields:
-        return df.withColumn("row_no", F.monotonically_increasing_id())
-    keyed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_pos"))
-    files = keyed.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = files.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
+    file_col = F.col("_metadata.file_path").alias("_file")
+    if "row_index" in meta_fields:
+        keyed = df.select("*", file_col, F.lit(0).cast("bigint").alias("_block"),
+                          F.col("_metadata.row_index").alias("_pos"))
+        splits = keyed.groupBy("_file", "_block").agg(
+            F.count(F.lit(1)).alias("_rows"), F.lit(0).cast("bigint").alias("_first"))
+    else:
+        keyed = df.select("*", file_col, F.col("_metadata.file_block_start").alias("_block"),
+                          F.monotonically_increasing_id().alias("_pos"))
+        splits = keyed.groupBy("_file", "_block").agg(
+            F.count(F.lit(1)).alias("_rows"), F.min("_pos").alias("_first"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_file", "_block", "_first",
+                           F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
+    if _split_count_estimate(df) <= broadcast_max:
+        splits = F.broadcast(splits)
     return (
-        keyed.join(F.broadcast(files), "_file")
-        .withColumn("row_no", (F.col("_base") + F.col("_pos")).cast("bigint"))
-        .drop("_file", "_pos", "_base")
+        keyed.join(splits, ["_file", "_block"])
+        .withColumn("row_no", (F.col("_base") + F.col("_pos") - F.col("_first")).cast("bigint"))
+        .drop("_file", "_block", "_pos", "_first", "_base")
     )
 
 
@@ -58,10 +90,12 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", split: str |
         reader = reader.schema(schema)
         if fmt == "csv":
             reader = reader.option("header", "true").option("multiLine", "true").option("escape", '"')
-    df = reader.format(fmt).load(path)
+    # Numbered before the split filter: ``row_no`` is then the row's place in
+    # the whole source (gaps where other splits' rows were), order preserved.
+    df = with_row_no(reader.format(fmt).load(path))
     if split is not None and split_col in df.columns:
         df = df.where(F.col(split_col) == split)
-    return with_row_no(df)
+    return df
 
 
 @contextmanager

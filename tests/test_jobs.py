@@ -108,3 +108,31 @@ def test_read_raw_json_picks_one_split(spark):
     raw = io.read_raw(spark, path, fmt="json", split="train")
     assert sorted(r.ehr_text for r in raw.collect()) == ["note a", "note c"]
     assert raw.select("row_no").distinct().count() == 2
+
+
+def test_row_no_follows_file_order_for_json_blocks(spark):
+    # Files of unequal size split into many blocks: Spark packs blocks by size,
+    # not path, so numbering must come from (file, block start, position).
+    import json
+    import os
+
+    path = scratch_path(spark, "raw-json-blocks")
+    os.makedirs(path, exist_ok=True)
+    n = 0
+    for fi, k in enumerate([5, 300, 40, 120]):
+        with open(f"{path}/part-{fi:02d}.json", "w") as f:
+            for r in range(k):
+                f.write(json.dumps({"ehr_text": f"row {n}", "output": "E11.9", "split": "test" if n % 3 == 0 else "train"}) + "\n")
+                if r % 17 == 0:
+                    f.write("\n")  # blank lines are skipped
+                n += 1
+    with io.session_conf(spark, "spark.sql.files.maxPartitionBytes", "2000"):
+        got = io.read_raw(spark, path, fmt="json").select("row_no", "ehr_text").collect()
+        assert sorted((r.row_no, r.ehr_text) for r in got) == [(i, f"row {i}") for i in range(n)]
+        # the split filter runs after numbering: row_no is the place in the whole source
+        test_rows = io.read_raw(spark, path, fmt="json", split="test").select("row_no", "ehr_text").collect()
+        assert len(test_rows) == (n + 2) // 3 and all(r.ehr_text == f"row {r.row_no}" for r in test_rows)
+        # the same numbers without the broadcast
+        plain = io.with_row_no(spark.read.schema(io.RAW_SCHEMA).json(path), broadcast_max=0)
+        assert sorted((r.row_no, r.ehr_text) for r in plain.select("row_no", "ehr_text").collect()) == [
+            (i, f"row {i}") for i in range(n)]
