@@ -14,6 +14,7 @@ from notecodes.config import EvaluateOptions, PredictOptions
 from notecodes.operators import evaluate
 from notecodes.operators.score import PredictorFactory, batch_predict, rule_predictor
 from notecodes.operators.split import limit_first
+from notecodes.session import scratch_path
 from notecodes.sources.io import read_split, write_evaluation
 
 
@@ -35,6 +36,13 @@ def run_evaluation(spark: SparkSession, prepared_dir: str, output_path: str, opt
                    predictions: DataFrame | None = None, factory: PredictorFactory = rule_predictor) -> DataFrame:
     """Write the prediction rows and ``<output>.metrics.json``; return the metrics row."""
     per_row = evaluation_rows(spark, prepared_dir, opts, predictions, factory)
+    if predictions is None:
+        # Two outputs read the rows; stage them in the shared folder so the
+        # predictor (a model) runs once, and the written predictions and the
+        # metrics agree even for a sampling predictor.
+        stage = scratch_path(spark, "predicted")
+        per_row.write.mode("overwrite").parquet(stage)
+        per_row = spark.read.parquet(stage)
     metrics = evaluate.evaluation_aggregates(per_row)
     write_evaluation(evaluate.prediction_records(per_row), metrics, output_path, opts.split, opts.model_id)
     return metrics

@@ -32,6 +32,23 @@ def test_evaluate_job_with_predictor(spark, prepared):
     assert spark.read.json(out).count() == 5
 
 
+def test_evaluate_job_runs_the_predictor_once(spark, prepared):
+    # A sampling predictor answers differently on every run: the written
+    # predictions agree with the metrics only if it ran once.
+    def _random_predictor(options):
+        import random
+
+        return lambda prompts: [random.choice(["E11.9", "I10", ""]) for _ in prompts]
+
+    out = scratch_path(spark, "eval-once") + "/preds.jsonl"
+    m = run_evaluation(spark, prepared, out, EvaluateOptions(split="train", max_samples=None),
+                       factory=_random_predictor).first()
+    written = spark.read.json(out).withColumn("_np", (F.col("prediction") != "").cast("double"))
+    got = written.agg(F.count(F.lit(1)).alias("n"), F.avg("_np").alias("np")).first()
+    assert got.n == m.num_examples > 50
+    assert abs(got.np - m.num_predicted_codes) < 1e-12
+
+
 def test_evaluate_job_with_predictions_table(spark, prepared):
     table = spark.read.parquet(prepared).where(F.col("split") == "validation")
     preds = table.select("example_id", F.col("target_text").alias("prediction"))
