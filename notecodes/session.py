@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -57,6 +58,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per application), so that functions
+    that run there can import it wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_notecodes_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="notecodes-code-")), "notecodes.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(home)))
+    context.addPyFile(target)  # the driver serves it; no shared path is needed
+    context._notecodes_shipped = True
+
+
 def cluster_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
     """Settings sized for a run over ``input_bytes`` of raw notes on ``total_cores``.
 
