@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notecodes.llm import textnum as tn
 from notecodes.session import scratch_path, ship_package
 
 #: Bits of the membership bitmaps sent to tasks: 2 MB whatever the input's size.
@@ -55,3 +59,50 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 def setup(spark: SparkSession) -> None:
     """Make the package importable on the executors."""
     ship_package(spark)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, mod: int, rest: int, bound: int) -> DataFrame:
+    """(doc_id, text, label) of about ``bound`` training rows at most.
+
+    Rows of the held-out remainder, null ids, null labels and unlabelled documents are never
+    in it; rows are taken by a hash of the id, so the sample is the same on every
+    run. Only the sampled ids (about ``bound``) are broadcast; texts are not
+    shuffled. An id labelled more than once counts by its largest label.
+    """
+    known = (
+        labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col(column).cast("int").alias("label"))
+        .where(F.col("label_id").isNotNull() & F.col("label").isNotNull() & ~held_out("label_id", mod, rest))
+        .groupBy("label_id").agg(F.max("label").alias("label"))
+    )
+    total = known.count()
+    if total > bound:
+        known = known.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) < int((1 << 20) * bound / total))
+    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return texts.join(F.broadcast(known), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label")
+
+
+def scored(docs: DataFrame, model) -> DataFrame:
+    """(doc_id, score) of every row; ``model.scores(data, offsets)`` scores a slice of texts."""
+    setup(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tn.slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(model.scores(*tn.buffer_of(part.column("text"))), pa.float64())], ["doc_id", "score"]
+                )
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
+
+
+def kept_rows(docs: DataFrame, model, keeps) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score passes ``keeps(scores)``."""
+    setup(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tn.slices(batch, at):
+                yield part.filter(pa.array(keeps(model.scores(*tn.buffer_of(part.column(at))))))
+
+    return docs.mapInArrow(run, docs.schema)

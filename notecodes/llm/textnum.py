@@ -75,12 +75,12 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, o - o[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int | None = None) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, limit: int | None = None) -> Iterator[pa.RecordBatch]:
     """The batch in row slices of at most ``limit`` text bytes (one row at least)."""
     limit = limit or SLICE_BYTES
     if batch.num_rows == 0:
         return
-    _, offs = buffer_of(batch.column(batch.schema.get_field_index(column)))
+    _, offs = buffer_of(batch.column(column))
     at = 0
     while at < batch.num_rows:
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1)
