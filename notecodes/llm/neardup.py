@@ -12,14 +12,22 @@ is at least 0.75; groups are the connected components of those links.
    collisions shares one of any K - T + 1 coordinates, so each node skips its
    T - 1 longest posting lists (prefix and skip merging: the long lists are
    never merged, their collisions are counted from the signatures instead).
-3. First every posting list links its members to one hub, the links are
-   confirmed on the full sets, and components are formed. Large groups end
+3. First every posting list links its members to two hubs (its first node and its
+   smallest set), the links are confirmed on the full sets, and components are formed. Large groups end
    here with a few links a member instead of all pairs.
-4. Only list members of *different* components still need a comparison:
-   members outside the list's largest component meet the others, with the
-   same count threshold and the same confirmation on full sets.
-
-Nothing is capped: a long list costs its members times its smaller components.
+4. Only list members of *different* components still need a comparison. In
+   lists of at most ``LONG`` nodes, members outside the list's largest component
+   meet the others, with the same count threshold and confirmation.
+5. Longer lists with several components (a passage that many texts share) are
+   not merged. Their members go an exact way instead: a prefix join on the
+   shingles themselves, rarest first. A linked pair shares one of the first
+   n - ceil(0.75 n) + 1 shingles of either set. Where that is a common shingle
+   (a list of more than LONG nodes), the pair shares common shingles only, so
+   its similarity is at most m / (na + nb - m), m the smaller number of common shingles of the two:
+   only pairs with 3 (na + nb) <= 7 m meet there. A pair whose rarest common
+   coordinate has a long list has both members in this way, so no pair is lost.
+
+Nothing is capped or sampled.
 All steps between shuffles run in bounded slices; intermediate tables are
 written to the shared folder, so a lost executor costs its tasks only.
 
@@ -35,7 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from notecodes.llm import textnum as tn
@@ -45,6 +53,8 @@ K, T, WORDS = 96, 50, 5
 SIMILARITY = (75, 100)
 #: Posting lists of at least this share of the nodes are ordered by length; at most K / HOT_SHARE lists are that long.
 HOT_SHARE = 1 / 4096
+#: Posting lists of more nodes that are still in several components are replaced by the exact way.
+LONG = 64
 
 _SIGNED = "doc_id long, n_shingles long, key1 long, key2 long, sig array<long>"
 
@@ -115,7 +125,7 @@ def _prefixes(hot_keys: np.ndarray, hot_counts: np.ndarray):
 def postings(nodes: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
     """The posting lists that each node does not skip."""
     total = nodes.count()
-    least = max(2, int(total * hot_share))
+    least = max(16, int(total * hot_share))
     hot = (
         nodes.select(F.explode("sig").alias("key")).groupBy("key").agg(F.count("*").alias("c"))
         .where(F.col("c") >= least).toArrow()  # at most K * total / least rows
@@ -183,15 +193,16 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the similarity. Texts of other
-    documents stay out of the join by a bitmap of the wanted ids (fixed size)."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def wanted_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles) of the texts of ``ids`` (id), and of few others: a bitmap of the ids
+    (fixed size) keeps the other texts out before they are hashed."""
     bitmap = bitmap_of(ids.mapInArrow(_mixed, "h long"), "h")
-    sets = (
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .mapInArrow(_wanted_sets(bitmap), "node long, shingles array<long>")
-    )
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_wanted_sets(bitmap), "node long, shingles array<long>")
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the similarity."""
+    sets = wanted_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
     return (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -225,6 +236,58 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def across(lists: DataFrame) -> DataFrame:
+    """Distinct pairs (a > b) of list members (key, node, n, comp, common) of different components
+    whose sizes allow a link (3 (na + nb) <= 7 common: see step 5). A list's largest component is met by the others but not by itself."""
+    largest = (
+        lists.groupBy("key", "comp").agg(F.count("*").alias("c"))
+        .groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
+    )
+    marked = lists.join(largest, "key")
+    small = marked.where("comp <> main").select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("common").alias("ma"))
+    other = marked.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("common").alias("mb"), (F.col("comp") == F.col("main")).alias("is_main"))
+    least, whole = SIMILARITY
+    return (
+        small.join(other, "key")
+        .where((F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b")))
+               & (F.least("na", "nb") * whole >= F.greatest("na", "nb") * least)
+               & (3 * (F.col("na") + F.col("nb")) <= 7 * F.least("ma", "mb").cast("long")))
+        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    )
+
+
+def rare_shingles(crowded: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, node, n, comp, common): each node's first n - ceil(0.75 n) + 1 shingles, rarest
+    among ``crowded`` first, as far as they are in several components.
+
+    Shingles of one node alone come first in that order and need no list, so only
+    the shared ones are ordered.
+    """
+    least, whole = SIMILARITY
+    posted = staged(
+        crowded.join(wanted_sets(crowded.select(F.col("node").alias("id")), docs), "node")
+        .select("node", "n", "comp", F.explode("shingles").alias("key")),
+        "crowded_sets",
+    )
+    shared = posted.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = (
+        posted.join(shared, "key").groupBy("node", "n", "comp")
+        .agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("keys"))  # at most the node's own shingles
+    )
+    common = F.size(F.filter("keys", lambda k: k["df"] > LONG))
+    # the prefix less the shingles that no other node has
+    room = F.col("n") - F.ceil(F.col("n") * least / F.lit(float(whole))) + 1 - (F.col("n") - F.size("keys"))
+    lists = (
+        ordered.select("node", "n", "comp", common.alias("common"), F.explode(F.slice("keys", F.lit(1), F.greatest(room, F.lit(0)).cast("int"))).alias("k"))
+        .select(F.col("k.key").alias("key"), (F.col("k.df") > LONG).alias("long"), "node", "n", "comp", "common")
+    )
+    # in long lists: members that some set of the list is small enough for
+    small = lists.groupBy("key").agg(F.min("n").alias("least_n"))
+    lists = lists.join(small, "key").where("NOT long OR 3 * (n + least_n) <= 7 * common").drop("least_n")
+    mixed = lists.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
+    return staged(lists.join(mixed, "key").withColumn("common", F.expr("CASE WHEN long THEN common ELSE 2147483647 END")).drop("long"), "rare")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     signed = staged(signatures(docs), "signed")
@@ -235,32 +298,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     nodes = classes.select("node", "n", "sig")
     lists = postings(nodes)
-    hubs = lists.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("key", "hub")
-    shared = staged(lists.join(hubs, "key").select("key", "hub", "node", "n"), "shared")
+    hubs = lists.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.min_by("node", F.struct("n", "node")).alias("least")).where("hub < last").drop("last")
+    shared = staged(lists.join(hubs, "key").select("key", "hub", "least", "node", "n"), "shared")
 
-    star = staged(colliding(shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), nodes), "star")
+    spokes = shared.select(F.explode(F.array("hub", "least")).alias("to"), "node").where("node <> to")
+    star = staged(colliding(spokes.select(F.greatest("node", "to").alias("a"), F.least("node", "to").alias("b")).distinct(), nodes), "star")
     links = staged(confirmed(star, docs), "links")
     found = components(links)
 
     placed = shared.join(found, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    open_lists = staged(placed.join(mixed, "key"), "open")
-    largest = (
-        open_lists.groupBy("key", "comp").agg(F.count("*").alias("c"))
-        .groupBy("key").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
+    lengths = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("length")).where("x < y").select("key", "length")
+    open_lists = staged(placed.join(lengths, "key"), "open")
+    rest = staged(
+        colliding(across(open_lists.where(F.col("length") <= LONG).select("key", "node", "n", "comp", F.lit(2147483647).alias("common"))).join(star, ["a", "b"], "left_anti"), nodes), "rest"
     )
-    marked = open_lists.join(largest, "key")
-    small = marked.where("comp <> main").select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-    other = marked.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), (F.col("comp") == F.col("main")).alias("is_main"))
-    least, whole = SIMILARITY
-    rest = (
-        small.join(other, "key")
-        .where((F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b")))
-               & (F.least("na", "nb") * whole >= F.greatest("na", "nb") * least))
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    more = staged(confirmed(staged(colliding(rest, nodes), "rest"), docs), "more")
+    crowded = staged(open_lists.where(F.col("length") > LONG).select("node", "n", "comp").distinct(), "crowded")
+    if not crowded.isEmpty():
+        met = across(rare_shingles(crowded, docs)).join(star, ["a", "b"], "left_anti").join(rest, ["a", "b"], "left_anti")
+        rest = rest.union(staged(colliding(met, nodes), "met"))
+    more = staged(confirmed(rest, docs), "more")
     if not more.isEmpty():
         found = components(links.union(more))
 
@@ -282,3 +338,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         signed.join(own, signed["doc_id"] == own["id"], "left")
         .select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
     )
+
+
+def group_heads(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that stand for their group: one row each.
+
+    The ids that go are joined by id. Only when an id is repeated are its rows counted
+    off (by text); rows without an id stay.
+    """
+    found = staged(near_duplicates(docs).select("doc_id", "kept"), "found")
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("_gone_id")).distinct()
+    heads = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone_id"], "left_anti")
+    repeated = found.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_many_id")).count().where("count > 1").select("_many_id")
+    if repeated.isEmpty():
+        return heads
+    many = heads.join(repeated, heads["doc_id"].cast("long") == repeated["_many_id"], "left_semi")
+    first = Window.partitionBy(many["doc_id"]).orderBy(many["text"])
+    once = many.withColumn("_place_in_id", F.row_number().over(first)).where("_place_in_id = 1").drop("_place_in_id")
+    return heads.join(repeated, heads["doc_id"].cast("long") == repeated["_many_id"], "left_anti").unionByName(once)
