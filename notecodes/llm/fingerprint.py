@@ -1,7 +1,7 @@
 """Document fingerprints by one-permutation MinHash (operator 1). Built-in functions only.
 
 A text's word 5-shingles (the whole sequence when it has fewer words) are hashed
-once; the low bits of a hash choose one of ``BINS`` bins and each bin keeps its
+once; the high bits of a hash choose one of ``BINS`` bins and each bin keeps its
 smallest value. Empty bins are filled by optimal densification: bin ``i`` takes
 the value of the first non-empty bin in its own fixed random order of the other
 bins. Of every bin ``BITS`` low-order bits of the value are stored, packed as hex
@@ -30,7 +30,7 @@ BINS, BITS, WORDS = 256, 4, 5  # sixteen 64-bit words of sixteen 4-bit digits
 #: Documents ordered together in one window group, about; and the most groups.
 GROUP, MOST_GROUPS = 500, 1 << 16
 
-_SHIFT = 40  # a bin's value has so many bits
+_SHIFT = 56  # the eight high bits of a hash (as signed numbers, in order) are its bin, the others its value
 _EMPTY = (1 << _SHIFT) - 1
 
 
@@ -50,32 +50,30 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     # steps are columns of their own, so that no expression is computed twice or inside a lambda
     step = df.select(*keep, F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), "[ \\t\\n\\x0B\\f\\r]+"), "").alias(p + "w"))
     step = step.select(*keep, F.transform(p + "w", lambda w: F.xxhash64(w)).alias(p + "h"))
-    h, n = F.col(p + "h"), F.size(p + "h")
-    grams = F.when(
-        n >= WORDS, F.transform(F.sequence(F.lit(0), F.greatest(n - WORDS, F.lit(0))), lambda i: F.xxhash64(*(F.get(h, i + j) for j in range(WORDS))))
-    ).when(
-        n > 0, F.array(F.xxhash64(n, *(F.get(h, F.lit(j)) for j in range(WORDS - 1))))
-    ).otherwise(F.array().cast("array<bigint>"))
-    step = step.select(*keep, grams.alias(p + "g"))
-    # (bin, value) in one long, with one end marker per bin: the first of each bin after sorting is its minimum
-    mask = F.lit(_EMPTY).cast("long")
-    place = lambda g: F.shiftleft(g.bitwiseAND(BINS - 1), _SHIFT).bitwiseOR(F.shiftrightunsigned(g, 64 - _SHIFT))
-    ends = F.lit((np.arange(BINS, dtype=np.int64) << _SHIFT) | _EMPTY)
-    step = step.select(*keep, F.size(p + "g").alias(p + "n"), F.sort_array(F.concat(F.transform(p + "g", place), ends)).alias(p + "s"))
+    h = F.col(p + "h")
+    # a shingle's hash starts at each word; behind the last words there is nothing to add (nulls are skipped)
+    every = F.transform(h, lambda x, i: F.xxhash64(x, *(F.get(h, i + j) for j in range(1, WORDS))))
+    step = step.select(*keep, F.slice(every, F.lit(1), F.greatest(F.size(h) - (WORDS - 1), F.lit(1))).alias(p + "g"))
+    # with one end marker per bin, the first hash of each bin after sorting is its minimum, or the marker of an empty bin
+    ends = F.lit((np.arange(BINS, dtype=np.int64) - BINS // 2) * (1 << _SHIFT) + _EMPTY)
+    step = step.select(*keep, F.size(p + "g").alias(p + "n"), F.sort_array(F.concat(p + "g", ends)).alias(p + "s"))
     s = F.col(p + "s")
-    firsts = F.filter(s, lambda v, i: (i == 0) | (F.shiftright(v, _SHIFT) != F.shiftright(F.get(s, i - 1), _SHIFT)))
-    step = step.select(*keep, F.col(p + "n"), F.transform(firsts, lambda v: F.nullif(v.bitwiseAND(mask), mask)).alias(p + "b"))
+    bin_of = lambda v: F.shiftright(v, _SHIFT)
+    firsts = F.filter(s, lambda v, i: ~bin_of(v).eqNullSafe(bin_of(F.get(s, i - 1))))
+    step = step.select(*keep, F.col(p + "n"), F.transform(firsts, lambda v: F.when(v.bitwiseAND(F.lit(_EMPTY)) != _EMPTY, v)).alias(p + "b"))
     b = F.col(p + "b")
-    orders = F.lit(np.array(_probe_order(BINS), np.int32).reshape(-1))
-    at = lambda i, a: F.get(orders, i * (BINS - 1) + a)
+    orders = F.array(*(F.lit(np.array(row, np.int32)) for row in _probe_order(BINS)))  # folded into one constant
     # the first lender is nearly always among the first probes (coalesce stops there); texts of few shingles look through all
-    probes = lambda i: (F.get(b, at(i, a)) for a in range(PROBES))
-    every = lambda i: F.get(b, F.get(F.filter(F.slice(orders, i * (BINS - 1) + 1, BINS - 1), lambda j: F.get(b, j).isNotNull()), F.lit(0)))
-    filled = F.transform(b, lambda v, i: F.coalesce(v, *probes(i), every(i)))
+    probes = lambda o: (F.get(b, F.get(o, F.lit(a))) for a in range(PROBES))
+    rest = lambda o: F.get(b, F.get(F.filter(o, lambda j: F.get(b, j).isNotNull()), F.lit(0)))
+    filled = F.transform(orders, lambda o, i: F.coalesce(F.get(b, i), *probes(o), rest(o)))
     step = step.select(*keep, F.col(p + "n"), filled.alias(p + "v"))
-    digit = lambda i: F.get(p + "v", F.lit(i)).bitwiseAND((1 << BITS) - 1)
-    word = lambda w: reduce(lambda x, y: x.bitwiseOR(y), (F.shiftleft(digit(16 * w + k), 4 * (15 - k)) for k in range(16)))
-    code = F.when(F.col(p + "n") > 0, F.array(*(word(w) for w in range(BINS // 16)))).otherwise(F.array().cast("array<bigint>"))
+    per_word = 64 // BITS
+    word = lambda w: F.aggregate(
+        F.slice(p + "v", w * per_word + 1, F.lit(per_word)), F.lit(0).cast("long"), lambda x, v: F.shiftleft(x, BITS).bitwiseOR(v.bitwiseAND((1 << BITS) - 1))
+    )
+    # v is named twice: the optimizer would compute a column that is named once inside the lambda, for each word anew
+    code = F.when((F.col(p + "n") > 0) & (F.size(p + "v") == BINS), F.transform(F.lit(np.arange(BINS // per_word, dtype=np.int32)), word)).otherwise(F.array().cast("array<bigint>"))
     return step.select(*keep, code.alias(f"{name}_code"))
 
 
