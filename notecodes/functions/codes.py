@@ -9,9 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the code pattern, matched against upper-cased text. ``U`` is not a
-# first letter. ``(?U)`` keeps ``\b`` Unicode-aware on every Java version.
-CODE_PATTERN = r"(?U)\b[A-TV-Z][0-9][0-9A-Z](?:\.?[0-9A-Z]{0,4})\b"
+# The code pattern as Python has it, and for Spark; both are matched against upper-cased text. ``U`` is not a
+# first letter. Word boundaries are written out over letters, numbers and ``_``:
+# Java's own ``\b`` counts marks and joiners as word characters, and circled
+# digits not. After a dot, a boundary is a word character; after any other, none.
+PYTHON_CODE_PATTERN = r"\b[A-TV-Z][0-9][0-9A-Z](?:\.?[0-9A-Z]{0,4})\b"
+_WORD = r"[\p{L}\p{N}_]"
+CODE_PATTERN = (
+    rf"(?<!{_WORD})[A-TV-Z][0-9][0-9A-Z](?:\.?[0-9A-Z]{{0,4}})(?:(?<=\.)(?={_WORD})|(?<!\.)(?!{_WORD}))"
+)
 
 
 def empty_codes() -> Column:

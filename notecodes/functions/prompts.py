@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from notecodes.functions.codes import CODE_PATTERN, canonical_text
+from notecodes.functions.codes import PYTHON_CODE_PATTERN, canonical_text
 
 # Our own default system prompt. It must hold no code-like word (checked by a test),
 # otherwise every row would be rejected for leakage into the prompt.
@@ -65,7 +65,7 @@ class ChatTemplate:
         return (
             not any(ch.isdigit() for p in parts for ch in p)
             and all(p and not code_chars.match(p[0]) and not code_chars.match(p[-1]) for p in parts)
-            and not any(re.search(CODE_PATTERN.replace("(?U)", ""), p.upper()) for p in parts)
+            and not any(re.search(PYTHON_CODE_PATTERN, p.upper()) for p in parts)
         )
 
 

@@ -19,17 +19,17 @@ def approx_token_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(APPROX_TOKEN_PATTERN)).cast("int")
 
 
-def tokenizer_count_udf(load_tokenizer: Callable[[], Callable[[str], list]]):
+def tokenizer_count_udf(load_tokenizer: Callable[[], Callable[[list[str]], list[list]]]):
     """Wrap a user tokenizer as an iterator pandas UDF returning token counts.
 
     ``load_tokenizer()`` runs once per Python worker task (not per row); the
-    returned callable maps one text to its token ids, without special tokens.
+    returned callable maps a batch of texts to their token ids, without special tokens.
     """
 
     @F.pandas_udf("int")
     def count_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encode = load_tokenizer()
         for texts in batches:
-            yield texts.fillna("").map(lambda t: len(encode(t))).astype("int32")
+            yield pd.Series([len(ids) for ids in encode(texts.fillna("").tolist())], index=texts.index, dtype="int32")
 
     return count_tokens

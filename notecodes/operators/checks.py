@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from notecodes.functions.prompts import DEFAULT_TEMPLATE, ChatTemplate
 from notecodes.functions.tokens import approx_token_count
+from notecodes.operators.clean import fence
 
 # Accepted request ranges (inclusive).
 REQUEST_RANGES = {
@@ -33,7 +34,7 @@ def contains_token_run(ids: Column, template_ids: Sequence[int]) -> Column:
     """F8 at token level: ``template_ids`` occur as a contiguous run in ``ids``."""
     k = len(template_ids)
     if k == 0:
-        raise ValueError("Response template tokenization produced an empty token sequence.")
+        raise ValueError("The response template has no tokens.")
     tmpl = F.array(*[F.lit(int(t)) for t in template_ids])
     starts = F.sequence(F.lit(0), F.size(ids) - k)
     return F.when(F.size(ids) >= k, F.exists(starts, lambda i: F.slice(ids, i + 1, k) == tmpl)).otherwise(F.lit(False))
@@ -48,7 +49,7 @@ def require_template(df: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE, t
 def require_not_empty(df: DataFrame, what: str = "Training dataset") -> None:
     """F9."""
     if df.isEmpty():
-        raise ValueError(f"{what} is empty after filtering/limiting.")
+        raise ValueError(f"{what}: no rows are left.")
 
 
 def request_violations(requests: DataFrame) -> DataFrame:
@@ -90,7 +91,8 @@ def group_by_length(df: DataFrame, num_partitions: int, text_col: str = "text",
     The unique ``tie_breaker`` is part of the range key, so one very common
     length is split across partitions instead of landing in one.
     """
-    with_len = df.withColumn("n_tokens", token_count(F.col(text_col)))
+    # the counts cross the exchange twice (bounds, then rows): a fence keeps them from being inlined in the sort
+    with_len = fence(df.withColumn("n_tokens", token_count(F.col(text_col))))
     return with_len.repartitionByRange(num_partitions, "n_tokens", tie_breaker).sortWithinPartitions("n_tokens", tie_breaker)
 
 

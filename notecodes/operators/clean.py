@@ -138,8 +138,7 @@ def first_seen(accepted: DataFrame, kept: DataFrame | None = None) -> DataFrame:
     The ids are deduplicated on the narrow ``(example_id, row_no)`` columns
     (``first_rows``); the wide rows are then kept by a semi join on that unique
     pair: they are shuffled once and never sorted (shuffle-hash join with
-    the narrow side as build; AQE turns it into a broadcast when the narrow side
-    is measured small at run time). Read ``accepted`` from a staged table: it
+    the narrow side as build). Read ``accepted`` from a staged table: it
     is scanned twice (narrow, then wide).
     """
     kept = first_rows(accepted) if kept is None else kept
@@ -192,10 +191,15 @@ def clean_split_rows(classified: DataFrame, opts: PrepareOptions = PrepareOption
     One shuffle of wide rows (the dedup); the split thresholds come from the
     narrow accepted ids through a scalar subquery.
     """
+    accepted = accepted_rows(classified)
+    return labelled_rows(accepted, first_rows(accepted), opts)
+
+
+def labelled_rows(accepted: DataFrame, kept: DataFrame, opts: PrepareOptions = PrepareOptions()) -> DataFrame:
+    """The kept rows of ``accepted`` with their split; ``kept`` (``example_id, row_no``) is
+    best read from a written table, as the thresholds and the join both use it."""
     from notecodes.operators.split import assign_splits
 
-    accepted = accepted_rows(classified)
-    kept = first_rows(accepted)
     labelled = assign_splits(first_seen(accepted, kept), opts, ids=kept.select("example_id"))
     return finish_clean(labelled, opts)
 

@@ -32,27 +32,44 @@ def pair_predictions(references: DataFrame, predictions: DataFrame, key: str = "
 
 
 def prediction_gaps(references: DataFrame, predictions: DataFrame, key: str = "example_id") -> DataFrame:
-    """one row ``references, predictions, missing, extra``; non-zero gaps mean
-    the two sides are not aligned (the reference raises on unequal lengths)."""
-    r = references.select(key, F.lit(1).alias("_r"))
-    p = predictions.select(key, F.lit(1).alias("_p"))
+    """one row of counts: rows on either side, ids without a prediction or a
+    reference, and ids that a side has more than once. Any gap or repeat means
+    that the two sides do not pair one to one.
+
+    Ids are counted per side before the join, so a repeated id (hot or not) is
+    one row there.
+    """
+    r = references.groupBy(key).agg(F.count(F.lit(1)).alias("_r"))
+    p = predictions.groupBy(key).agg(F.count(F.lit(1)).alias("_p"))
     both = r.join(p, key, "full_outer")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
     return both.agg(
-        F.count("_r").cast("bigint").alias("references"),
-        F.count("_p").cast("bigint").alias("predictions"),
+        total("_r").alias("references"),
+        total("_p").alias("predictions"),
         F.count_if(F.col("_p").isNull()).cast("bigint").alias("missing_predictions"),
         F.count_if(F.col("_r").isNull()).cast("bigint").alias("extra_predictions"),
+        F.count_if(F.col("_r") > 1).cast("bigint").alias("repeated_references"),
+        F.count_if(F.col("_p") > 1).cast("bigint").alias("repeated_predictions"),
     )
 
 
 def require_aligned(references: DataFrame, predictions: DataFrame, key: str = "example_id") -> None:
     """Raise when predictions and references do not pair one to one."""
     row = prediction_gaps(references, predictions, key).first()
-    if row["missing_predictions"] or row["extra_predictions"]:
-        raise ValueError(
-            f"Predictions and references must have the same ids: {row['missing_predictions']} missing, "
-            f"{row['extra_predictions']} extra."
-        )
+    faults = {k: row[k] for k in ("missing_predictions", "extra_predictions", "repeated_references", "repeated_predictions") if row[k]}
+    if faults:
+        raise ValueError("No one-to-one pairing by id: " + ", ".join(f"{n} {k.replace('_', ' ')}" for k, n in faults.items()))
+
+
+def narrowed(references: DataFrame, predictions: DataFrame, known: DataFrame, key: str = "example_id") -> DataFrame:
+    """The predictions of ``references`` (a limited part of ``known``), checked: raises
+    unless they pair one to one, or when a prediction's id is not even in ``known``."""
+    strangers = predictions.join(known.select(key), key, "left_anti").count()
+    if strangers:
+        raise ValueError(f"{strangers} predictions have an id that the prepared table does not have.")
+    own = predictions.join(references.select(key).distinct(), key, "left_semi")
+    require_aligned(references, own, key)
+    return own
 
 
 def with_code_sets(pairs: DataFrame, prediction: str = "prediction", reference: str = "target_text") -> DataFrame:
@@ -113,6 +130,6 @@ def prediction_records(pairs: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "METRIC_COLUMNS", "EVALUATION_FIELDS", "pair_predictions", "prediction_gaps", "require_aligned",
+    "METRIC_COLUMNS", "EVALUATION_FIELDS", "pair_predictions", "prediction_gaps", "require_aligned", "narrowed",
     "example_metric_rows", "evaluation_aggregates", "evaluate", "prediction_records",
 ]

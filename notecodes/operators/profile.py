@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from notecodes.functions.tokens import approx_token_count
+from notecodes.operators.split import up_to_rank
 
 # The reported percentiles.
 PERCENTILES = (50, 90, 95, 99)
@@ -16,7 +17,11 @@ SUMMARY_FIELDS = ("count", "min", "max", "mean") + tuple(f"p{p}" for p in PERCEN
 
 def first_rows(df: DataFrame, n: int | None, order_col: str = "row_no") -> DataFrame:
     """L2: the first ``n`` rows in source order (not a random sample); ``None`` = all."""
-    return df if n is None else df.orderBy(order_col).limit(n)
+    if n is None:
+        return df
+    low, high = df.agg(F.min(order_col), F.max(order_col)).first()
+    width = max(1, ((high or 0) - (low or 0)) // 65_536 + 1)  # at most 65,536 buckets
+    return up_to_rank(df, n, order_col, lambda key: F.floor((key - F.lit(low or 0)) / F.lit(width)))
 
 
 def numeric_summary(df: DataFrame, value_col: str, by: Sequence[str] = (),
@@ -85,6 +90,12 @@ def instruction_preview(raw: DataFrame, k: int = 3) -> DataFrame:
     return instruction_profile(raw).orderBy("first_row").limit(k).select("instruction", "first_row")
 
 
+def created_at_utc() -> Column:
+    """Now as UTC text, whatever the session's time zone."""
+    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+
+
 def summary_struct(prefix: str = "") -> Column:
     return F.struct(*[F.col(prefix + f).alias(f) for f in SUMMARY_FIELDS])
 
@@ -100,11 +111,6 @@ def dataset_report(raw: DataFrame, split_df: DataFrame, stats: DataFrame, sample
     union and folded into one row, so no join is needed.
     """
     sample = first_rows(split_df, sample_size)
-    if sample_size is not None:
-        # The limit leaves the sample in one partition; spread its (at most
-        # ``sample_size``) rows so the token counting runs on every core.
-        slots = split_df.sparkSession.sparkContext.defaultParallelism
-        sample = sample.repartition(max(1, min(slots, sample_size // 64 + 1)), "row_no")
     summaries = numeric_summary(profile_series(sample, token_count), "value", by=["metric"])
     instructions = instruction_profile(raw)
     parts = [
@@ -126,9 +132,9 @@ def dataset_report(raw: DataFrame, split_df: DataFrame, stats: DataFrame, sample
         stacked = stacked.unionByName(part, allowMissingColumns=True)
     folded = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
     return folded.select(
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("created_at_utc"),
+        created_at_utc().alias("created_at_utc"),
         "raw_rows", "clean_rows", "splits",
-        F.array(*[F.lit(c) for c in raw.columns]).alias("columns"),
+        F.array(*[F.lit(c) for c in raw.columns if c != "row_no"]).alias("columns"),
         "unique_instruction_count", "instruction_preview", "cleaning_stats",
         # every sampled row has a code count, so that series' count is the sample size
         F.coalesce(F.col("_m")["num_codes_per_example"]["count"].cast("bigint"), F.lit(0).cast("bigint"))

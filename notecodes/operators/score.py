@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,14 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from notecodes.config import PredictOptions
-from notecodes.functions.codes import CODE_PATTERN, extract_codes
+from notecodes.functions.codes import PYTHON_CODE_PATTERN, extract_codes
 from notecodes.functions.prompts import prompt_text, system_prompt
 from notecodes.functions.text import clean_text
+from notecodes.session import ship_package
+
+#: Generation settings that a request may bring along.
+SETTINGS = ("max_new_tokens", "temperature", "top_p", "do_sample", "num_beams")
 
 Predictor = Callable[[list[str]], list[str]]
 PredictorFactory = Callable[[PredictOptions], Predictor]
 
-_CODE_RE = re.compile(CODE_PATTERN.replace("(?U)", ""))
+_CODE_RE = re.compile(PYTHON_CODE_PATTERN)
 
 
 def _canonical_codes(text: str) -> str:
@@ -45,24 +50,46 @@ def rule_predictor(options: PredictOptions) -> Predictor:
     return predict
 
 
+def echo_settings(options: PredictOptions) -> Predictor:
+    """Answers with the settings it was built with (to see what reaches a predictor)."""
+    said = f"{options.max_new_tokens} {options.num_beams} {round(options.temperature * 10)} {round(options.top_p * 10)} {int(options.do_sample)}"
+    return lambda prompts: [said] * len(prompts)
+
+
 def batch_predict(df: DataFrame, factory: PredictorFactory = rule_predictor, options: PredictOptions = PredictOptions(),
-                  prompt_col: str = "prompt_text", out_col: str = "prediction") -> DataFrame:
+                  prompt_col: str = "prompt_text", out_col: str = "prediction", settings: tuple[str, ...] = ()) -> DataFrame:
     """Every row of ``df`` plus ``out_col`` predicted from ``prompt_col``.
 
     The predictor is built once per task (a model load), then called on slices of
-    ``batch_size`` prompts. Arrow moves the column batches; other columns pass
-    through, so no join back is needed. Nothing is collected.
+    ``batch_size`` prompts. Columns named in ``settings`` are a row's own
+    generation settings: one predictor per distinct setting. All columns of ``df`` travel
+    to Python and back, so pass the narrow ones. Nothing is collected.
     """
+    ship_package(df.sparkSession)
     batch = max(1, options.batch_size)
     schema = StructType(df.schema.fields + [StructField(out_col, StringType(), True)])
+    own = [c for c in settings if c in df.columns]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = factory(options)
+        ready: dict[tuple, Predictor] = {}
+
+        def predictor(values: tuple) -> Predictor:
+            if values not in ready:
+                ready[values] = factory(replace(options, **dict(zip(own, values))))
+            return ready[values]
+
         for pdf in batches:
             prompts = pdf[prompt_col].fillna("").tolist()
-            preds: list[str] = []
-            for i in range(0, len(prompts), batch):
-                preds.extend(str(x).strip() for x in predict(prompts[i:i + batch]))
+            # rows of equal settings are predicted together; answers keep the rows' order
+            rows: dict[tuple, list[int]] = {}
+            for i, values in enumerate(zip(*(pdf[c].tolist() for c in own)) if own else [()] * len(prompts)):
+                rows.setdefault(values, []).append(i)
+            preds = [""] * len(prompts)
+            for values, at in rows.items():
+                predict = predictor(values)
+                for k in range(0, len(at), batch):
+                    for i, x in zip(at[k:k + batch], predict([prompts[j] for j in at[k:k + batch]])):
+                        preds[i] = str(x).strip()
             yield pdf.assign(**{out_col: preds})
 
     return df.mapInPandas(run, schema)
@@ -88,5 +115,7 @@ def note_prompts(notes: DataFrame, options: PredictOptions = PredictOptions()) -
 def score_notes(notes: DataFrame, factory: PredictorFactory = rule_predictor, options: PredictOptions = PredictOptions(),
                 key: str = "row_no") -> DataFrame:
     """Batch inference over a note table: ``note`` + prompt + parsed prediction."""
-    prompted = note_prompts(notes, options).select(key, "note", "prompt_text")
-    return parse_predictions(batch_predict(prompted, factory, options, out_col="raw_prediction"))
+    own = [c for c in SETTINGS if c in notes.columns]
+    prompted = note_prompts(notes, options).select(key, "note", "prompt_text", *own)
+    predicted = batch_predict(prompted, factory, options, out_col="raw_prediction", settings=tuple(own))
+    return parse_predictions(predicted.drop(*own))

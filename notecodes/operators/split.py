@@ -13,6 +13,8 @@ one-row scalar subquery: no shuffle of wide rows, no task sees the whole table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,14 +142,34 @@ def split_counts(split_df: DataFrame) -> DataFrame:
 def limit_first(df: DataFrame, n: int | None, order_col: str = "split_key") -> DataFrame:
     """L1: the first ``n`` rows in split order; ``None`` keeps all rows.
 
-    ``orderBy().limit()`` plans as TakeOrderedAndProject: each task keeps its top
-    ``n`` and only those move.
+    Order keys are unique. Only the key at rank ``n`` is looked for, with narrow
+    columns (bucket counts, then one bucket); rows are then filtered by it where
+    they are, so no sort and no single task holds the limit's rows.
     """
+    digits = PrepareOptions.rank_bucket_hex_digits
+    return up_to_rank(df, n, order_col, lambda key: F.substring(key, 1, digits))
+
+
+def up_to_rank(df: DataFrame, n: int | None, order_col: str, bucket: Callable[[Column], Column]) -> DataFrame:
+    """The rows of the ``n`` smallest keys. ``bucket`` maps keys to ordered buckets,
+    of which there must be a bounded number."""
     if n is None:
         return df
     if n < 0:
         raise ValueError("limit must be >= 0")
-    return df.orderBy(order_col).limit(n)
+    if n == 0:
+        return df.where(F.lit(False))
+    keyed = df.select(F.col(order_col).alias("_key")).withColumn("_bucket", bucket(F.col("_key")))
+    target = (
+        _bucket_offsets(keyed).where((F.col("_offset") < n) & (F.col("_offset") + F.col("_cnt") >= n))
+        .select("_bucket", (F.lit(n) - F.col("_offset")).alias("_local"))  # one row, or none when there are fewer rows
+    )
+    within = Window.partitionBy("_bucket").orderBy("_key")
+    last = (
+        keyed.join(F.broadcast(target), "_bucket").withColumn("_rn", F.row_number().over(within))
+        .where("_rn = _local").agg(F.max("_key").alias("last")).scalar()
+    )
+    return df.withColumn("_last", last).where(F.coalesce(F.col(order_col) <= F.col("_last"), F.lit(True))).drop("_last")
 
 
 def split_invariants(split_df: DataFrame) -> DataFrame:

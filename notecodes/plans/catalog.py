@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from notecodes.config import PrepareOptions
-from notecodes.functions.codes import code_variants, extract_codes, leaks, normalize_code
+from notecodes.functions.codes import code_variants, extract_codes, leaks, leaks_in_upper, normalize_code
 from notecodes.functions.prompts import DEFAULT_TEMPLATE, chat_messages, completion_text, system_prompt
+from notecodes.functions.tokens import tokenizer_count_udf
 from notecodes.operators import checks, clean, evaluate, profile, score, split
 from notecodes.session import scratch_path
 from notecodes.sources import fixtures, io
@@ -44,20 +45,35 @@ def classified(spark, sf):
     return clean.classify(raw(spark, sf), OPTS)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once in the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clean_rows(spark, sf):
     return clean.clean_rows(classified(spark, sf), OPTS)
 
 
 def splits(spark, sf):
-    return clean.clean_split_rows(classified(spark, sf), OPTS)
+    """The split table as the Prepare job makes it: classified once, from a staged table,
+    with the narrow kept ids written once for the thresholds and the wide semi join."""
+    accepted = staged(clean.accepted_rows(classified(spark, sf)), "accepted")
+    return clean.labelled_rows(accepted, staged(clean.first_rows(accepted), "kept"), OPTS)
 
 
 def predictions(spark, sf):
     return fixtures.fixture_predictions(clean_rows(spark, sf))
 
 
+def paired(spark, sf):
+    s = splits(spark, sf)
+    return evaluate.pair_predictions(s, fixtures.fixture_predictions(s))
+
+
 def per_row_metrics(spark, sf):
-    return evaluate.example_metric_rows(evaluate.pair_predictions(splits(spark, sf), predictions(spark, sf)))
+    return evaluate.example_metric_rows(paired(spark, sf))
 
 
 def bar(col) -> F.Column:
@@ -110,14 +126,15 @@ def _checkable(spark, sf):
 
 
 def q_leakage_note(spark, sf):
-    return _checkable(spark, sf).select("row_no", leaks(F.col("ehr_text"), F.col("target_codes")).alias("leak_in_note"))
+    upper = _checkable(spark, sf).select("row_no", F.upper("ehr_text").alias("upper_note"), "target_codes")
+    return upper.select("row_no", leaks_in_upper(F.col("upper_note"), F.col("target_codes")).alias("leak_in_note"))
 
 
 def q_leakage_prompt(spark, sf):
     """F5 after F4, on the system prompt only (the oracle tests the whole prompt)."""
-    t = _checkable(spark, sf)
+    t = _checkable(spark, sf).withColumn("upper_note", F.upper("ehr_text"))
     system = system_prompt(F.col("instruction"), OPTS.system_prompt)
-    note_leak = leaks(F.col("ehr_text"), F.col("target_codes"))
+    note_leak = leaks_in_upper(F.col("upper_note"), F.col("target_codes"))
     return t.select("row_no", ((~note_leak) & leaks(system, F.col("target_codes"))).alias("leak_in_prompt"))
 
 
@@ -197,7 +214,15 @@ def q_split_invariants(spark, sf):
 
 
 def q_first_n_train(spark, sf):
-    return split.limit_first(_train(spark, sf), 2048).select("example_id", "split_key")
+    """L1 with a limit that bites at every scale."""
+    train = staged(_train(spark, sf).select("example_id", "split_key"), "train")
+    return split.limit_first(train, 100)
+
+
+def q_first_n_rows(spark, sf):
+    """L2: the first rows in source order, as an explicit argument asks for."""
+    rows = staged(clean_rows(spark, sf).select("example_id", "row_no"), "clean_ids")
+    return profile.first_rows(rows, 100)
 
 
 # ---- step 6: profile ------------------------------------------------------------
@@ -228,9 +253,10 @@ def q_token_length_summary(spark, sf):
 
 
 def _report(spark, sf):
-    c = classified(spark, sf)
-    return profile.dataset_report(raw(spark, sf), clean.clean_split_rows(c, OPTS),
-                                  clean.cleaning_stats(c), OPTS.sample_report_size)
+    c = staged(classified(spark, sf), "classified")
+    accepted = clean.accepted_rows(c)
+    rows = clean.labelled_rows(accepted, staged(clean.first_rows(accepted), "kept"), OPTS)
+    return profile.dataset_report(raw(spark, sf), rows, clean.cleaning_stats(c), OPTS.sample_report_size)
 
 
 REPORT_SERIES = ("prompt_token_length", "full_text_token_length", "num_codes_per_example")
@@ -239,7 +265,10 @@ REPORT_SERIES = ("prompt_token_length", "full_text_token_length", "num_codes_per
 def q_dataset_report(spark, sf):
     """R1 flattened to scalar columns (the timestamp is left out; ``report_json``
     checks the whole document)."""
-    r = _report(spark, sf)
+    return _flat_report(_report(spark, sf))
+
+
+def _flat_report(r):
     stats = F.array_join(F.array_sort(F.transform(
         F.map_entries("cleaning_stats"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ";")
     cols = [
@@ -289,12 +318,17 @@ def q_metrics_by_split(spark, sf):
 
 
 def q_prediction_rows(spark, sf):
-    return evaluate.prediction_records(evaluate.pair_predictions(splits(spark, sf), predictions(spark, sf)))
+    return evaluate.prediction_records(paired(spark, sf))
 
 
 def q_prediction_gaps(spark, sf):
-    test = splits(spark, sf).where(F.col("split") == "test")
-    return evaluate.prediction_gaps(test, predictions(spark, sf))
+    """F12 over predictions with missing, extra and repeated ids."""
+    s = staged(splits(spark, sf).select("example_id", "row_no", "target_text", "target_codes", "split"), "split_ids")
+    test = s.where(F.col("split") == "test")
+    own = fixtures.fixture_predictions(test.where(F.col("row_no") % 11 != 0))
+    extra = fixtures.fixture_predictions(s.where((F.col("split") == "validation") & (F.col("row_no") % 3 == 0)))
+    again = fixtures.fixture_predictions(test.where((F.col("row_no") % 7 == 1) & (F.col("row_no") % 11 != 0)))
+    return evaluate.prediction_gaps(test, own.union(extra).union(again))
 
 
 # ---- step 8: checks ---------------------------------------------------------------
@@ -347,13 +381,17 @@ def q_jsonl_notes(spark, sf):
 
 
 def q_note_files(spark, sf):
-    """Each raw note as its own file (one folder per ``row_no``), read back
-    one row per file and stripped."""
+    """Note files read back one row per file. A fixed number of files (not one
+    per row) holds the notes, each note behind its number, both without line breaks."""
     out = scratch_path(spark, "note-files")
     notes = fixtures.notes_table(spark, sf).where(F.col("note").isNotNull())
-    notes.select("row_no", "note").repartition("row_no").write.partitionBy("row_no").text(out)
-    back = io.read_note_files(spark, out)
-    return back.select(F.col("row_no").cast("bigint").alias("row_no"), clean.clean_text(F.col("note")).alias("note"))
+    line = F.concat(F.col("row_no").cast("string"), F.lit("\x1f"), F.base64(F.encode("note", "UTF-8")))
+    notes.select(F.translate(line, "\r\n", "").alias("value"), F.pmod("row_no", F.lit(16)).alias("shard")).repartition(16, "shard").select("value").write.text(out)
+    files = io.read_note_files(spark, out)
+    each = files.select(F.explode(F.split("note", "\n")).alias("line")).where("line <> ''")
+    parts = F.split("line", "\x1f")
+    note = F.decode(F.unbase64(F.element_at(parts, 2)), "UTF-8")
+    return each.select(F.element_at(parts, 1).cast("bigint").alias("row_no"), clean.clean_text(note).alias("note"))
 
 
 def q_load_or_prepare(spark, sf):
@@ -365,9 +403,102 @@ def q_load_or_prepare(spark, sf):
 
 
 def q_report_json(spark, sf):
+    """R1 through S8 and S9: the written document, parsed again, without its time."""
     out = scratch_path(spark, "report")
-    io.write_json_document(_report(spark, sf), out)
-    return io.read_json_document(spark, out)
+    report = _report(spark, sf)
+    io.write_json_document(report, out)
+    doc = io.read_json_document(spark, out).select(F.from_json("json", report.schema).alias("r"))
+    return _flat_report(doc.select("r.*"))
+
+
+def q_report_time(spark, sf):
+    """The report's time is UTC text and now (within a day, for the oracle's sake)."""
+    n = raw(spark, sf).agg(F.count(F.lit(1)).alias("rows"))
+    stamp = profile.created_at_utc()
+    return n.select("rows", stamp.rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00$").alias("is_utc_text"),
+                    (F.abs(F.unix_timestamp(F.to_timestamp(stamp)) - F.unix_timestamp()) < 86_400).alias("is_now"))
+
+
+def q_raw_split(spark, sf):
+    """A source of two splits, as JSON and as Parquet, read by split name."""
+    source = raw(spark, sf).drop("row_no").withColumn("split", F.when(F.col("icd_code").isNull(), F.lit("other")).otherwise(F.lit("train")))
+    out = scratch_path(spark, "raw-split")
+    io.write_jsonl(source, f"{out}/json")
+    source.write.parquet(f"{out}/parquet")
+    got = [io.read_raw(spark, f"{out}/{fmt}", fmt, split=OPTS.raw_split).withColumn("fmt", F.lit(fmt)) for fmt in ("json", "parquet")]
+    cols = ("fmt", "ehr_text", "instruction", "output", "icd_code")
+    return got[0].select(*cols).unionByName(got[1].select(*cols))
+
+
+def q_batch_inference(spark, sf):
+    """Notes from a JSON-lines file, scored into another, in input order."""
+    from notecodes.plans.score_job import run_batch_inference
+
+    src = scratch_path(spark, "notes-file")
+    io.write_jsonl(fixtures.notes_table(spark, sf).select("note", "instruction"), src)
+    scored = run_batch_inference(spark, src, scratch_path(spark, "scored-file"))
+    return scored.select(F.sha2(F.col("note"), 256).alias("note_hash"), "normalized_prediction")
+
+
+def q_nested_json(spark, sf):
+    """Arrays, maps, nulls and non-ASCII text written as JSON and read back."""
+    out = scratch_path(spark, "nested")
+    x = targets(spark, sf).select("row_no", "target_codes", F.create_map(F.lit("note"), F.left("ehr_text", F.lit(40)), F.lit("none"), F.lit(None).cast("string")).alias("parts"))
+    io.write_jsonl(x, out)
+    back = spark.read.schema("row_no bigint, target_codes array<string>, parts map<string,string>").json(out)
+    return back.select("row_no", bar(F.col("target_codes")).alias("codes"), F.col("parts")["note"].alias("note"), F.col("parts")["none"].isNull().alias("is_null"))
+
+
+def q_token_template(spark, sf):
+    """F8 on token ids: words stand for ids by their length."""
+    ids = F.transform(F.split(F.left("ehr_text", F.lit(2000)), " "), lambda w: F.length(w))
+    x = stripped(spark, sf).select("row_no", ids.alias("ids"))
+    return x.select("row_no", checks.contains_token_run(F.col("ids"), (2, 3)).alias("has_run"))
+
+
+def q_empty_training(spark, sf):
+    """the checks' verdicts as rows (counted from the table)."""
+    train = staged(_train(spark, sf).select("example_id", "split_key"), "train")
+
+    def fails(check) -> bool:
+        try:
+            check()
+        except ValueError:
+            return True
+        return False
+
+    verdicts = [
+        ("empty_training", fails(lambda: checks.require_not_empty(split.limit_first(train, 0)))),
+        ("training", fails(lambda: checks.require_not_empty(train))),
+        ("ratios_over_one", fails(lambda: PrepareOptions(train_ratio=0.95).check())),
+        ("ratios", fails(OPTS.check)),
+    ]
+    n = train.agg(F.count(F.lit(1)).cast("bigint").alias("train_rows"))
+    rows = F.array(*(F.struct(F.lit(k).alias("check"), F.lit(v).alias("fails")) for k, v in verdicts))
+    return n.select("train_rows", F.explode(rows).alias("v")).select("train_rows", "v.check", "v.fails")
+
+
+def q_tokenizer_counts(spark, sf):
+    """U1's plug point with a white-space tokenizer."""
+    count = tokenizer_count_udf(lambda: lambda texts: [t.split() for t in texts])
+    return stripped(spark, sf).select("row_no", count(F.col("ehr_text")).cast("bigint").alias("n_tokens"))
+
+
+def q_length_order(spark, sf):
+    """L5's order: rows, and neighbours inside a partition that are out of order (none)."""
+    rows = checks.group_by_length(clean_rows(spark, sf).select("example_id", "text"), 8)
+    seen = rows.select("n_tokens", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+    w = Window.partitionBy("part").orderBy("at")
+    return seen.select("n_tokens", F.lag("n_tokens").over(w).alias("before")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") > F.col("n_tokens")).alias("out_of_order"))
+
+
+def q_stream_settings(spark, sf):
+    """T1 with each request's own settings: an echoing predictor answers with what it was given."""
+    src = scratch_path(spark, "requests-in")
+    io.write_jsonl(fixtures.request_rows(spark, sf).withColumnRenamed("request_id", "row_no"), src)
+    sink = run_stream_once(spark, src, scratch_path(spark, "requests-out"), scratch_path(spark, "requests-ckpt"), factory=score.echo_settings)
+    return sink.select("row_no", "raw_prediction")
 
 
 def q_stream_score(spark, sf):
@@ -386,10 +517,10 @@ def q_evaluation_file(spark, sf):
 
     prepared = scratch_path(spark, "prepared")
     done = prepare(spark, raw(spark, sf), prepared, OPTS)
-    test_ids = done.splits.where(F.col("split") == "test").select("example_id")
-    test_preds = predictions(spark, sf).join(test_ids, "example_id", "left_semi")
+    known = done.splits.withColumn("target_codes", extract_codes(F.col("target_text")))
+    given = fixtures.fixture_predictions(known)  # of all splits: the job takes its own
     out = scratch_path(spark, "eval") + "/test_predictions.jsonl"
-    run_evaluation(spark, prepared, out, EvaluateOptions(split="test", max_samples=None), predictions=test_preds)
+    run_evaluation(spark, prepared, out, EvaluateOptions(split="test", max_samples=20), predictions=given)
     m = read_metrics(spark, out)
     return r9(m, evaluate.EVALUATION_FIELDS).select("split", "num_examples", *evaluate.EVALUATION_FIELDS)
 
@@ -407,7 +538,8 @@ def queries() -> dict[str, Query]:
         "example_metrics", "macro_metrics", "micro_metrics", "evaluation_row", "metrics_by_split",
         "prediction_rows", "prediction_gaps",
         "template_check", "request_check", "over_budget", "length_buckets",
-        "batch_predict", "parse_predictions",
+        "batch_predict", "parse_predictions", "raw_split", "batch_inference", "nested_json", "token_template",
+        "empty_training", "tokenizer_counts", "length_order", "stream_settings", "report_time", "first_n_rows",
         "save_and_reload_split", "jsonl_notes", "note_files", "load_or_prepare", "report_json", "stream_score",
         "evaluation_file",
     ]

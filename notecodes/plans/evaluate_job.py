@@ -15,26 +15,27 @@ from notecodes.operators import evaluate
 from notecodes.operators.score import PredictorFactory, batch_predict, rule_predictor
 from notecodes.operators.split import limit_first
 from notecodes.session import scratch_path
-from notecodes.sources.io import read_split, write_evaluation
+from notecodes.sources.io import metrics_path, read_split, write_evaluation
 
 
 def evaluation_rows(spark: SparkSession, prepared_dir: str, opts: EvaluateOptions = EvaluateOptions(),
                     predictions: DataFrame | None = None, factory: PredictorFactory = rule_predictor) -> DataFrame:
     """Per-row metrics for the chosen split (limited to ``max_samples`` in split order)."""
     refs = limit_first(read_split(spark, prepared_dir, opts.split), opts.max_samples)
+    refs = refs.select("example_id", "prompt_text", "target_text")  # all that the predictor and the metrics need
     if predictions is None:
         popts = PredictOptions(max_new_tokens=opts.max_new_tokens, temperature=opts.temperature, top_p=opts.top_p,
                                do_sample=opts.do_sample, num_beams=opts.num_beams, batch_size=opts.batch_size)
         pairs = batch_predict(refs, factory, popts)
     else:
-        evaluate.require_aligned(refs, predictions)
-        pairs = evaluate.pair_predictions(refs, predictions)
+        own = evaluate.narrowed(refs, predictions, read_split(spark, prepared_dir))
+        pairs = evaluate.pair_predictions(refs, own)
     return evaluate.example_metric_rows(pairs)
 
 
 def run_evaluation(spark: SparkSession, prepared_dir: str, output_path: str, opts: EvaluateOptions = EvaluateOptions(),
                    predictions: DataFrame | None = None, factory: PredictorFactory = rule_predictor) -> DataFrame:
-    """Write the prediction rows and ``<output>.metrics.json``; return the metrics row."""
+    """Write the prediction rows and its ``.metrics.json``; return the metrics row."""
     per_row = evaluation_rows(spark, prepared_dir, opts, predictions, factory)
     if predictions is None:
         # Two outputs read the rows; stage them in the shared folder so the
@@ -50,7 +51,7 @@ def run_evaluation(spark: SparkSession, prepared_dir: str, output_path: str, opt
 
 def read_metrics(spark: SparkSession, output_path: str) -> DataFrame:
     """The ``.metrics.json`` document as one row of typed columns."""
-    doc = spark.read.json(output_path.rstrip("/") + ".metrics.json")
+    doc = spark.read.json(metrics_path(output_path))
     return doc.select("split", "model_id", "num_examples", "metrics.*")
 
 

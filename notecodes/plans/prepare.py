@@ -17,25 +17,23 @@ from notecodes.config import PrepareOptions
 from notecodes.operators.clean import CLEAN_COLUMNS, classify, clean_split_rows, cleaning_stats, rejects
 from notecodes.operators.profile import dataset_report
 from notecodes.session import scratch_path
-from notecodes.sources.io import read_split, save_splits, table_exists, write_json_document
+from notecodes.sources.io import read_raw, read_split, save_splits, table_exists, write_json_document
 
+SMALL_BYTES = 32 << 20
 OUTPUT_COLUMNS = CLEAN_COLUMNS + ("row_no", "split_key", "split")
 
 
 def rebalanced(spark: SparkSession, raw: DataFrame, opts: PrepareOptions) -> DataFrame:
-    """Hash-partition the raw rows by ``row_no`` when the scan is too coarse.
+    """Hash-partition the raw rows by ``row_no`` when the whole input is small.
 
     Hash partitioning (not round-robin) keeps retries deterministic and needs no
-    sort. With many input files (the large-data case) the scan is already
-    spread and nothing is added.
+    sort. Beyond ``SMALL_BYTES`` a task slot the scan has splits enough and
+    nothing is added, so no large input is shuffled.
     """
     slots = spark.sparkContext.defaultParallelism
     wanted = opts.rebalance_input
     if wanted is None:
-        try:
-            wanted = len(raw.inputFiles()) < slots
-        except Exception:  # noqa: BLE001 - sources without a file listing
-            wanted = False
+        wanted = int(str(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < slots * SMALL_BYTES
     return raw.repartition(2 * slots, "row_no") if wanted else raw
 
 
@@ -51,9 +49,8 @@ def prepare(spark: SparkSession, raw: DataFrame, out_dir: str, opts: PrepareOpti
             report_path: str | None = None, stage_dir: str | None = None) -> Prepared:
     """Run the whole Prepare job; returns lazy views over what was written."""
     opts.check()
-    raw = rebalanced(spark, raw, opts)
     stage = stage_dir or scratch_path(spark, "classified")
-    classify(raw, opts).write.mode("overwrite").parquet(stage)
+    classify(rebalanced(spark, raw, opts), opts).write.mode("overwrite").parquet(stage)
     staged = spark.read.parquet(stage)
     split_df = clean_split_rows(staged, opts)
     save_splits(split_df.select(*OUTPUT_COLUMNS), out_dir, opts.output_compression)
@@ -65,6 +62,12 @@ def prepare(spark: SparkSession, raw: DataFrame, out_dir: str, opts: PrepareOpti
     return Prepared(written, stats, rejects(staged), report)
 
 
+def prepare_source(spark: SparkSession, path: str, out_dir: str, fmt: str = "parquet",
+                   opts: PrepareOptions = PrepareOptions(), report_path: str | None = None) -> Prepared:
+    """Prepare from a raw source that holds several splits: ``opts.raw_split`` is read."""
+    return prepare(spark, read_raw(spark, path, fmt, split=opts.raw_split), out_dir, opts, report_path)
+
+
 def load_or_prepare(spark: SparkSession, raw: DataFrame, out_dir: str, opts: PrepareOptions = PrepareOptions(),
                     report_path: str | None = None) -> DataFrame:
     """S3: reuse the written table when ``out_dir/_SUCCESS`` exists, else build it."""

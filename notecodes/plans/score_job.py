@@ -26,7 +26,8 @@ def run_batch_inference(spark: SparkSession, input_path: str, output_path: str |
     notes = with_row_no(read_notes_jsonl(spark, input_path))
     has_note = F.col("note").isNotNull()  # required; "" is a valid note
     scored = score_notes(notes.where(has_note), factory, options)
-    write_jsonl(scored.select(*SCORED_COLUMNS), output_path)
+    # part files in input order: a range sort on the row number
+    write_jsonl(scored.orderBy("row_no").select(*SCORED_COLUMNS), output_path)
     if quarantine_path:
         bad = notes.where(~has_note).withColumn("violations", F.array(F.lit("note")))
         write_jsonl(bad, quarantine_path)

@@ -31,10 +31,10 @@ def training_views(spark: SparkSession, raw: DataFrame, prepared_dir: str,
                    opts: TrainingShapeOptions = TrainingShapeOptions()) -> tuple[DataFrame, DataFrame]:
     """Train and validation views, limited and with prompt/completion columns.
 
-    Raises when the train view is empty (F9) or a row lacks the response
+    A table built here also saves its report, beside it. Raises when the train view is empty (F9) or a row lacks the response
     template (F8, checked on every row).
     """
-    table = load_or_prepare(spark, raw, prepared_dir, prep)
+    table = load_or_prepare(spark, raw, prepared_dir, prep, report_path=prepared_dir.rstrip("/") + "_report.json")
     train = add_prompt_completion(limit_first(table.where(F.col("split") == "train"), opts.max_train_samples), opts)
     val = add_prompt_completion(limit_first(table.where(F.col("split") == "validation"), opts.max_eval_samples), opts)
     require_not_empty(train, "Training dataset")

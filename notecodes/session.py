@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -48,6 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("Set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3).")
     local = tempfile.mkdtemp(prefix="notecodes-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)  # staged tables of local runs go with the process
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
     return local

@@ -33,7 +33,8 @@ def _split_count_estimate(df: DataFrame) -> int:
     spark = df.sparkSession
     files = len(df.inputFiles())
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").rstrip("b") or 134217728)
+    said = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
+    split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said))  # "128m" as well as bytes
     return files + size // max(split, 1) + 1
 
 
@@ -81,20 +82,31 @@ def with_row_no(df: DataFrame, broadcast_max: int = ROW_NO_BROADCAST_MAX) -> Dat
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", split: str | None = None,
              split_col: str = "split") -> DataFrame:
-    """Scan the raw examples; pick one split by name when the source holds several."""
+    """Scan the raw examples; pick one split by name when the source holds several.
+
+    A split that the source does not have, or a source without the split column,
+    is an error. So is a broken JSON line (it would otherwise be a row of nulls).
+    """
     reader = spark.read
     if fmt in ("json", "csv"):
         schema = RAW_SCHEMA
         if split is not None:
             schema = StructType(RAW_SCHEMA.fields + [StructField(split_col, StringType(), True)])
         reader = reader.schema(schema)
+        if fmt == "json":
+            reader = reader.option("mode", "FAILFAST")
         if fmt == "csv":
             reader = reader.option("header", "true").option("multiLine", "true").option("escape", '"')
     # Numbered before the split filter: ``row_no`` is then the row's place in
     # the whole source (gaps where other splits' rows were), order preserved.
     df = with_row_no(reader.format(fmt).load(path))
-    if split is not None and split_col in df.columns:
-        df = df.where(F.col(split_col) == split)
+    if split is None:
+        return df
+    if split_col not in df.columns:
+        raise ValueError(f"{path} has no column {split_col!r} to pick {split!r} by.")
+    df = df.where(F.col(split_col) == split)
+    if df.isEmpty():
+        raise ValueError(f"{path} has no split {split!r}.")
     return df
 
 
@@ -178,8 +190,15 @@ def read_json_document(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("json"))
 
 
+def metrics_path(path: str) -> str:
+    """The metrics document beside a prediction file: its last suffix becomes ``.metrics.json``."""
+    folder, slash, name = path.rstrip("/").rpartition("/")
+    stem = name.rsplit(".", 1)[0] if "." in name.lstrip(".") else name
+    return f"{folder}{slash}{stem}.metrics.json"
+
+
 def write_evaluation(pred_rows: DataFrame, metrics_row: DataFrame, path: str, split: str, model_id: str) -> None:
-    """Prediction rows as JSON lines, plus ``<path>.metrics.json`` with
+    """Prediction rows as JSON lines, plus their ``.metrics.json`` (``metrics_path``) with
     ``split, metrics, model_id, num_examples``."""
     write_jsonl(pred_rows, path)
     metric_cols = [c for c in metrics_row.columns if c != "num_examples"]
@@ -189,4 +208,4 @@ def write_evaluation(pred_rows: DataFrame, metrics_row: DataFrame, path: str, sp
         F.lit(model_id).alias("model_id"),
         F.col("num_examples").cast(LongType()).alias("num_examples"),
     )
-    write_json_document(doc, path.rstrip("/") + ".metrics.json")
+    write_json_document(doc, metrics_path(path))

@@ -17,7 +17,9 @@ from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, St
 
 from notecodes.config import PredictOptions
 from notecodes.operators.checks import request_violations
-from notecodes.operators.score import PredictorFactory, rule_predictor, score_notes
+from notecodes.operators.score import SETTINGS, PredictorFactory, rule_predictor, score_notes
+
+MAX_FILES = 256
 
 STREAM_NOTES_SCHEMA = StructType([
     StructField("row_no", LongType(), True),
@@ -28,6 +30,7 @@ STREAM_NOTES_SCHEMA = StructType([
     StructField("top_p", DoubleType(), True),
     StructField("do_sample", BooleanType(), True),
     StructField("num_beams", IntegerType(), True),
+    StructField("broken_line", StringType(), True),
 ])
 
 
@@ -42,11 +45,20 @@ def with_request_defaults(notes: DataFrame, options: PredictOptions = PredictOpt
     })
 
 
+def with_broken_lines(checked: DataFrame) -> DataFrame:
+    """A line that is no JSON is one violation of its own; its text stays in ``broken_line``."""
+    broken = F.col("broken_line").isNotNull()
+    return checked.withColumns({
+        "violations": F.when(broken, F.array(F.lit("json"))).otherwise(F.col("violations")),
+        "valid": F.col("valid") & ~broken,
+    })
+
+
 def score_micro_batch(batch: DataFrame, batch_id: int, sink_dir: str, quarantine_dir: str,
                       factory: PredictorFactory = rule_predictor, options: PredictOptions = PredictOptions()) -> None:
-    checked = request_violations(with_request_defaults(batch, options)).persist()
+    checked = with_broken_lines(request_violations(with_request_defaults(batch, options))).persist()
     try:
-        valid = checked.where(F.col("valid")).select("row_no", "note", "instruction")
+        valid = checked.where(F.col("valid")).select("row_no", "note", "instruction", *SETTINGS)
         scored = score_notes(valid, factory, options)
         scored.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
         bad = checked.where(~F.col("valid")).drop("valid")
@@ -58,9 +70,13 @@ def score_micro_batch(batch: DataFrame, batch_id: int, sink_dir: str, quarantine
 def start_scoring(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                   quarantine_dir: str | None = None, factory: PredictorFactory = rule_predictor,
                   options: PredictOptions = PredictOptions(), available_now: bool = True,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the scoring stream over JSON-lines note files arriving in ``source_dir``."""
-    reader = spark.readStream.schema(STREAM_NOTES_SCHEMA)
+                  max_files_per_trigger: int | None = MAX_FILES) -> StreamingQuery:
+    """Start the scoring stream over JSON-lines note files arriving in ``source_dir``.
+
+    A micro-batch takes ``max_files_per_trigger`` files at most, so a backlog is
+    worked off in bounded batches.
+    """
+    reader = spark.readStream.schema(STREAM_NOTES_SCHEMA).option("columnNameOfCorruptRecord", "broken_line")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     notes = reader.json(source_dir)

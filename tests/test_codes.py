@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from notecodes.functions.codes import CODE_PATTERN, code_variants, extract_codes, leaks, normalize_code
+from notecodes.functions.codes import CODE_PATTERN, PYTHON_CODE_PATTERN, code_variants, extract_codes, leaks, normalize_code
 from notecodes.functions.metrics import example_metrics
 from notecodes.functions.prompts import DEFAULT_SYSTEM_PROMPT, DEFAULT_TEMPLATE
 from notecodes.functions.text import STRIP_PATTERN, clean_text
@@ -29,7 +29,14 @@ MATCHES = [
     ("H2O A1B.C", ["H2O", "A1B.C"]),
     ("E11.9.1", ["E11.9"]),
     ("E1190.1", ["E1190"]),
-    ("E11\u0301", []),  # Spark differs from Python here (combining accent)
+    ("E11\u0301", ["E11"]),
+    ("x\u200dE11.9", ["E11.9"]),
+    ("E11.9\u2460", ["E11."]),
+    ("\u0301E11.9\u0301", ["E11.9"]),
+    ("E11.9\u00b2", ["E11."]),
+    ("\u2460E11.9", []),
+    ("E11.\u0301", ["E11"]),
+    ("E11\u200c9", ["E11"]),
 ]
 
 
@@ -39,6 +46,12 @@ def test_raw_matches(spark):
     assert [r.m for r in got] == [m for _, m in MATCHES]
 
 
+def test_boundaries_are_pythons(spark):
+    """Every case above, against Python's own word boundary."""
+    pattern = re.compile(r"\b[A-TV-Z][0-9][0-9A-Z](?:\.?[0-9A-Z]{0,4})\b")
+    assert [pattern.findall(t.upper()) for t, _ in MATCHES] == [m for _, m in MATCHES]
+
+
 NORMALIZED = [
     ("e11.9", "E11.9"), ("E119", "E11.9"), ("E11.", "E11"), ("E11..9", "E11.9"), ("E.1.19", "E11.9"),
     ("E1190.1", "E11.1"), ("I10", "I10"), ("-", ""), ("...", ""),
@@ -132,5 +145,5 @@ def test_space_set_is_pythons():
 
 
 def test_default_prompt_has_no_code_like_word():
-    assert not re.search(CODE_PATTERN.replace("(?U)", ""), DEFAULT_SYSTEM_PROMPT.upper())
+    assert not re.search(PYTHON_CODE_PATTERN, DEFAULT_SYSTEM_PROMPT.upper())
     assert DEFAULT_TEMPLATE.isolates_fields()

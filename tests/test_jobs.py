@@ -88,7 +88,7 @@ def test_row_no_follows_file_order(spark):
 
 def test_tokenizer_plug_point(spark):
     df = spark.createDataFrame([("a b  c",), ("",), (None,)], "t string")
-    count = tokenizer_count_udf(lambda: (lambda s: s.split()))
+    count = tokenizer_count_udf(lambda: (lambda texts: [t.split() for t in texts]))
     rows = df.select(count(F.col("t")).alias("n"), approx_token_count(F.col("t")).alias("a")).collect()
     assert [r.n for r in rows] == [3, 0, 0]
     assert [r.a for r in rows] == [3, 0, 0]
@@ -153,3 +153,65 @@ def test_row_no_follows_file_order_for_json_blocks(spark):
         plain = io.with_row_no(spark.read.schema(io.RAW_SCHEMA).json(path), broadcast_max=0)
         assert sorted((r.row_no, r.ehr_text) for r in plain.select("row_no", "ehr_text").collect()) == [
             (i, f"row {i}") for i in range(n)]
+
+
+def test_evaluate_takes_its_part_of_all_predictions(spark, tmp_path):
+    """A limited split with predictions of every split; strangers and repeats are errors."""
+    raw = fixtures.raw_examples(spark, SF0001)
+    out = str(tmp_path / "prepared")
+    table = prepare(spark, raw, out).splits
+    preds = table.select("example_id", F.col("target_text").alias("prediction"))
+    rows = evaluation_rows(spark, out, EvaluateOptions(split="train", max_samples=3), predictions=preds)
+    assert rows.count() == 3
+    with pytest.raises(ValueError, match="does not have"):
+        evaluation_rows(spark, out, EvaluateOptions(split="test"), predictions=preds.withColumn("example_id", F.concat("example_id", F.lit("x"))))
+    with pytest.raises(ValueError, match="repeated predictions"):
+        evaluation_rows(spark, out, EvaluateOptions(split="test"), predictions=preds.union(preds))
+
+
+def test_metrics_path_replaces_the_last_suffix():
+    assert io.metrics_path("/a/b.c/x.jsonl") == "/a/b.c/x.metrics.json"
+    assert io.metrics_path("/a/b.c/x/") == "/a/b.c/x.metrics.json"
+    assert io.metrics_path("y.z.jsonl") == "y.z.metrics.json"
+
+
+def test_read_raw_faults(spark, tmp_path):
+    path = str(tmp_path / "raw.json")
+    with open(path, "w") as f:
+        f.write('{"ehr_text": "a", "split": "train"}\n{"ehr_text": "b", "split": "other"}\n')
+    assert [r.ehr_text for r in io.read_raw(spark, path, "json", split="train").collect()] == ["a"]
+    with pytest.raises(ValueError, match="no split"):
+        io.read_raw(spark, path, "json", split="nowhere")
+    plain = str(tmp_path / "plain")
+    spark.createDataFrame([("a",)], "ehr_text string").write.parquet(plain)
+    with pytest.raises(ValueError, match="no column"):
+        io.read_raw(spark, plain, split="train")
+
+
+def test_byte_strings_of_the_split_size(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.range(10).selectExpr("cast(id as string) ehr_text").coalesce(1).write.json(path)
+    with io.session_conf(spark, "spark.sql.files.maxPartitionBytes", "128m"):
+        assert sorted(r.row_no for r in io.read_raw(spark, path, "json").select("row_no").collect()) == list(range(10))
+
+
+def test_limits_keep_the_first_rows(spark):
+    from notecodes.operators import profile, split
+
+    rows = spark.range(500).selectExpr("sha2(cast(id as string), 256) split_key", "id * 7 row_no")
+    keys = sorted(r.split_key for r in rows.collect())
+    for n in (0, 1, 37, 500, 900):
+        assert sorted(r.split_key for r in split.limit_first(rows, n).collect()) == keys[:n]
+        assert sorted(r.row_no for r in profile.first_rows(rows, n).collect()) == [7 * i for i in range(min(n, 500))]
+
+
+def test_stream_quarantines_broken_lines(spark, tmp_path):
+    from notecodes.streaming.score_stream import run_stream_once
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.json").write_text('{"row_no": 1, "note": "E11.9", "num_beams": 2}\n{"row_no": 2, "note": \n')
+    quarantine = str(tmp_path / "bad")
+    sink = run_stream_once(spark, str(src), str(tmp_path / "out"), str(tmp_path / "ckpt"), quarantine_dir=quarantine)
+    assert [(r.row_no, r.normalized_prediction) for r in sink.collect()] == [(1, "E11.9")]
+    assert [(list(r.violations), r.broken_line) for r in spark.read.parquet(quarantine).collect()] == [(["json"], '{"row_no": 2, "note": ')]

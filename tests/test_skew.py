@@ -12,11 +12,11 @@ import re
 
 from pyspark.sql import functions as F
 
-from notecodes.functions.codes import CODE_PATTERN
+from notecodes.functions.codes import PYTHON_CODE_PATTERN
 from notecodes.operators import clean
 from tests.conftest import SF001
 
-_PAT = re.compile(CODE_PATTERN.replace("(?U)", ""))
+_PAT = re.compile(PYTHON_CODE_PATTERN)
 
 
 def _codes(text):
