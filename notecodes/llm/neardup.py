@@ -321,17 +321,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         found = components(links.union(more))
 
     # every row of a document's id shares its component, also when its texts differ
-    own = (
-        signed.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "key1", "key2").distinct()
-        .join(classes.select("key1", "key2", "node"), ["key1", "key2"])
-    )
-    repeated = own.groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
-    if not repeated.isEmpty():
-        through = own.join(repeated.select("doc_id"), "doc_id").groupBy("doc_id").agg(F.min("node").alias("b"), F.collect_set("node").alias("all"))
-        found = components(
-            links.union(more).union(through.select(F.explode("all").alias("a"), "b").where("a <> b"))
-        )
-        own = own.groupBy("doc_id").agg(F.min("node").alias("node"))
+    texts = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "key1", "key2").join(classes.select("key1", "key2", "node"), ["key1", "key2"])
+    own = staged(texts.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last")), "own")
+    split = own.where("node < last").select("doc_id", F.col("node").alias("b"))
+    if not split.isEmpty():
+        through = texts.join(split, "doc_id").select(F.col("node").alias("a"), "b").where("a <> b")
+        found = components(links.union(more).union(through))
     own = own.join(found, "node", "left").select(F.col("doc_id").alias("id"), F.coalesce("comp", "node").alias("comp"))
     component = F.coalesce("comp", "doc_id")
     return (
