@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The metric names.
 METRIC_COLUMNS = ("precision", "recall", "f1", "exact_match", "num_predicted_codes", "num_reference_codes")
 
 

@@ -210,7 +210,7 @@ def q_split_assignment(spark, sf):
 
 
 def q_split_invariants(spark, sf):
-    return split.split_invariants(splits(spark, sf))
+    return split.split_invariants(staged(splits(spark, sf).select("example_id", "ehr_text", "split"), "split_rows"))
 
 
 def q_first_n_train(spark, sf):

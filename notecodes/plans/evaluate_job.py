@@ -8,9 +8,11 @@ the prompts first.
 
 from __future__ import annotations
 
+from dataclasses import fields
+
 from pyspark.sql import DataFrame, SparkSession
 
-from notecodes.config import EvaluateOptions, PredictOptions
+from notecodes.config import EvaluateOptions, GenerationOptions, PredictOptions
 from notecodes.operators import evaluate
 from notecodes.operators.score import PredictorFactory, batch_predict, rule_predictor
 from notecodes.operators.split import limit_first
@@ -24,8 +26,7 @@ def evaluation_rows(spark: SparkSession, prepared_dir: str, opts: EvaluateOption
     refs = limit_first(read_split(spark, prepared_dir, opts.split), opts.max_samples)
     refs = refs.select("example_id", "prompt_text", "target_text")  # all that the predictor and the metrics need
     if predictions is None:
-        popts = PredictOptions(max_new_tokens=opts.max_new_tokens, temperature=opts.temperature, top_p=opts.top_p,
-                               do_sample=opts.do_sample, num_beams=opts.num_beams, batch_size=opts.batch_size)
+        popts = PredictOptions(**{f.name: getattr(opts, f.name) for f in fields(GenerationOptions)})
         pairs = batch_predict(refs, factory, popts)
     else:
         own = evaluate.narrowed(refs, predictions, read_split(spark, prepared_dir))

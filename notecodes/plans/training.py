@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from notecodes.config import PrepareOptions, TrainingShapeOptions
 from notecodes.functions.prompts import completion_text
-from notecodes.operators.checks import over_budget, require_not_empty, require_template
+from notecodes.operators.checks import require_not_empty, require_template
 from notecodes.operators.split import limit_first
 from notecodes.plans.prepare import load_or_prepare
 from notecodes.sources.io import write_jsonl
@@ -48,8 +48,3 @@ def write_training_table(df: DataFrame, path: str, fmt: str = "parquet") -> None
         write_jsonl(df.select(*cols), path)
     else:
         df.select(*cols).write.mode("overwrite").parquet(path)
-
-
-def budget_report(df: DataFrame, opts: TrainingShapeOptions = TrainingShapeOptions()) -> DataFrame:
-    """share of rows whose prompt would be cut at ``max_seq_length``."""
-    return over_budget(df, opts.max_seq_length)
