@@ -39,8 +39,12 @@ TRAIN_ROWS, TERMS, WINDOW = 30_000, 300, 48
 STEMS = (4, 5, 6)
 #: Shorter terms are matched exactly only.
 FUZZY_FROM = 5
-#: A term occurs in so many toxic training texts at least, and so many times as often as in others.
-LEAST_TEXTS, LEAST_RATIO = 6, 12
+#: A term occurs in so many toxic training texts at least (and in that share of them), and so
+#: many times as often as in others.
+LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO = 6, 0.01, 30
+
+#: Log-odds from which a term's misspellings count like the term.
+TRUSTED = 2.0
 
 _WORD = re.compile(r"[^\W_]+")
 _OPEN, _CLOSE = "\"“«„‟❝", "\"”»“‟❞"
@@ -232,9 +236,11 @@ class Model:
         n = len(offsets) - 1
         text, term, edits, in_quotes, words = self.hits(data, offsets)
         count = lambda pick: np.bincount(text[pick], minlength=n).astype(float)
-        exact, exact_quoted = count((edits == 0) & ~in_quotes), count((edits == 0) & in_quotes)
+        # a misspelling that clean texts do not have counts like the term itself
+        trusted = (edits == 0) | (self.trust[term] >= TRUSTED if len(self.trust) else False)
+        exact, exact_quoted = count(trusted & ~in_quotes), count(trusted & in_quotes)
         fuzzy = np.zeros(n)
-        pick = (edits == 1) & ~in_quotes
+        pick = ~trusted & ~in_quotes
         np.maximum.at(fuzzy, text[pick], self.trust[term[pick]] if len(self.trust) else 1.0)
         return np.column_stack([
             np.ones(n), np.minimum(exact, 1), np.log1p(exact), np.minimum(exact_quoted, 1), np.log1p(exact_quoted),
@@ -254,21 +260,38 @@ _PRIOR = np.array([-3.0, 3.0, 1.0, 0.5, 0.3, 1.0, 0.0])
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, spread: float = 2.0, rounds: int = 50) -> np.ndarray:
     """Maximum a posteriori weights by Newton steps (Gaussian prior)."""
+    def value(v: np.ndarray) -> float:
+        z = x @ v
+        return float(np.sum(y * z - np.logaddexp(0, z)) - np.sum((v - prior) ** 2) / (2 * spread**2))
+
     w = prior.copy()
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         grad = x.T @ (y - p) - (w - prior) / spread**2
         hess = (x * (p * (1 - p))[:, None]).T @ x + np.eye(len(w)) / spread**2
-        move = np.linalg.solve(hess, grad)
-        w = w + np.clip(move, -2, 2)
-        if np.abs(move).max() < 1e-6:
+        move, at = np.linalg.solve(hess, grad), value(w)
+        size = 1.0  # a full step can overshoot where the classes are nearly separate
+        while size > 1e-6 and value(w + size * move) < at:
+            size /= 2
+        w = w + size * move
+        if np.abs(move).max() < 1e-6 or size <= 1e-6:
             break
     return w
 
 
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The smallest shingle hash of each text: near copies mostly share it."""
+    for batch in batches:
+        for part in tn.slices(batch, "text"):
+            data, offsets = tn.buffer_of(part.column("text"))
+            sets = tn.shingle_sets(tn.words_of(tn.lower_ascii(data), offsets, tn.NON_SPACE))
+            least = np.array([s[0] if len(s) else 0 for s in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column("text"), part.column("label"), pa.array(least)], ["text", "label", "sketch"])
+
+
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in tn.slices(batch, "text", 16 << 20):
+        for part in tn.slices(batch, "text", 4 << 20):
             counts = (Counter(), Counter())
             for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist()):
                 words = {w for w in _WORD.findall(text.lower()) if len(w) <= 24}
@@ -286,25 +309,34 @@ def mine_lexicon(sample: DataFrame, toxic: int, clean: int) -> list[tuple[str, b
     found = (
         sample.select("text", "label").mapInArrow(_term_counts, "term string, toxic long, clean long")
         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= LEAST_TEXTS) & (F.col("toxic") * clean >= LEAST_RATIO * toxic * (F.col("clean") + 1)))
+        .where((F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * toxic)) & (F.col("toxic") * clean >= LEAST_RATIO * toxic * (F.col("clean") + 1)))
         .orderBy(F.desc("toxic"), F.desc(F.length("term")), "term").limit(20 * TERMS).collect()
     )
     rank = sorted(found, key=lambda r: (-r["toxic"], r["term"].endswith("*"), -len(r["term"]), r["term"]))
-    kept: list[tuple[str, bool, int]] = []
+    # how often the most frequent longer term of a stem occurs (the whole word counts as longer)
+    longer: dict[str, int] = {}
+    for r in found:
+        text, stem = r["term"].rstrip("*"), r["term"].endswith("*")
+        for k in STEMS:
+            if len(text) > k or (len(text) == k and not stem):
+                longer[text[:k]] = max(longer.get(text[:k], 0), r["toxic"])
+    kept: list[tuple[str, bool]] = []
     for r in rank:
         text, stem = r["term"].rstrip("*"), r["term"].endswith("*")
-        if any(text.startswith(t) if s else t == text for t, s, _ in kept):
-            continue
-        if stem and sum(n for t, _, n in kept if t.startswith(text)) >= 0.9 * r["toxic"]:
+        if stem and longer.get(text, 0) >= 0.9 * r["toxic"]:
+            continue  # the more specific term says the same
+        if any(text.startswith(t) if s else t == text for t, s in kept):
             continue
-        kept.append((text, stem, r["toxic"]))
-    return [(t, s) for t, s, _ in kept[:TERMS]]
+        kept.append((text, stem))
+    return kept[:TERMS]
 
 
 def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, train_rows: int = TRAIN_ROWS) -> Model:
     """The model learned from labels whose id's remainder is not the held-out one."""
     setup(docs.sparkSession)
-    sample = staged(labelled_sample(docs, labels, "toxic", mod, rest, train_rows), "toxic_sample")
+    # of near copies one is enough: terms that a group of copies has alone are no evidence
+    sample = labelled_sample(docs, labels, "toxic", mod, rest, train_rows).select("text", "label").mapInArrow(_sketched, "text string, label int, sketch long")
+    sample = staged(sample.groupBy("label", "sketch").agg(F.max("text").alias("text")).select("text", "label"), "toxic_sample")
     n = {r["y"]: r["c"] for r in sample.groupBy((F.col("label") > 0).alias("y")).agg(F.count("*").alias("c")).collect()}
     toxic, clean = n.get(True, 0), n.get(False, 0)
     terms = mine_lexicon(sample, toxic, clean) if toxic and clean else []
@@ -334,12 +366,9 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, train_r
     for label, terms_near, ok in zip(y.astype(int), near, bare):
         if ok:
             seen[label, terms_near] += 1
-    size = np.array([np.sum(bare & (y == 0)), np.sum(bare & (y == 1))]) + 1.0
-    # half a text each way: an unseen misspelling is trusted when no clean text has it
-    model.trust = np.clip(np.log((seen[1] + 0.5) / size[1]) - np.log((seen[0] + 0.5) / size[0]), 0, 8)
-    unseen = seen.sum(axis=0) == 0
-    model.trust[unseen] = 4.0
-    x[:, 5] = [max((model.trust[t] for t in terms_near), default=0.0) for terms_near in near]
+    # odds of the texts without an exact hit; what no text of the sample has is taken for a misspelling
+    model.trust = np.where(seen.sum(axis=0) == 0, TRUSTED, np.clip(np.log(seen[1] + 0.5) - np.log(seen[0] + 0.5), 0, 8))
+    x[:, 5] = [max((model.trust[t] for t in terms_near if model.trust[t] < TRUSTED), default=0.0) for terms_near in near]
     model.weights = fit_logistic(x, y, _PRIOR)
     return model
 
