@@ -27,7 +27,7 @@ def op2_brown_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.languages(table(spark, sf_dir, "documents"))
+    return langid.languages(table(spark, sf_dir, "documents")).drop("mixture")
 
 
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
