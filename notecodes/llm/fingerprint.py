@@ -3,8 +3,8 @@
 A text's word 5-shingles (the whole sequence when it has fewer words) are hashed
 once; the high bits of a hash choose one of ``BINS`` bins and each bin keeps its
 smallest value. Empty bins are filled by optimal densification: bin ``i`` takes
-the value of the first non-empty bin in its own fixed random order of the other
-bins. Of every bin ``BITS`` low-order bits of the value are stored, packed as hex
+the value of the first non-empty bin among those that a hash of ``i`` and the
+number of the try names. Of every bin ``BITS`` low-order bits of the value are stored, packed as hex
 digits; likeness corrects the share of equal digits for chance agreement.
 
 Everything is array expressions on the row: no shuffle, no Python.
@@ -34,15 +34,6 @@ _SHIFT = 56  # the eight high bits of a hash (as signed numbers, in order) are i
 _EMPTY = (1 << _SHIFT) - 1
 
 
-def _probe_order(bins: int) -> list[list[int]]:
-    """For each bin a fixed random order of the bins that it borrows from (a rule, not data)."""
-    out = []
-    for i in range(bins):
-        key = lambda j: ((i * 0x9E3779B97F4A7C15 + j * 0xC2B2AE3D27D4EB4F + 0x165667B19E3779F9) * 0xD6E8FEB86659FD93) >> 13 & 0xFFFFFFFFFF  # noqa: B023, E731
-        out.append(sorted((j for j in range(bins) if j != i), key=key))
-    return out
-
-
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """``df`` with ``<name>_code`` (64-bit words of packed digits, empty without words) of column ``text``."""
     p = f"_{name}_"
@@ -62,11 +53,12 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     firsts = F.filter(s, lambda v, i: ~bin_of(v).eqNullSafe(bin_of(F.get(s, i - 1))))
     step = step.select(*keep, F.col(p + "n"), F.transform(firsts, lambda v: F.when(v.bitwiseAND(F.lit(_EMPTY)) != _EMPTY, v)).alias(p + "b"))
     b = F.col(p + "b")
-    orders = F.array(*(F.lit(np.array(row, np.int32)) for row in _probe_order(BINS)))  # folded into one constant
-    # the first lender is nearly always among the first probes (coalesce stops there); texts of few shingles look through all
-    probes = lambda o: (F.get(b, F.get(o, F.lit(a))) for a in range(PROBES))
-    rest = lambda o: F.get(b, F.get(F.filter(o, lambda j: F.get(b, j).isNotNull()), F.lit(0)))
-    filled = F.transform(orders, lambda o, i: F.coalesce(F.get(b, i), *probes(o), rest(o)))
+    # a bin's lenders are tried in its own random order (coalesce stops at the first); texts of few
+    # shingles, where many tries fail, take the non-empty bin of the smallest hash with this one
+    step = step.select(*keep, F.col(p + "n"), b, F.array_compact(b).alias(p + "f"))
+    tries = lambda i: (F.get(b, F.xxhash64(i, F.lit(a)).bitwiseAND(BINS - 1).cast("int")) for a in range(PROBES))
+    least = lambda i: F.array_min(F.transform(p + "f", lambda v: F.struct(F.xxhash64(i, bin_of(v)).alias("h"), v.alias("v"))))["v"]
+    filled = F.transform(b, lambda v, i: F.coalesce(v, *tries(i), least(i)))
     step = step.select(*keep, F.col(p + "n"), filled.alias(p + "v"))
     per_word = 64 // BITS
     word = lambda w: F.aggregate(
