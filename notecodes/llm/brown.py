@@ -41,7 +41,7 @@ from notecodes.llm.common import held_out, setup, staged
 UNIT_SHARE, KNOWN_SHARE = 1 / (1 << 13), 1 / (1 << 17)
 FORMS, CLASSES, ROUNDS, SMOOTH = 1024, 48, 6, 20.0
 
-_SLICE = 8 << 20
+_SLICE = 4 << 20
 _FORM_SHIFT = np.uint64(64 - 10)
 
 # kinds of rows that carry a text's own values past the join

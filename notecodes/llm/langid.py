@@ -34,7 +34,7 @@ from notecodes.llm.common import held_out, setup
 GRAMS, MOST, ROUNDS = 1 << 15, 3, 8
 PENALTY, SMOOTH = 2.0, 0.5
 
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 #: Bytes of letters: a-z and everything outside ASCII.
 _LETTER = np.array([b >= 0x80 or 0x61 <= b <= 0x7A for b in range(256)])
 

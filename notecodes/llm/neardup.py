@@ -8,7 +8,7 @@ is at least 0.75; groups are the connected components of those links.
    (its smallest doc_id), so exact copies never meet again.
 2. A node is posted under its coordinate values. A pair is a candidate when at
    least ``T`` of the K coordinates collide; a linked pair misses that with
-   probability P[Bin(K, 0.75) < T] < 1e-7. By the pigeonhole principle a pair with T
+   probability P[Bin(K, 0.75) < T] < 1e-6. By the pigeonhole principle a pair with T
    collisions shares one of any K - T + 1 coordinates, so each node skips its
    T - 1 longest posting lists (prefix and skip merging: the long lists are
    never merged, their collisions are counted from the signatures instead).

@@ -35,7 +35,7 @@ TRAIN_ROWS, HIDDEN, EPOCHS = 30_000, 24, 60
 #: predicted is 1 from this score on.
 GOOD_FROM = 0.3
 
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 
 
 def _shape_table() -> np.ndarray:
