@@ -14,7 +14,7 @@ into sequences of at most ``SEQUENCE`` ids.
   rank block.
 * Tokenizing runs in Arrow batches. A pretoken never holds white space behind
   other characters, so a text is cut before each such white space and equal
-  chunks are encoded once per worker (a bounded cache); ids are assembled by
+  chunks are encoded once per task (a bounded cache); ids are assembled by
   numpy. Texts that contain an added token's string are encoded whole.
 
 Defined cases: null texts are empty and become the end id alone. Repeated rows
@@ -37,8 +37,8 @@ from notecodes.llm import textnum as tn
 from notecodes.llm.common import setup, staged
 
 SEQUENCE, END_ID = 2048, 0
-#: Distinct chunks that a worker keeps encoded.
-CACHE_CHUNKS = 600_000
+#: Distinct chunks that a task keeps encoded, about.
+CACHE_CHUNKS = 300_000
 #: Pieces numbered together within a length, and ranks joined together.
 RANK_BUCKET, RANK_BLOCK = 50_000, 4096
 
@@ -195,6 +195,8 @@ def _pieces(path: str | None, sequence: int):
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        coder.clear()  # the worker lives on and may run other stages
+        tn.trim()
 
     return run
 
