@@ -520,7 +520,7 @@ def q_evaluation_file(spark, sf):
     known = done.splits.withColumn("target_codes", extract_codes(F.col("target_text")))
     given = fixtures.fixture_predictions(known)  # of all splits: the job takes its own
     out = scratch_path(spark, "eval") + "/test_predictions.jsonl"
-    run_evaluation(spark, prepared, out, EvaluateOptions(split="test", max_samples=20), predictions=given)
+    run_evaluation(spark, prepared, out, EvaluateOptions(split="test"), predictions=given)
     m = read_metrics(spark, out)
     return r9(m, evaluate.EVALUATION_FIELDS).select("split", "num_examples", *evaluate.EVALUATION_FIELDS)
 
