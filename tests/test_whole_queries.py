@@ -30,3 +30,13 @@ def test_evaluation_limit_with_given_predictions(spark, tmp_path):
     assert [r.num_examples for r in read_metrics(spark, out).collect()] == [20]
     first = [r.example_id for r in table.where("split = 'test'").orderBy("split_key").limit(20).collect()]
     assert sorted(r.example_id for r in spark.read.json(out).collect()) == sorted(first)
+
+
+def test_token_template_and_nested_json_read_whole_texts(spark, monkeypatch):
+    late = "word " * 600 + "ab cde " + "word " * 3 + "é"  # the run of lengths (2, 3) is behind 3,000 characters
+    rows = spark.createDataFrame([(1, late.strip(), ["E11.9"]), (2, "word " * 700 + "end.", []), (3, "ab cde", None)], "row_no long, ehr_text string, target_codes array<string>")
+    monkeypatch.setattr(catalog, "stripped", lambda spark, sf: rows)
+    monkeypatch.setattr(catalog, "targets", lambda spark, sf: rows)
+    assert {r.row_no: r.has_run for r in catalog.q_token_template(spark, "").collect()} == {1: True, 2: False, 3: True}
+    notes = {r.row_no: r.note for r in catalog.q_nested_json(spark, "").collect()}
+    assert notes == {r.row_no: r.ehr_text for r in rows.collect()}
