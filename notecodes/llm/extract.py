@@ -14,7 +14,8 @@ driver. Pages are parsed one by one in Arrow batches with a single pass of one p
 
 Defined cases: null and empty html, and pages without words, give an empty
 text. Cut-off markup at the end of a page is dropped; unclosed elements reach to
-the end of the element around them. Repeated rows are extracted each. Extra columns are not read.
+the end of the element around them, and keep their text also where a closed one (button,
+select, noscript, ...) has none. A head without end tag ends at the body or the first of its elements. Repeated rows are extracted each. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -37,7 +38,14 @@ TRAIN_PAGES, LEAST_SHARE = 20_000, 0.002
 NEW_WORD, NEW_TAG = 0.3, -0.5
 
 # Element and class names, as HTML and common practice have them.
-RAW = "script|style|noscript|template|textarea|svg|math|iframe|select|button|object|head"
+#: Elements of plain characters: without an end tag they reach to the end of the page.
+RAW = "script|style|textarea"
+#: Elements whose content is no text of the page, if their end tag comes before that of the element around them.
+DROPPED = frozenset("head noscript template svg iframe select button".split())
+#: What a slash ends in the start tag (and all within svg and math).
+FOREIGN = frozenset(["svg", "math"])
+SLASHED = DROPPED | FOREIGN | {"object"}
+HEAD_TAGS = frozenset("title meta link base basefont bgsound noscript template head html".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(["article", "main"])
@@ -72,16 +80,33 @@ class Page:
         self.items: list[tuple[bool, str, str, bool, int, int]] = []
         self.mains = 0
         self.parent = [0]
+        opened: list[tuple[int, int]] = [(0, 0)]  # items and mains before each element of the stack
+        head = 0  # place of an open head in the stack
+
+        def leave(at: int) -> None:
+            """Element ``at`` of the stack ends, and what is open in it."""
+            nonlocal head
+            if stack[at][0] in DROPPED:
+                del self.items[opened[at][0]:]
+                self.mains = opened[at][1]
+            del stack[at:], opened[at:]
+            if head >= at:
+                head = 0
+
         stack: list[tuple[str, str, bool, int, int]] = [("", "page", False, 0, 0)]  # name, key, furniture, main, container
         for m in _TOKEN.finditer(source):
             raw, closing, name, attributes, text = m[1], m[2], m[3], m[4], m[5]
             if text is not None:
+                if head and head == len(stack) - 1 and not text.isspace():
+                    leave(head)
                 _, key, furniture, main, inside = stack[-1]
                 self.items.append((True, key, text, furniture, main, inside))
                 continue
             if raw or name is None:
                 continue
             name = name.lower()
+            if head and not closing and (name == "body" or (name not in HEAD_TAGS and stack[-1][0] in ("head", "title"))):
+                leave(head)
             if name in INLINE or name in VOID or name == "p" or (len(name) == 2 and name[0] == "h" and name[1].isdigit()):
                 self.items.append((False, closing + name, "", *stack[-1][2:]))
                 continue
@@ -89,12 +114,14 @@ class Page:
                 at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
                 if at:
                     self.items.append((False, "/" + stack[at][1], "", *stack[at][2:]))
-                    del stack[at:]
+                    leave(at)
                 else:
                     self.items.append((False, "/" + name, "", *stack[-1][2:]))
                 continue
+            if attributes.endswith("/") and (name in SLASHED or any(x[0] in FOREIGN for x in stack)):
+                continue
             if name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack[-1][0] == name:
-                stack.pop()
+                leave(len(stack) - 1)
             names = _names(attributes) if attributes else []
             key = f"{name}.{names[0]}" if names else name
             _, _, furniture, main, inside = stack[-1]
@@ -102,6 +129,7 @@ class Page:
                 furniture or name in FURNITURE_TAGS or (name == "header" and not main)
                 or (name not in MAIN and name not in ("body", "html") and not FURNITURE_NAMES.isdisjoint(names))
             )
+            opened.append((len(self.items), self.mains))
             if name in MAIN and not main and not furniture:
                 self.mains += 1
                 main = self.mains
@@ -109,7 +137,11 @@ class Page:
                 self.parent.append(inside)
                 inside = len(self.parent) - 1
             stack.append((name, key, furniture, main, inside))
+            if name == "head" and not head and not any(x[0] == "body" for x in stack):
+                head = len(stack) - 1
             self.items.append((False, key, "", furniture, main, inside))
+        if head:
+            leave(head)
 
     def around(self, containers: set[int]) -> int:
         """The innermost container that holds all of ``containers``."""

@@ -465,6 +465,22 @@ def test_op9_main_text(spark):
     assert extract.main_texts(pages.limit(0)).count() == 0
 
 
+def test_op9_open_and_self_closed_elements():
+    for source, want in [
+        ("<article><p>One <svg/> two three", "One two three"),
+        ("<article>a <svg><path d=x/><text>no</text></svg> b <math/> c <math><mi>x</mi></math> <object>d</object></article>", "a b c x d"),
+        ("<article>a <button>b c<p> d <noscript>e <select><option> f<p> g</article>", "a b c d e f g"),
+        ("<article>a <button>b</button> <noscript>c<div>d</noscript> <select><option>e<option>f</select> <iframe/>g</article>", "a g"),
+        ("<html><head><title>T</title><meta a=b><body><p>all the text", "all the text"),
+        ("<html><head><title>T<p>all the text", "all the text"),
+        ("<head><title>T</title> all <i>the</i> text", "all the text"),
+        ("<head><noscript><img src=x></noscript><title>T</title></head><p>all the text", "all the text"),
+        ("<article>a <script>b</article>", "a"),
+    ]:
+        page = extract.Page(source)
+        assert " ".join("".join(x[2] for x in page.items).split()) == want, source
+
+
 def test_op9_region_is_the_best_run():
     rng = random.Random(1)
     weights = extract.Weights([(True, "page", 50, 1), (False, "p", 1, 5), (False, "u", 3, 1)])
