@@ -2,10 +2,11 @@
 
 A page is a sequence of words and tags. Words score positive and tags negative,
 with weights learned from labelled pages: pages whose markup has exactly one
-``<article>`` or ``<main>`` label their words and tags as inside or outside.
+``<article>`` or ``<main>``, with most of the words in it, label their words and tags as inside or outside.
 A tag that labelled pages have outside only is a barrier. One linear scan finds
-the contiguous region of the highest score (the first of equals); it is widened to
-the article or main element that holds it, and furniture inside it (menus,
+the contiguous region of the highest score (the first of equals) on every page, with
+article and main as keys like others; it is widened to
+the innermost element that holds it, and furniture inside it (menus,
 notices, adverts, forms, comments, by element or class name) is left out.
 
 Weights are counts per key (element name with its first class) from all pages;
@@ -143,15 +144,22 @@ class Page:
         if head:
             leave(head)
 
+    def labelled(self) -> bool:
+        """Whether article or main elements hold most words that are not furniture (a teaser does not)."""
+        inside = outside = 0
+        for is_word, _, text, furniture, main, _ in self.items:
+            if is_word and not furniture:
+                n = len(text.split())
+                inside, outside = (inside + n, outside) if main else (inside, outside + n)
+        return inside > outside
+
     def around(self, containers: set[int]) -> int:
         """The innermost container that holds all of ``containers``."""
-        paths = []
-        for c in containers:
-            path = [c]
-            while path[-1]:
-                path.append(self.parent[path[-1]])
-            paths.append(path)
-        return next(c for c in paths[0] if all(c in p for p in paths[1:]))
+        both, *others = containers
+        for c in others:
+            while both != c:  # a parent comes before its children
+                both, c = min(both, c), self.parent[max(both, c)]
+        return both
 
     def within(self, container: int) -> set[int]:
         """``container`` and all containers in it (children come after their parents)."""
@@ -173,10 +181,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: Counter = Counter()
             for source in part.column("html").to_pylist():
                 page = Page(source or "")
-                if page.mains == 1:
+                if page.mains == 1 and page.labelled():
                     for is_word, key, text, _, main, _ in page.items:
                         weight = len(text.split()) if is_word else 1
-                        if weight and not (not is_word and key.lstrip("/").split(".")[0] in MAIN):
+                        if weight:
                             seen[is_word, key[:80], main > 0] += weight
             keys = list(seen)
             yield pa.RecordBatch.from_arrays(
@@ -201,12 +209,10 @@ class Weights:
     def region(self, page: Page) -> tuple[int, int]:
         """Bounds of the best-scoring run of items (empty when nothing scores above zero)."""
         best, bounds, run, begin = 0.0, (0, 0), 0.0, 0
-        # where the page names its main element, words outside are no candidates
-        named = any(x[0] and x[4] and not x[3] and x[2].strip() for x in page.items)
-        for i, (is_word, key, text, furniture, main, _) in enumerate(page.items):
+        for i, (is_word, key, text, furniture, _, _) in enumerate(page.items):
             if is_word:
                 n = len(text.split())
-                score = n * (-1.0 if furniture or (named and not main) else self.word.get(key, NEW_WORD)) if n else 0.0
+                score = n * (-1.0 if furniture else self.word.get(key, NEW_WORD)) if n else 0.0
             else:
                 score = self.tag.get(key, NEW_TAG)
             if run <= 0:
@@ -220,10 +226,7 @@ class Weights:
         page = Page(source or "")
         a, b = self.region(page)
         region = [x for x in page.items[a:b] if x[0] and not x[3] and x[2].strip()]
-        mains = {x[4] for x in region if x[4]}
-        if mains:
-            items = [x for x in page.items if x[4] in mains]
-        elif region and (holder := page.around({x[5] for x in region})):
+        if region and (holder := page.around({x[5] for x in region})):
             inner = page.within(holder)
             items = [x for x in page.items if x[5] in inner]
         else:

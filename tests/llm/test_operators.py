@@ -465,6 +465,18 @@ def test_op9_main_text(spark):
     assert extract.main_texts(pages.limit(0)).count() == 0
 
 
+def test_op9_the_run_decides_beside_articles(spark):
+    told = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, "u", PAGE % f"<article><p>{told}</p></article>") for i in range(30)] + [
+        (100, "v", PAGE % f"<div class=story><h2>Head</h2><p>{told}</p></div><ul><li>link</li></ul><article class=card><p>a small teaser</p></article>"),
+        (101, "v", PAGE % "<article><p>first part</p></article><article><p>second part</p></article><article><p>third part</p></article>"),
+        (102, "v", PAGE % f"<div class=story><h2>Head</h2><p>{told}</p></div>"),
+    ]
+    got = {r.page_id: r.text for r in extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == told and got[100] == got[102] == f"Head {told}"
+    assert got[101] == "first part second part third part"
+
+
 def test_op9_open_and_self_closed_elements():
     for source, want in [
         ("<article><p>One <svg/> two three", "One two three"),
