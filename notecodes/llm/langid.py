@@ -5,8 +5,8 @@
   ``GRAMS`` values, so a language's table has a fixed size.
 * A document's words come from a mixture of languages: expectation-maximisation
   estimates the proportions from the words' trigram likelihoods.
-* The language set is chosen by penalised likelihood: sets of the 1, 2, ...
-  ``MOST`` likeliest languages are fitted, and a further language must raise the
+* The language set is chosen by penalised likelihood: starting with the likeliest
+  language, each step adds the one whose words gain most from it, as long as it raises the
   log likelihood by more than ``PENALTY`` times the logarithm of the word count.
   The largest proportion names the language and is the score.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from notecodes.llm import textnum as tn
 from notecodes.llm.common import held_out, setup
 
-GRAMS, MOST, ROUNDS = 1 << 15, 3, 8
+GRAMS, ROUNDS = 1 << 15, 8
 PENALTY, SMOOTH = 2.0, 0.5
 
 _SLICE = 1 << 20
@@ -113,6 +113,23 @@ def has_letter(texts: pa.Array) -> np.ndarray:
     return out
 
 
+def spans(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows of the texts' words one text after the other, first word of each text in them, word counts)."""
+    at = np.cumsum(count) - count
+    return np.repeat(first - at, count) + np.arange(int(count.sum())), at, count
+
+
+def em(like: np.ndarray, first: np.ndarray, count: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Proportions after ``ROUNDS`` rounds from ``share`` (languages of share 0 stay out), and log likelihoods."""
+    owner = np.repeat(np.arange(len(first)), count)
+    for _ in range(ROUNDS):
+        r = like * share[owner]
+        r /= np.maximum(r.sum(axis=1, keepdims=True), 1e-300)
+        share = np.add.reduceat(r, first, axis=0) / count[:, None]
+    mix = (like * share[owner]).sum(axis=1)
+    return share, np.add.reduceat(np.log(np.maximum(mix, 1e-300)), first)
+
+
 def mixtures(like: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Proportions (texts x languages) by EM on the languages that penalised likelihood selects.
 
@@ -120,31 +137,29 @@ def mixtures(like: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarr
     ``first[i]`` and the ``count[i] - 1`` after it.
     """
     texts, many = len(first), like.shape[1]
-    owner = np.repeat(np.arange(texts), count)
     penalty = PENALTY * np.log(count + 1.0)
 
-    def em(allowed: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        share = np.where(allowed, share + 1e-3, 0.0)
-        share /= share.sum(axis=1, keepdims=True)
-        for _ in range(ROUNDS):
-            r = like * share[owner]
-            r /= np.maximum(r.sum(axis=1, keepdims=True), 1e-300)
-            share = np.add.reduceat(r, first, axis=0) / count[:, None]
-        mix = (like * share[owner]).sum(axis=1)
-        return share, np.add.reduceat(np.log(np.maximum(mix, 1e-300)), first)
-
-    every = np.ones((texts, many), bool)
-    start, _ = em(every, np.full((texts, many), 1.0 / many))
-    rank = np.argsort(np.argsort(-start, axis=1, kind="stable"), axis=1, kind="stable")
     # of one language: the likeliest as a whole
     alone = np.add.reduceat(np.log(np.maximum(like, 1e-26)), first, axis=0)
     best = np.zeros((texts, many))
     best[np.arange(texts), alone.argmax(axis=1)] = 1.0
     value = alone.max(axis=1)
-    for k in range(2, min(MOST, many) + 1):
-        share, loglik = em(rank < k, start)
-        better = loglik - (k - 1) * penalty > value
-        best[better], value[better] = share[better], (loglik - (k - 1) * penalty)[better]
+    live = np.arange(texts)  # texts whose last language was worth its penalty
+    for k in range(2, many + 1):
+        rows, at, size = spans(first[live], count[live])
+        part, share, n = like[rows], best[live], len(live)
+        now = (part * share[np.repeat(np.arange(n), size)]).sum(axis=1, keepdims=True)
+        # the likelihood with a k-th of each further language in the mixture
+        gain = np.add.reduceat(np.log(np.maximum(now * (1 - 1 / k) + part / k, 1e-26)), at, axis=0)
+        allowed = share > 0
+        allowed[np.arange(n), np.where(allowed, -np.inf, gain).argmax(axis=1)] = True
+        got, loglik = em(part, at, size, np.where(allowed, 1.0 / k, 0.0))
+        loglik -= (k - 1) * penalty[live]
+        better = loglik > value[live]
+        live = live[better]
+        if not len(live):
+            break
+        best[live], value[live] = got[better], loglik[better]
     return best
 
 

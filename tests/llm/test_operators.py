@@ -314,6 +314,25 @@ def test_op3_languages(spark, none):
     assert langid.languages(none).count() == 0
 
 
+def test_op3_every_language_of_a_document(spark):
+    rng = random.Random(5)
+    stems = {"aa": ("ba", "do", "ki"), "bb": ("szt", "ör", "ly"), "cc": ("çe", "ğı", "un"), "dd": ("wha", "thr", "ee"), "ee": ("ñu", "jaz", "go")}
+    rows = [(i, prose(rng, 40, stems[x]), x, "s", 1, "x", "y", 7) for i in range(150) for x in [rng.choice(list(stems))]]
+    four, five = list(stems)[:4], list(stems)
+    rows += [(900, " ".join(prose(rng, 40, stems[x]) for x in four), "aa", "s", 1, "", "", 0), (902, " ".join(prose(rng, 40, stems[x]) for x in five), "aa", "s", 1, "", "", 0),
+             (904, prose(rng, 60, stems["bb"]) + " " + prose(rng, 20, stems["ee"]), "bb", "s", 1, "", "", 0)]
+    train = [r for r in rows if r[0] < 900]
+    model = langid.learn(spark.createDataFrame(train, DOCS))
+    import pyarrow as pa
+
+    names, score, share = model.infer(pa.array([r[1] for r in rows]))
+    by = {r[0]: dict(zip(model.langs, s)) for r, s in zip(rows, share)}
+    assert all(abs(by[900][x] - 0.25) < 0.05 for x in four) and by[900]["ee"] < 0.01
+    assert all(abs(by[902][x] - 0.2) < 0.05 for x in five)
+    assert by[904]["bb"] > 0.6 and by[904]["ee"] > 0.1 and by[904]["cc"] == 0
+    assert score[len(train)] < 0.3 and all(sorted(by[i].values())[-2] < 0.01 for i in range(150))
+
+
 def test_op4_stated_and_mined_rules(spark):
     urls = [
         (1, "http://A.Example.ORG/es/x"), (2, "https://example.org/en/12"), (3, "https://example.org/en/2?q=/en/1"), (4, "http://x.com/fr/1#a"),
