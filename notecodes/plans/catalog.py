@@ -25,6 +25,8 @@ from notecodes.streaming.score_stream import run_stream_once
 Query = Callable[[SparkSession, str], DataFrame]
 OPTS = PrepareOptions()
 T = DEFAULT_TEMPLATE
+#: Bytes of notes a note file holds, about: each is read back as one value.
+NOTE_FILE_BYTES = 4 << 20
 
 
 # ---- shared lazy stages ---------------------------------------------------
@@ -381,12 +383,13 @@ def q_jsonl_notes(spark, sf):
 
 
 def q_note_files(spark, sf):
-    """Note files read back one row per file. A fixed number of files (not one
-    per row) holds the notes, each note behind its number, both without line breaks."""
+    """Note files read back one row per file. Files of about ``NOTE_FILE_BYTES`` of notes (not one
+    per row) hold them, each note behind its number, both without line breaks."""
     out = scratch_path(spark, "note-files")
     notes = fixtures.notes_table(spark, sf).where(F.col("note").isNotNull())
     line = F.concat(F.col("row_no").cast("string"), F.lit("\x1f"), F.base64(F.encode("note", "UTF-8")))
-    notes.select(F.translate(line, "\r\n", "").alias("value"), F.pmod("row_no", F.lit(16)).alias("shard")).repartition(16, "shard").select("value").write.text(out)
+    size = notes.agg(F.sum(F.octet_length("note")).alias("n")).first()["n"] or 0
+    notes.select(F.translate(line, "\r\n", "").alias("value"), "row_no").repartition(1 + size // NOTE_FILE_BYTES, "row_no").select("value").write.text(out)
     files = io.read_note_files(spark, out)
     each = files.select(F.explode(F.split("note", "\n")).alias("line")).where("line <> ''")
     parts = F.split("line", "\x1f")

@@ -40,3 +40,21 @@ def test_token_template_and_nested_json_read_whole_texts(spark, monkeypatch):
     assert {r.row_no: r.has_run for r in catalog.q_token_template(spark, "").collect()} == {1: True, 2: False, 3: True}
     notes = {r.row_no: r.note for r in catalog.q_nested_json(spark, "").collect()}
     assert notes == {r.row_no: r.ehr_text for r in rows.collect()}
+
+
+def test_note_files_grow_in_number_not_in_size(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "NOTE_FILE_BYTES", 20_000, raising=False)
+    read, seen = catalog.io.read_note_files, []
+
+    def watched(spark, path):
+        files = read(spark, path)
+        seen.append([len(r.note) for r in files.select("note").collect()])
+        return files
+
+    monkeypatch.setattr(catalog.io, "read_note_files", watched)
+    for rows in (200, 4_000):
+        notes = spark.range(rows).selectExpr("id row_no", "concat('n', id, repeat(' x', 200)) note")
+        monkeypatch.setattr(catalog.fixtures, "notes_table", lambda spark, sf, notes=notes: notes)
+        got = {r.row_no: r.note for r in catalog.q_note_files(spark, "").collect()}
+        assert got == {r.row_no: r.note for r in notes.collect()}
+    assert len(seen[1]) >= 10 * len(seen[0]) and max(seen[1]) < 60_000
