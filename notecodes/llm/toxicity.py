@@ -49,22 +49,18 @@ TRUSTED = 2.0
 _WORD = re.compile(r"[^\W_]+")
 _OPEN, _CLOSE = "\"“«„‟❝", "\"”»“‟❞"
 _INSIDE = "@$*"
-_CLASSES = 0x3000
+_CLASSES = 0x110000
 
 
 def _letters() -> np.ndarray:
-    table = np.zeros(_CLASSES + 1, bool)
-    for c in range(_CLASSES):
-        table[c] = chr(c).isalnum()
-    table[_CLASSES] = True
-    return table
+    return np.fromiter((chr(c).isalnum() for c in range(_CLASSES)), bool, _CLASSES)
 
 
 def _folded() -> np.ndarray:
-    table = np.arange(_CLASSES + 1, dtype=np.int32)
+    table = np.arange(_CLASSES, dtype=np.int32)
     for c in range(_CLASSES):
         low = chr(c).lower()
-        if len(low) == 1 and ord(low) < _CLASSES:
+        if len(low) == 1:
             table[c] = ord(low)
     return table
 
@@ -73,13 +69,13 @@ _tables: dict[str, np.ndarray] = {}
 
 
 def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased code points (those from 0x3000 on are one letter class) and text offsets in them."""
+    """Lower-cased code points and text offsets in them."""
     if not _tables:
         _tables["letter"], _tables["low"] = _letters(), _folded()
     cps = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     begins = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=begins[1:])
-    return _tables["low"][np.minimum(cps, _CLASSES)], begins[offsets]
+    return _tables["low"][cps], begins[offsets]
 
 
 def word_runs(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,8 +133,8 @@ def build_automaton(terms: list[tuple[str, bool]]) -> Automaton:
                 children.append({}), ends.append([])
             node = children[node][c]
         ends[node].append((i, stem))
-    alphabet = sorted({c for text, _ in terms for c in text if ord(c) < _CLASSES})
-    classes = np.zeros(_CLASSES + 1, np.int32)
+    alphabet = sorted({c for text, _ in terms for c in text})
+    classes = np.zeros(_CLASSES, np.int16)
     for i, c in enumerate(alphabet):
         classes[ord(c)] = i + 1
 
@@ -185,7 +181,7 @@ def build_automaton(terms: list[tuple[str, bool]]) -> Automaton:
             return ids[target]
 
         row[:] = of(after(state, None))
-        for c in {c for node, _ in state for c in children[node] if ord(c) < _CLASSES}:
+        for c in {c for node, _ in state for c in children[node]}:
             row[classes[ord(c)]] = of(after(state, c))
         rows.append(row)
     said = [verdict(s) for s in order]

@@ -401,6 +401,18 @@ def test_op5_automaton_equals_edit_distance():
         assert auto.hit[s] == (1 + min(found) if found else 0), w
 
 
+def test_op5_terms_of_all_scripts_match():
+    import numpy as np
+
+    auto = toxicity.build_automaton([("馬鹿", False), ("ばかやろう", False), ("moron", False)])
+    data = "馬鹿。とても、ばかやろx 馬車 moron 𝒳y".encode()
+    cps, bounds = toxicity.code_points(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    start, end = toxicity.word_runs(cps, bounds)
+    words = ["".join(map(chr, cps[a:b])) for a, b in zip(start, end)]
+    assert words == ["馬鹿", "とても", "ばかやろx", "馬車", "moron", "𝒳y"]
+    assert auto.hit[auto.read(cps, start, end)].tolist() == [1, 0, 2, 0, 1, 0]
+
+
 def labelled(spark, rng, n=400):
     rows, marks = [], []
     for i in range(n):
