@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notecodes.llm import brown, decontaminate, extract, fingerprint, hardneg, langid, neardup, packing, quality, toxicity, url_rules
+from notecodes.llm import brown, decontaminate, extract, fingerprint, hardneg, langid, neardup, packing, quality, toxicity, url_rules, variants
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +81,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_document_fingerprints, op2_brown_class_scores, op3_language_mixture, op4_url_rules, op5_toxicity, op6_decontamination,
-        op7_best_fit_packing, op8_quality, op9_main_text, op10_minhash_near_dedup, op11_hard_negatives, pipeline,
+        op7_best_fit_packing, op8_quality, op9_main_text, op10_minhash_near_dedup, op11_hard_negatives, op13_spelling_variants, pipeline,
     ]
     return {f.__name__: f for f in found}
 
@@ -143,6 +147,38 @@ FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 100 * s.score BETWEEN 80 *
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) <= 5
 """
 
+#: CRC-32 byte by byte from its polynomial; near words meet in one of them less a code point, at the same place.
+_OP13 = """
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab
+), r AS (
+  SELECT doc_id, w, count(*) AS m FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{C0}-\\x{FF}]+')) AS w FROM documents
+  ) WHERE length(w) >= 6 GROUP BY doc_id, w
+), b AS (
+  SELECT w, m, flatten(list_transform(string_split(concat(doc_id, ':', w), ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [CAST(195 AS BIGINT), CAST(unicode(c) - 64 AS BIGINT)] END)) AS bytes FROM r
+), h AS (
+  SELECT w, m, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda c, x: xor(c >> 8, tab[xor(c & 255, x) + 1])), 4294967295) AS h FROM b, t
+), e AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(w, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS w, m FROM h
+), v AS (SELECT w, sum(m) AS n FROM e WHERE length(w) >= 6 GROUP BY w HAVING sum(m) >= 5),
+d AS (SELECT w, n, i, left(w, i - 1) || '$' || substr(w, i + 1) AS k FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM v)),
+a AS (SELECT w, n, left(w, i) || '$' || substr(w, i + 1) AS k FROM (SELECT w, n, unnest(range(0, length(w) + 1)) AS i FROM v)),
+near AS (
+  SELECT x.w, x.n, y.w AS o, y.n AS p FROM d x JOIN d y ON x.k = y.k AND x.w <> y.w
+  UNION SELECT x.w, x.n, y.w, y.n FROM d x JOIN a y ON x.k = y.k
+  UNION SELECT y.w, y.n, x.w, x.n FROM d x JOIN a y ON x.k = y.k
+), best AS (
+  SELECT w, n, count(*) AS n_near, arg_min(o, (-p, o)) AS o, max(p) AS p FROM near GROUP BY w, n
+), form AS (SELECT w, n_near, CASE WHEN p >= 5 * n THEN o END AS form, CASE WHEN p >= 5 * n THEN p END AS form_n FROM best),
+chain(w, now, step) AS (
+  SELECT w, w, 0 FROM v UNION ALL SELECT c.w, f.form, c.step + 1 FROM chain c JOIN form f ON f.w = c.now WHERE f.form IS NOT NULL
+)
+SELECT v.w AS word, f.form, c.root, CAST(v.n AS BIGINT) AS n, CAST(coalesce(f.n_near, 0) AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM v LEFT JOIN form f ON f.w = v.w JOIN (SELECT w, arg_max(now, step) AS root FROM chain GROUP BY w) c ON c.w = v.w
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontamination": _OP6, "op10_minhash_near_dedup": _OP10, "op11_hard_negatives": _OP11}
+    return {"op6_decontamination": _OP6, "op10_minhash_near_dedup": _OP10, "op11_hard_negatives": _OP11, "op13_spelling_variants": _OP13}
