@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notecodes.llm import brown, decontaminate, extract, fingerprint, hardneg, langid, neardup, packing, quality, toxicity, url_rules, variants
+from notecodes.llm import brown, decontaminate, extract, fingerprint, guesscost, hardneg, langid, neardup, packing, quality, toxicity, url_rules, variants
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,16 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
+def op12_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = guesscost.secrets(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    return found.select(
+        "doc_id", of("assign").alias("n_assign"), of("access").alias("n_access"), of("hex").alias("n_hex"),
+        F.sha2(guesscost.joined(base).cast("binary"), 256).alias("base_sha256"), guesscost.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -81,7 +91,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_document_fingerprints, op2_brown_class_scores, op3_language_mixture, op4_url_rules, op5_toxicity, op6_decontamination,
-        op7_best_fit_packing, op8_quality, op9_main_text, op10_minhash_near_dedup, op11_hard_negatives, op13_spelling_variants, pipeline,
+        op7_best_fit_packing, op8_quality, op9_main_text, op10_minhash_near_dedup, op11_hard_negatives, op12_secret_spans, op13_spelling_variants,
+        pipeline,
     ]
     return {f.__name__: f for f in found}
 
