@@ -243,13 +243,14 @@ def guess_cost(value: str, ranks: dict[int, float] | None = None) -> tuple[float
 def found_in(raw: bytes, hexes: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
     """(kind, start, end, value start, value end) in bytes of a text: patterns, then context values outside them."""
     low, out = raw.lower(), []  # of bytes, only A-Z change
-    for m in _ASSIGN.finditer(low):
+    marked = b"=" in raw or b":" in raw or b">" in raw  # as all but one kind of match are
+    for m in _ASSIGN.finditer(low) if marked else ():
         if m.end(2) - m.start(2) >= 12:
             out.append((0, *m.span(), *m.span(2)))
     out += [(1, *m.span(), *m.span()) for m in _ACCESS.finditer(raw)]
     out += [(2, s, e, s, e) for s, e in hexes]
     base = [(s, e) for _, s, e, _, _ in out]
-    for m in _CONTEXT.finditer(low):
+    for m in _CONTEXT.finditer(low) if marked or b"bearer" in low else ():
         s, e = m.span(m.lastindex)
         if m.lastindex == 4:
             e = s + len(low[s:e].rstrip(_TAIL))
@@ -339,11 +340,14 @@ def _costed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def value_costs(values: DataFrame, ranks: DataFrame) -> DataFrame:
     """(value, cost) of each distinct value of ``values`` (value); ``ranks``: (word, rank)."""
     ids = staged(values.select("value").distinct().withColumn("id", F.monotonically_increasing_id()), "values")
+    many = ids.count()  # values are small but take long: tasks by their number
+    parts = max(-(-many // 4096), min(2 * ids.sparkSession.sparkContext.defaultParallelism, 1 + many // 64))
+    ids = ids.repartition(parts, "id")
     known = (
-        ids.mapInArrow(_pieces, "id long, word long").join(ranks, "word")
+        ids.mapInArrow(_pieces, "id long, word long").hint("merge").join(ranks, "word")
         .groupBy("id").agg(F.collect_set(F.struct("word", "rank")).alias("known"))  # at most the value's own pieces
     )
-    return ids.join(known, "id", "left").select("value", "known").mapInArrow(_costed, "value string, cost double")
+    return ids.join(known, "id", "left").repartition(parts, "id").select("value", "known").mapInArrow(_costed, "value string, cost double")
 
 
 def secrets(docs: DataFrame, least: float = COST_LEAST) -> DataFrame:
