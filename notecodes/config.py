@@ -31,6 +31,9 @@ class PrepareOptions:
     # or None = only when the whole input is small (a few MB a task slot: few row
     # groups that would otherwise each be one task).
     rebalance_input: bool | None = None
+    # Deal the rows out by split before the write, so that files follow a split's bytes: True, False,
+    # or None = unless the whole input is small (then a few tasks write a few files anyway).
+    rebalance_output: bool | None = None
     # Parquet codec of the written table (text compresses well with zstd; the
     # temporary staged table keeps Spark's default, faster codec).
     output_compression: str = "zstd"
@@ -54,6 +57,16 @@ class TrainingShapeOptions:
     template: ChatTemplate = field(default=DEFAULT_TEMPLATE)
 
 
+@dataclass(frozen=True)
+class BatchOptions:
+    """Length-grouped training batches."""
+
+    batch_size: int = 4
+    # Batches of a mega-batch: rows are shuffled, cut into mega-batches and sorted by length inside.
+    mega_batches: int = 50
+    seed: int = 42
+
+
 @dataclass(frozen=True)
 class GenerationOptions:
     max_new_tokens: int = 32
@@ -62,6 +75,8 @@ class GenerationOptions:
     do_sample: bool = False
     num_beams: int = 1
     batch_size: int = 4
+    # Prompts of more tokens are cut before prediction and flagged (``was_cut``); None leaves them whole.
+    max_seq_length: int | None = None
 
 
 @dataclass(frozen=True)

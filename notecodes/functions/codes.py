@@ -82,49 +82,38 @@ def code_variants(code: Column) -> Column:
     return F.when(n == "", empty_codes()).otherwise(F.array_distinct(F.array(n, F.replace(n, F.lit("."), F.lit("")))))
 
 
-# Codes per row tested with plain substring search; any further codes of the
-# row are tested, exactly, by one regex alternation (rows rarely have more).
-LEAK_SLOTS = 4
+# A code-shaped string at any place of upper-cased text, found by looking ahead, so that overlapping ones are seen too.
+# It is as long as can be, so a code that stands at that place is one of its beginnings.
+_SHAPE_AHEAD = r"(?=([A-TV-Z][0-9][0-9A-Z]\.?[0-9A-Z]{0,4}))"
+_BEGINNINGS = r"([^;]{3})([^;]?)([^;]?)([^;]?)([^;]?)([^;]?);"
 
 
-def _variants_pattern(codes: Column) -> Column:
-    """``E11\\.9|I10|E119|I10``: dotted (escaped) and undotted forms, as one alternation."""
-    joined = F.array_join(codes, "|")
-    return F.concat(F.replace(joined, F.lit("."), F.lit("\\.")), F.lit("|"), F.replace(joined, F.lit("."), F.lit("")))
+def code_beginnings(upper_text: Column) -> Column:
+    """Every string of upper-cased text that could be a code (dotted or not), wherever it stands.
+
+    One scan of the text for any number of codes. The rest works on the short list of matches,
+    without a lambda, so the projection stays in whole-stage codegen.
+    """
+    shapes = F.array_join(F.regexp_extract_all(upper_text, F.lit(_SHAPE_AHEAD), 1), ";")
+    each = F.regexp_replace(F.concat(shapes, F.lit(";")), _BEGINNINGS, "$1;$1$2;$1$2$3;$1$2$3$4;$1$2$3$4$5;$1$2$3$4$5$6;")
+    return F.array_remove(F.split(each, ";"), "")
 
 
-def leaks_in_upper(upper_text: Column, codes: Column, slots: int = LEAK_SLOTS) -> Column:
+def leaks_in_upper(upper_text: Column, codes: Column) -> Column:
     """True when any code, dotted or undotted, is a substring of ``upper_text``.
 
     ``upper_text`` is already upper-cased; ``codes`` are canonical codes (as made
-    by ``extract_codes``: only ``[A-Z0-9.]``), a fixed point of normalization, so
-    a code's variants are itself and itself without the dot. Substring match, no
-    word boundary. The first ``slots`` codes use ``contains`` (a byte search on
-    the UTF-8 text, no decoding); the rest, if any, one regex alternation. No
-    lambda: the projection stays in whole-stage codegen. Pass a column (not an
+    by ``extract_codes``), a fixed point of normalization, so a code's variants are itself
+    and itself without the dot. Substring match, no word boundary: the text's code-shaped
+    strings and all their beginnings are met with the row's variants. Pass a column (not an
     expression) as ``upper_text`` so the upper-casing runs once per row.
     """
-    def slot(i: int) -> Column:
-        c = F.get(codes, i)
-        return F.coalesce(upper_text.contains(c) | upper_text.contains(F.replace(c, F.lit("."), F.lit(""))), F.lit(False))
-
-    hit = slot(0)
-    for i in range(1, slots):
-        hit = hit | slot(i)
-    n = F.coalesce(F.size(codes), F.lit(0))
-    rest = F.slice(codes, slots + 1, F.greatest(n - slots, F.lit(1)))
-    hit = hit | ((n > slots) & F.regexp_like(upper_text, _variants_pattern(rest)))
-    empty = (F.coalesce(upper_text, F.lit("")) == "") | (n == 0)
-    return F.when(empty, F.lit(False)).otherwise(hit)
+    joined = F.array_join(codes, ";")
+    variants = F.split(F.concat(joined, F.lit(";"), F.replace(joined, F.lit("."), F.lit(""))), ";")
+    empty = (F.coalesce(upper_text, F.lit("")) == "") | (F.coalesce(F.size(codes), F.lit(0)) == 0)
+    return F.when(empty, F.lit(False)).otherwise(F.arrays_overlap(code_beginnings(upper_text), variants))
 
 
 def leaks(text: Column, codes: Column) -> Column:
-    """Leakage test for short texts (prompts, instructions) or one-off use.
-
-    Same answer as ``leaks_in_upper``: ``upper(text)`` once, then one regex
-    alternation of all variants. For long notes prefer ``leaks_in_upper`` on a
-    materialized upper-cased column (substring search beats the regex there).
-    """
-    n = F.coalesce(F.size(codes), F.lit(0))
-    empty = (F.coalesce(text, F.lit("")) == "") | (n == 0)
-    return F.when(empty, F.lit(False)).otherwise(F.regexp_like(F.upper(text), _variants_pattern(codes)))
+    """The leakage test on text as it is."""
+    return leaks_in_upper(F.upper(text), codes)

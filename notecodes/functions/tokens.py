@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,6 +21,17 @@ def approx_token_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(APPROX_TOKEN_PATTERN)).cast("int")
 
 
+_APPROX_TOKEN = re.compile(APPROX_TOKEN_PATTERN)
+
+
+def approx_cut(text: str, most: int) -> tuple[str, bool]:
+    """``text`` up to the end of its ``most``-th approximate token, and whether more tokens follow."""
+    ends = [m.end() for m in islice(_APPROX_TOKEN.finditer(text), most + 1)]
+    if len(ends) <= most:
+        return text, False
+    return text[:ends[most - 1]] if most else "", True
+
+
 def tokenizer_count_udf(load_tokenizer: Callable[[], Callable[[list[str]], list[list]]]):
     """Wrap a user tokenizer as an iterator pandas UDF returning token counts.
 

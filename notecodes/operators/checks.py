@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from notecodes.config import BatchOptions, PrepareOptions
 from notecodes.functions.prompts import DEFAULT_TEMPLATE, ChatTemplate
 from notecodes.functions.tokens import approx_token_count
 from notecodes.operators.clean import fence
+from notecodes.operators.split import global_rank
 
 # Accepted request ranges (inclusive).
 REQUEST_RANGES = {
@@ -83,19 +85,46 @@ def length_bucket(tokens: Column, width: int = 128) -> Column:
     return F.floor(tokens / F.lit(width)).cast("bigint")
 
 
-def group_by_length(df: DataFrame, num_partitions: int, text_col: str = "text", token_count=approx_token_count,
+#: Bytes of text a length-ordered partition holds, about.
+ORDERED_BYTES = 64 << 20
+
+
+def group_by_length(df: DataFrame, num_partitions: int | None = None, text_col: str = "text", token_count=approx_token_count,
                     tie_breaker: str = "example_id") -> DataFrame:
     """L5 re-aimed: range-partition by token length and sort inside partitions, so
     batches read in order hold rows of similar length.
 
     The unique ``tie_breaker`` is part of the range key, so one very common
-    length is split across partitions instead of landing in one.
+    length is split across partitions instead of landing in one. Without
+    ``num_partitions``, there are as many as the texts fill.
     """
+    if num_partitions is None:
+        size = df.agg(F.sum(F.octet_length(text_col)).alias("bytes")).first()["bytes"] or 0
+        num_partitions = 1 + size // ORDERED_BYTES
     # the counts cross the exchange twice (bounds, then rows): a fence keeps them from being inlined in the sort
     with_len = fence(df.withColumn("n_tokens", token_count(F.col(text_col))))
     return with_len.repartitionByRange(num_partitions, "n_tokens", tie_breaker).sortWithinPartitions("n_tokens", tie_breaker)
 
 
+def length_batches(df: DataFrame, opts: BatchOptions = BatchOptions(), text_col: str = "text", token_count=approx_token_count,
+                   key: str = "example_id") -> DataFrame:
+    """``key, n_tokens, batch, place`` of every row: batches of similar lengths in a random order of rows.
+
+    Rows are shuffled by a seeded hash of their unique ``key``, cut into mega-batches of ``mega_batches``
+    batches, sorted inside by length (longest first, then by hash), and cut into batches (numbers from 0;
+    the last one may be short). The rank in the shuffled order comes from bucket counts, and a
+    mega-batch is one window of a bounded number of rows, so no task sees more.
+    """
+    rows = df.select(F.col(key).alias("example_id"), token_count(F.col(text_col)).alias("n_tokens"))
+    ranked = global_rank(fence(rows), PrepareOptions(seed=opts.seed), "_rank")
+    mega = opts.batch_size * opts.mega_batches
+    placed = ranked.withColumn("_mega", F.floor((F.col("_rank") - 1) / F.lit(mega)).cast("bigint"))
+    order = Window.partitionBy("_mega").orderBy(F.desc("n_tokens"), "_rank")
+    at = placed.withColumn("_at", F.row_number().over(order) - 1)
+    batch = F.col("_mega") * opts.mega_batches + F.floor(F.col("_at") / F.lit(opts.batch_size)).cast("bigint")
+    return at.select(F.col("example_id").alias(key), "n_tokens", batch.alias("batch"), (F.col("_at") % opts.batch_size).cast("int").alias("place"))
+
+
 def length_buckets(df: DataFrame, width: int = 128, text_col: str = "text", token_count=approx_token_count) -> DataFrame:
     """L5 check: rows per length bucket ``(length_bucket, n)``."""
     return (

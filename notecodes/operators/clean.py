@@ -175,11 +175,6 @@ def accepted_rows(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("reject_reason").isNull()).select(*_CARRY)
 
 
-def accepted_ids(classified: DataFrame) -> DataFrame:
-    """Distinct accepted ids (= the kept ids), narrow and partially aggregated."""
-    return classified.where(F.col("reject_reason").isNull()).select("example_id").distinct()
-
-
 def clean_rows(classified: DataFrame, opts: PrepareOptions = PrepareOptions()) -> DataFrame:
     """Accepted, deduplicated rows in the clean layout (+ ``row_no``, ``target_codes``)."""
     return finish_clean(first_seen(accepted_rows(classified)), opts)

@@ -61,15 +61,32 @@ def require_aligned(references: DataFrame, predictions: DataFrame, key: str = "e
         raise ValueError("No one-to-one pairing by id: " + ", ".join(f"{n} {k.replace('_', ' ')}" for k, n in faults.items()))
 
 
-def narrowed(references: DataFrame, predictions: DataFrame, known: DataFrame, key: str = "example_id") -> DataFrame:
-    """The predictions of ``references`` (a limited part of ``known``), checked: raises
-    unless they pair one to one, or when a prediction's id is not even in ``known``."""
-    strangers = predictions.join(known.select(key), key, "left_anti").count()
-    if strangers:
-        raise ValueError(f"{strangers} predictions have an id that the prepared table does not have.")
-    own = predictions.join(references.select(key).distinct(), key, "left_semi")
-    require_aligned(references, own, key)
-    return own
+def paired_once(known: DataFrame, predictions: DataFrame, asked: Column, key: str = "example_id",
+                columns: Sequence[str] = ("prompt_text", "target_text")) -> DataFrame:
+    """J1 and F12 in one pass over each side: ``known`` (all rows of the prepared table) met with the predictions.
+
+    ``asked`` says which known rows are evaluated. One full outer join by id gives every asked row and every
+    prediction that belongs to no known row, with ``_asked`` (null for a stranger) and ``_predictions`` (how
+    often the id is predicted, null if never). Only asked rows carry their ``columns``. A repeated id is
+    one row before the join.
+    """
+    left = known.select(key, asked.alias("_asked"), *(F.when(asked, F.col(c)).alias(c) for c in columns))
+    right = predictions.groupBy(key).agg(F.count(F.lit(1)).alias("_predictions"), F.min("prediction").alias("prediction"))
+    return left.join(right, key, "full_outer").where(F.coalesce("_asked", F.lit(True)))
+
+
+def require_paired(met: DataFrame, key: str = "example_id") -> None:
+    """Raise unless the rows of ``paired_once`` (read from a written table) pair one to one."""
+    per_id = met.groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.first("_asked").alias("asked"), F.first("_predictions").alias("predictions"))
+    row = per_id.agg(
+        F.count_if(F.col("asked").isNull()).alias("strangers"), F.count_if(F.col("asked") & F.col("predictions").isNull()).alias("missing"),
+        F.count_if(F.col("asked") & (F.col("predictions") > 1)).alias("repeated"), F.count_if(F.col("rows") > 1).alias("references"),
+    ).first()
+    if row["strangers"]:
+        raise ValueError(f"{row['strangers']} predictions have an id that the prepared table does not have.")
+    faults = [f"{row[c]} {what}" for c, what in (("missing", "missing predictions"), ("references", "repeated references"), ("repeated", "repeated predictions")) if row[c]]
+    if faults:
+        raise ValueError("No one-to-one pairing by id: " + ", ".join(faults))
 
 
 def with_code_sets(pairs: DataFrame, prediction: str = "prediction", reference: str = "target_text") -> DataFrame:
@@ -130,6 +147,6 @@ def prediction_records(pairs: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "METRIC_COLUMNS", "EVALUATION_FIELDS", "pair_predictions", "prediction_gaps", "require_aligned", "narrowed",
+    "METRIC_COLUMNS", "EVALUATION_FIELDS", "pair_predictions", "prediction_gaps", "require_aligned", "paired_once", "require_paired",
     "example_metric_rows", "evaluation_aggregates", "evaluate", "prediction_records",
 ]

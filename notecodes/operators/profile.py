@@ -9,69 +9,94 @@ from pyspark.sql import functions as F
 
 from notecodes.functions.tokens import approx_token_count
 from notecodes.operators.split import up_to_rank
+from notecodes.session import spread
 
 # The reported percentiles.
 PERCENTILES = (50, 90, 95, 99)
+# The series that every row has a value in.
+CODE_SERIES = "num_codes_per_example"
 SUMMARY_FIELDS = ("count", "min", "max", "mean") + tuple(f"p{p}" for p in PERCENTILES)
 
 
 def first_rows(df: DataFrame, n: int | None, order_col: str = "row_no") -> DataFrame:
     """L2: the first ``n`` rows in source order (not a random sample); ``None`` = all."""
-    if n is None:
-        return df
-    low, high = df.agg(F.min(order_col), F.max(order_col)).first()
-    width = max(1, ((high or 0) - (low or 0)) // 65_536 + 1)  # at most 65,536 buckets
-    return up_to_rank(df, n, order_col, lambda key: F.floor((key - F.lit(low or 0)) / F.lit(width)))
+    return up_to_rank(df, n, order_col)
+
+
+#: Parts that a value histogram is cut into; each is summed up in a task of its own.
+PARTS = 256
+
+
+def value_counts(df: DataFrame, value_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """``by..., _v, _c``: rows per distinct value, nulls left out."""
+    v = F.col(value_col)
+    return df.where(v.isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
 
 
 def numeric_summary(df: DataFrame, value_col: str, by: Sequence[str] = (),
                     percentiles: Sequence[int] = PERCENTILES) -> DataFrame:
-    """A4 + A5: ``count, min, max, mean`` and nearest-rank percentiles, as doubles.
+    """A4 + A5: ``count, min, max, mean`` and nearest-rank percentiles, as doubles."""
+    return summary_of_counts(value_counts(df, value_col, by), by, percentiles)
+
+
+def summary_of_counts(hist: DataFrame, by: Sequence[str] = (), percentiles: Sequence[int] = PERCENTILES, parts: int = PARTS) -> DataFrame:
+    """The summary of ``value_counts``.
 
     Percentile ``p`` is the sorted value at 0-based index
     ``min(n - 1, rint(p / 100 * (n - 1)))`` (round half to even, like Python's
     ``round``). Neither ``percentile`` (interpolates) nor ``percentile_disc``
-    (ceil rank) gives that, so it is computed from the value histogram: the
-    first value whose running count exceeds the index. The histogram is
-    partially aggregated and has one row per distinct value, so its size is
-    bounded by the value range, not by the number of rows. Empty input gives no
-    row (the reference returns an empty summary).
+    (ceil rank) gives that, so it is the first value whose running count exceeds the
+    index. The running count is built from parts: splitters from a quantile sketch cut the distinct values
+    of a group into up to ``parts`` ranges, the ranges' sums give each one's offset, and only the
+    ranges that hold a wanted index are counted through, each in its own window. So a
+    column of as many distinct values as rows is no single task's work. Empty input gives no row
+    (the reference returns an empty summary). Groups are few (metrics, splits): their
+    splitters and sums, ``parts`` values each, are broadcast.
     """
-    keys = [F.col(k) for k in by]
-    v = F.col(value_col)
-    hist = df.where(v.isNotNull()).groupBy(*keys, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    part = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    cum = hist.select(
-        *keys, "_v", "_c",
-        F.sum("_c").over(part.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"),
-        F.sum("_c").over(part).alias("_n"),
+    hist = hist.withColumn("_all", F.lit(0))
+    keys = [*by, "_all"]
+    cuts = hist.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_v", [i / parts for i in range(1, parts)], 10_000)).alias("_cuts"))
+    # the place of a value among the splitters: one more than the splitters below it
+    ranged = hist.join(F.broadcast(cuts), keys).select(*keys, "_v", "_c", F.array_position(F.array_sort(F.array_append("_cuts", F.col("_v"))), F.col("_v")).alias("_part"))
+    sums = ranged.groupBy(*keys, "_part").agg(
+        F.sum("_c").alias("_sum"), F.sum(F.col("_v").cast("double") * F.col("_c")).alias("_total"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    within = Window.partitionBy(*keys)
+    offsets = sums.select(
+        *keys, "_part", "_sum", F.coalesce(F.sum("_sum").over(within.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_sum").over(within).alias("_n"), F.min("_least").over(within).alias("_min"), F.max("_most").over(within).alias("_max"), F.sum("_total").over(within).alias("_all_total"),
     )
     n = F.col("_n")
+    index = {p: F.least(n - 1, F.rint(F.lit(p / 100) * (n - 1))) for p in percentiles}
+    has = F.lit(False)
+    for i in index.values():
+        has = has | ((i >= F.col("_before")) & (i < F.col("_before") + F.col("_sum")))
+    wanted = offsets.where(has).drop("_sum")
+    running = F.sum("_c").over(Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    counted = ranged.join(F.broadcast(wanted), [*keys, "_part"]).withColumn("_cum", F.col("_before") + running)
     aggs = [
-        F.first("_n").cast("double").alias("count"),
-        F.min("_v").cast("double").alias("min"),
-        F.max("_v").cast("double").alias("max"),
-        (F.sum(F.col("_v").cast("double") * F.col("_c")) / F.first("_n")).alias("mean"),
+        F.first("_n").cast("double").alias("count"), F.first("_min").cast("double").alias("min"), F.first("_max").cast("double").alias("max"),
+        (F.first("_all_total") / F.first("_n")).alias("mean"),
     ]
-    for p in percentiles:
-        index = F.least(n - 1, F.rint(F.lit(p / 100) * (n - 1)))
-        aggs.append(F.min(F.when(F.col("_cum") > index, F.col("_v"))).cast("double").alias(f"p{p}"))
+    for p, i in index.items():
+        inside = (F.col("_cum") > i) & (F.col("_cum") - F.col("_c") <= i)
+        aggs.append(F.min(F.when(inside, F.col("_v"))).cast("double").alias(f"p{p}"))
     # A global aggregate over no rows still yields one (all-NULL) row: drop it.
-    return cum.groupBy(*keys).agg(*aggs).where(F.col("count").isNotNull())
+    return counted.groupBy(*keys).agg(*aggs).where(F.col("count").isNotNull()).drop("_all")
 
 
-def profile_series(sample: DataFrame, token_count=approx_token_count) -> DataFrame:
-    """The three profile series in long form ``(metric, value)``."""
+def profile_series(sample: DataFrame, token_count=approx_token_count, keep: Sequence[str] = ()) -> DataFrame:
+    """The three profile series in long form ``(metric, value)``, with the columns to ``keep``."""
     series = sample.select(
+        *keep,
         F.explode(
             F.array(
                 F.struct(F.lit("prompt_token_length").alias("metric"), token_count(F.col("prompt_text")).alias("value")),
                 F.struct(F.lit("full_text_token_length").alias("metric"), token_count(F.col("text")).alias("value")),
-                F.struct(F.lit("num_codes_per_example").alias("metric"), F.col("num_codes").cast("int").alias("value")),
+                F.struct(F.lit(CODE_SERIES).alias("metric"), F.col("num_codes").cast("int").alias("value")),
             )
         ).alias("s")
     )
-    return series.select("s.metric", "s.value")
+    return series.select(*keep, "s.metric", "s.value")
 
 
 def instruction_profile(raw: DataFrame) -> DataFrame:
@@ -106,17 +131,24 @@ def dataset_report(raw: DataFrame, split_df: DataFrame, stats: DataFrame, sample
 
     ``created_at_utc, raw_rows, clean_rows, splits, columns, unique_instruction_count,
     instruction_preview, cleaning_stats, sample_size_for_report`` and three summaries.
-    Each part is first reduced to one row over a bounded input (three splits, a
-    handful of stats, three metrics, a top-3); the parts are stacked with a
-    union and folded into one row, so no join is needed.
+    The written table is read once, for the counts of values per split and series, which give sizes and
+    summaries; the statistics come from narrow columns of the staged rows, and the instructions from the
+    raw ones. Each part is reduced to one row over a bounded input, and the parts are
+    stacked with a union and folded into one row, so no join is needed.
     """
-    sample = first_rows(split_df, sample_size)
-    summaries = numeric_summary(profile_series(sample, token_count), "value", by=["metric"])
+    sample = spread(first_rows(split_df.select("split", "row_no", "prompt_text", "text", "num_codes"), sample_size), "row_no")
+    # the one pass over the written texts: rows per split, series and value
+    counts = value_counts(profile_series(sample, token_count, keep=("split",)), "value", ("split", "metric"))
+    summaries = summary_of_counts(counts.groupBy("metric", "_v").agg(F.sum("_c").alias("_c")), ("metric",))
+    if sample_size is None:
+        sizes = counts.where(F.col("metric") == CODE_SERIES).groupBy("split").agg(F.sum("_c").alias("count"))
+    else:
+        sizes = split_df.groupBy("split").count()
     instructions = instruction_profile(raw)
     parts = [
         instructions.agg(F.sum("n").cast("bigint").alias("raw_rows"),
                          F.count(F.lit(1)).cast("bigint").alias("unique_instruction_count")),
-        split_df.groupBy("split").count().agg(
+        sizes.agg(
             F.sum("count").cast("bigint").alias("clean_rows"),
             F.map_from_entries(F.collect_list(F.struct("split", F.col("count").cast("bigint")))).alias("splits"),
         ),

@@ -9,12 +9,13 @@ from dataclasses import replace
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from notecodes.config import PredictOptions
 from notecodes.functions.codes import PYTHON_CODE_PATTERN, extract_codes
 from notecodes.functions.prompts import prompt_text, system_prompt
 from notecodes.functions.text import clean_text
+from notecodes.functions.tokens import approx_cut
 from notecodes.session import ship_package
 
 #: Generation settings that a request may bring along.
@@ -57,17 +58,22 @@ def echo_settings(options: PredictOptions) -> Predictor:
 
 
 def batch_predict(df: DataFrame, factory: PredictorFactory = rule_predictor, options: PredictOptions = PredictOptions(),
-                  prompt_col: str = "prompt_text", out_col: str = "prediction", settings: tuple[str, ...] = ()) -> DataFrame:
+                  prompt_col: str = "prompt_text", out_col: str = "prediction", settings: tuple[str, ...] = (),
+                  cut: Callable[[str, int], tuple[str, bool]] = approx_cut) -> DataFrame:
     """Every row of ``df`` plus ``out_col`` predicted from ``prompt_col``.
 
     The predictor is built once per task (a model load), then called on slices of
     ``batch_size`` prompts. Columns named in ``settings`` are a row's own
     generation settings: one predictor per distinct setting. All columns of ``df`` travel
     to Python and back, so pass the narrow ones. Nothing is collected.
+
+    With ``options.max_seq_length``, the predictor gets each prompt cut to that many tokens by
+    ``cut`` (the tokenizer's plug point: ``(text, tokens) -> (text, was it cut)``), and a column ``was_cut`` says so.
     """
     ship_package(df.sparkSession)
     batch = max(1, options.batch_size)
-    schema = StructType(df.schema.fields + [StructField(out_col, StringType(), True)])
+    most = options.max_seq_length
+    schema = StructType(df.schema.fields + [StructField(out_col, StringType(), True)] + ([StructField("was_cut", BooleanType(), True)] if most else []))
     own = [c for c in settings if c in df.columns]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -80,6 +86,9 @@ def batch_predict(df: DataFrame, factory: PredictorFactory = rule_predictor, opt
 
         for pdf in batches:
             prompts = pdf[prompt_col].fillna("").tolist()
+            cuts = [cut(p, most) for p in prompts] if most else []
+            if most:
+                prompts = [text for text, _ in cuts]
             # rows of equal settings are predicted together; answers keep the rows' order
             rows: dict[tuple, list[int]] = {}
             for i, values in enumerate(zip(*(pdf[c].tolist() for c in own)) if own else [()] * len(prompts)):
@@ -90,7 +99,7 @@ def batch_predict(df: DataFrame, factory: PredictorFactory = rule_predictor, opt
                 for k in range(0, len(at), batch):
                     for i, x in zip(at[k:k + batch], predict([prompts[j] for j in at[k:k + batch]])):
                         preds[i] = str(x).strip()
-            yield pdf.assign(**{out_col: preds})
+            yield pdf.assign(**{out_col: preds} | ({"was_cut": [was for _, was in cuts]} if most else {}))
 
     return df.mapInPandas(run, schema)
 

@@ -13,8 +13,6 @@ one-row scalar subquery: no shuffle of wide rows, no task sees the whole table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -139,39 +137,94 @@ def split_counts(split_df: DataFrame) -> DataFrame:
     return split_df.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def limit_first(df: DataFrame, n: int | None, order_col: str = "split_key") -> DataFrame:
-    """L1: the first ``n`` rows in split order; ``None`` keeps all rows.
+def last_in_limit(df: DataFrame, n: int, order_col: str = "split_key") -> Column:
+    """The order key at rank ``n`` as a one-row scalar (null when there are fewer rows).
 
-    Order keys are unique. Only the key at rank ``n`` is looked for, with narrow
-    columns (bucket counts, then one bucket); rows are then filtered by it where
-    they are, so no sort and no single task holds the limit's rows.
+    Keys are unique and hexadecimal hashes, so their prefixes are even buckets; only narrow
+    columns are read (bucket counts, then one bucket).
     """
-    digits = PrepareOptions.rank_bucket_hex_digits
-    return up_to_rank(df, n, order_col, lambda key: F.substring(key, 1, digits))
-
-
-def up_to_rank(df: DataFrame, n: int | None, order_col: str, bucket: Callable[[Column], Column]) -> DataFrame:
-    """The rows of the ``n`` smallest keys. ``bucket`` maps keys to ordered buckets,
-    of which there must be a bounded number."""
-    if n is None:
-        return df
     if n < 0:
         raise ValueError("limit must be >= 0")
-    if n == 0:
-        return df.where(F.lit(False))
-    keyed = df.select(F.col(order_col).alias("_key")).withColumn("_bucket", bucket(F.col("_key")))
+    digits = PrepareOptions.rank_bucket_hex_digits
+    keyed = df.select(F.col(order_col).alias("_key")).withColumn("_bucket", F.substring("_key", 1, digits))
     target = (
         _bucket_offsets(keyed).where((F.col("_offset") < n) & (F.col("_offset") + F.col("_cnt") >= n))
         .select("_bucket", (F.lit(n) - F.col("_offset")).alias("_local"))  # one row, or none when there are fewer rows
     )
     within = Window.partitionBy("_bucket").orderBy("_key")
-    last = (
+    return (
         keyed.join(F.broadcast(target), "_bucket").withColumn("_rn", F.row_number().over(within))
         .where("_rn = _local").agg(F.max("_key").alias("last")).scalar()
     )
+
+
+def limit_first(df: DataFrame, n: int | None, order_col: str = "split_key") -> DataFrame:
+    """L1: the first ``n`` rows in split order; ``None`` keeps all rows.
+
+    Rows are filtered by the key at rank ``n`` where they are, so no sort and no
+    single task holds the limit's rows.
+    """
+    if n is None:
+        return df
+    if n == 0:
+        return df.where(F.lit(False))
+    last = last_in_limit(df, n, order_col)
     return df.withColumn("_last", last).where(F.coalesce(F.col(order_col) <= F.col("_last"), F.lit(True))).drop("_last")
 
 
+#: Rows that one task ranks when a key is looked up by rank.
+RANKED_ROWS = 1 << 16
+_CUTS = 256
+
+
+def key_at_rank(df: DataFrame, n: int, key: Column, most: int = RANKED_ROWS) -> int | float | None:
+    """The ``n``-th smallest value (from 1) of a numeric key, however unevenly it is spread; None when there are fewer rows.
+
+    Each round counts the rows up to and between two keys, and takes splitters of the rows between from a quantile
+    sketch; the next two keys are the splitters around the rank. A round shrinks the rows between about
+    fiftyfold whatever the keys are, reads one narrow column and returns one row. A frequent key ends up as one of the two.
+    """
+    keyed = df.select(key.alias("_key")).where("_key IS NOT NULL")
+    cuts = [i / _CUTS for i in range(_CUTS + 1)]
+    k, low, high = F.col("_key"), None, None  # the key at the rank is low, high, or between them
+    while True:
+        over = F.lit(True) if low is None else k > F.lit(low)
+        between = over if high is None else over & (k < F.lit(high))
+        inner = F.when(between, k)
+        seen = keyed.agg(
+            F.count_if(~over).alias("below"), F.count(inner).alias("between"), F.min(inner).alias("least"), F.max(inner).alias("most"),
+            F.percentile_approx(inner, cuts, 10_000).alias("cuts"),
+        ).first()
+        wanted = n - seen["below"]
+        if wanted <= 0:
+            return low
+        if wanted > seen["between"]:
+            return high
+        if seen["least"] == seen["most"]:
+            return seen["least"]
+        if seen["between"] <= most:
+            break
+        # a splitter's rank is off by at most a ten-thousandth, so two places around the rank hold it for certain
+        at = wanted * _CUTS // seen["between"]
+        low = seen["cuts"][at - 2] if at >= 2 else low
+        high = seen["cuts"][at + 2] if at + 2 <= _CUTS else high
+    counts = keyed.where(between).groupBy("_key").agg(F.count(F.lit(1)).alias("c"))
+    running = counts.withColumn("cum", F.sum("c").over(Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)))  # at most ``most`` rows
+    return running.where(F.col("cum") >= wanted).agg(F.min("_key")).first()[0]
+
+
+def up_to_rank(df: DataFrame, n: int | None, order_col: str, most: int = RANKED_ROWS) -> DataFrame:
+    """The rows of the ``n`` smallest unique numeric keys, left where they are."""
+    if n is None:
+        return df
+    if n < 0:
+        raise ValueError("limit must be >= 0")
+    last = key_at_rank(df, n, F.col(order_col), most) if n else None
+    if n == 0:
+        return df.where(F.lit(False))
+    return df if last is None else df.where(F.col(order_col) <= F.lit(last))
+
+
 def split_invariants(split_df: DataFrame) -> DataFrame:
     """X8 as a long table ``(check, n)``: total rows, rows in a known split, distinct
     ids, ids in more than one split (must be 0), and notes in more than one split

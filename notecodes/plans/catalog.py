@@ -13,12 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from notecodes.config import PrepareOptions
+from notecodes.config import PredictOptions, PrepareOptions
 from notecodes.functions.codes import code_variants, extract_codes, leaks, leaks_in_upper, normalize_code
 from notecodes.functions.prompts import DEFAULT_TEMPLATE, chat_messages, completion_text, system_prompt
 from notecodes.functions.tokens import tokenizer_count_udf
 from notecodes.operators import checks, clean, evaluate, profile, score, split
-from notecodes.session import scratch_path
+from notecodes.session import scratch_path, staged
 from notecodes.sources import fixtures, io
 from notecodes.streaming.score_stream import run_stream_once
 
@@ -47,13 +47,6 @@ def classified(spark, sf):
     return clean.classify(raw(spark, sf), OPTS)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once in the shared folder and read back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def clean_rows(spark, sf):
     return clean.clean_rows(classified(spark, sf), OPTS)
 
@@ -489,13 +482,28 @@ def q_tokenizer_counts(spark, sf):
 
 def q_length_order(spark, sf):
     """L5's order: rows, and neighbours inside a partition that are out of order (none)."""
-    rows = checks.group_by_length(clean_rows(spark, sf).select("example_id", "text"), 8)
+    rows = checks.group_by_length(staged(clean_rows(spark, sf).select("example_id", "text"), "texts"))
     seen = rows.select("n_tokens", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
     w = Window.partitionBy("part").orderBy("at")
     return seen.select("n_tokens", F.lag("n_tokens").over(w).alias("before")).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") > F.col("n_tokens")).alias("out_of_order"))
 
 
+def q_length_batches(spark, sf):
+    """L5's batches of the training rows."""
+    return checks.length_batches(_train(spark, sf))
+
+
+def q_cut_prompts(spark, sf):
+    """Prompts over the token limit are cut before prediction and flagged; the predictor answers with what it was given."""
+    from hashlib import sha256
+
+    seen = lambda options: lambda prompts: [sha256(p.encode()).hexdigest() for p in prompts]
+    rows = score.note_prompts(fixtures.notes_table(spark, sf)).select("row_no", "prompt_text")
+    cut = score.batch_predict(rows, seen, PredictOptions(max_seq_length=256))
+    return cut.select("row_no", F.col("prediction").alias("seen_hash"), "was_cut")
+
+
 def q_stream_settings(spark, sf):
     """T1 with each request's own settings: an echoing predictor answers with what it was given."""
     src = scratch_path(spark, "requests-in")
@@ -542,7 +550,7 @@ def queries() -> dict[str, Query]:
         "prediction_rows", "prediction_gaps",
         "template_check", "request_check", "over_budget", "length_buckets",
         "batch_predict", "parse_predictions", "raw_split", "batch_inference", "nested_json", "token_template",
-        "empty_training", "tokenizer_counts", "length_order", "stream_settings", "report_time", "first_n_rows",
+        "empty_training", "tokenizer_counts", "length_order", "length_batches", "cut_prompts", "stream_settings", "report_time", "first_n_rows",
         "save_and_reload_split", "jsonl_notes", "note_files", "load_or_prepare", "report_json", "stream_score",
         "evaluation_file",
     ]

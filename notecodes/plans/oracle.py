@@ -7,7 +7,7 @@ also checks the shortcuts the Spark plans take. Tables are the driver's views.
 
 from __future__ import annotations
 
-from notecodes.config import PrepareOptions
+from notecodes.config import BatchOptions, PrepareOptions
 from notecodes.functions.prompts import DEFAULT_SYSTEM_PROMPT, DEFAULT_TEMPLATE
 
 # Fixed values, stated here anew so that an error in the package cannot pass on both sides.
@@ -83,6 +83,8 @@ def tokens(t: str) -> str:
     return f"CAST(len(regexp_extract_all(coalesce({t}, ''), '{APPROX_TOKEN_PATTERN}')) AS INTEGER)"
 
 
+BATCHES = BatchOptions()
+MEGA = BATCHES.batch_size * BATCHES.mega_batches
 HOLD = OPTS.val_ratio + OPTS.test_ratio
 TEST_SHARE = OPTS.test_ratio / HOLD
 
@@ -426,21 +428,30 @@ SELECT example_id, {strip('prediction')} AS raw_prediction, {canon(strip('predic
 SELECT f.fmt, ehr_text, instruction, output, icd_code FROM raw, (SELECT unnest(['json', 'parquet']) AS fmt) f WHERE icd_code IS NOT NULL"""),
         "batch_inference": q(SCORED.replace("SELECT row_no,", "SELECT sha256(ehr_text) AS note_hash,").replace("FROM raw)", "FROM raw WHERE ehr_text IS NOT NULL)")
                              + "\nSELECT note_hash, normalized_prediction FROM scored"),
-        "nested_json": q("SELECT row_no, array_to_string(target_codes, '|') AS codes, left(ehr_text, 40) AS note, true AS is_null FROM u"),
+        "nested_json": q("SELECT row_no, array_to_string(target_codes, '|') AS codes, ehr_text AS note, true AS is_null FROM u"),
         "token_template": q("""
-, w AS (SELECT row_no, list_transform(string_split(left(ehr_text, 2000), ' '), lambda x_: length(x_)) AS ids FROM s)
+, w AS (SELECT row_no, list_transform(string_split(ehr_text, ' '), lambda x_: length(x_)) AS ids FROM s)
 SELECT row_no, len(list_filter(range(1, len(ids)), lambda i_: ids[i_] = 2 AND ids[i_ + 1] = 3)) > 0 AS has_run FROM w"""),
         "empty_training": q("""
 SELECT (SELECT count(*) FROM splits WHERE split = 'train') AS train_rows, v.c AS "check", v.f AS fails
 FROM (VALUES ('empty_training', true), ('training', false), ('ratios_over_one', true), ('ratios', false)) v(c, f)"""),
         "tokenizer_counts": q("SELECT row_no, len(list_filter(regexp_split_to_array(ehr_text, '\\s+'), lambda x_: x_ <> '')) AS n_tokens FROM s"),
         "length_order": q("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS out_of_order FROM clean"),
+        "length_batches": q(f"""
+, b AS (SELECT example_id, {tokens('text')} AS n_tokens, row_number() OVER (ORDER BY sha256('{BATCHES.seed}:' || example_id)) - 1 AS r FROM splits WHERE split = 'train')
+, g AS (SELECT *, r // {MEGA} AS mega FROM b)
+, a AS (SELECT *, row_number() OVER (PARTITION BY mega ORDER BY n_tokens DESC, r) - 1 AS at_ FROM g)
+SELECT example_id, n_tokens, CAST(mega * {BATCHES.mega_batches} + at_ // {BATCHES.batch_size} AS BIGINT) AS batch,
+       CAST(at_ % {BATCHES.batch_size} AS INTEGER) AS place FROM a"""),
+        "cut_prompts": q(f"""
+, w AS (SELECT row_no, full_prompt, regexp_extract_all(full_prompt, '[ \t\n\x0B\f\r]*(?:{APPROX_TOKEN_PATTERN})') AS toks FROM up)
+SELECT row_no, sha256(CASE WHEN len(toks) > 256 THEN array_to_string(toks[1:256], '') ELSE full_prompt END) AS seen_hash, len(toks) > 256 AS was_cut FROM w"""),
         "stream_settings": f"""
 WITH req AS ({REQUESTS}), v AS (SELECT *, {_violations()} AS violations FROM req)
 SELECT request_id AS row_no, concat(max_new_tokens, ' ', num_beams, ' ', request_id % 25, ' ', request_id % 13, ' ', CASE WHEN request_id % 2 = 0 THEN 1 ELSE 0 END) AS raw_prediction
 FROM v WHERE len(violations) = 0""",
         "evaluation_file": q(_evaluation_select("split").replace(
             "FROM m3 GROUP BY split",
-            "FROM (SELECT m3.* FROM m3 JOIN splits USING (example_id) WHERE m3.split = 'test' ORDER BY split_rank LIMIT 20) GROUP BY split")),
+            "FROM (SELECT m3.* FROM m3 JOIN splits USING (example_id) WHERE m3.split = 'test') GROUP BY split")),
     }
     return {k: v.strip() for k, v in sql.items()}

@@ -9,7 +9,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "notecodes") -> SparkSession:
@@ -61,6 +61,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once in the shared folder and read back: a lineage cut that survives a lost executor."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Remove a staged table when its job is over."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+#: Input bytes a task slot up to which rows are dealt out anew before heavy work on them.
+SMALL_BYTES = 32 << 20
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether the whole input is small: a few row groups, each of which would be one task."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size < df.sparkSession.sparkContext.defaultParallelism * SMALL_BYTES
+
+
+def spread(df: DataFrame, key: str, wanted: bool | None = None) -> DataFrame:
+    """Hash-partition the rows of a small input by ``key`` over all task slots.
+
+    Hash partitioning (not round-robin) keeps retries deterministic and needs no
+    sort. A larger input has splits enough and is never shuffled for this.
+    """
+    wanted = is_small(df) if wanted is None else wanted
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, key) if wanted else df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors (once per application), so that functions
     that run there can import it wherever the driver was started."""

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
+import uuid
 from contextlib import contextmanager
+from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -21,62 +26,48 @@ NOTES_SCHEMA = StructType([
 ])
 
 
-# Per-split tables (one row per input file or file block) up to this many rows
-# are broadcast (about 100-200 bytes a row); beyond it they are joined by a
-# plain join that AQE plans from measured sizes.
-ROW_NO_BROADCAST_MAX = 1_000_000
+#: Rows that a task numbers: monotonically_increasing_id() counts them in its lower bits.
+_ROW_BITS = 33
+#: The list of files and the rows' metadata write a path without a host differently (file:///a, file:/a).
+_EMPTY_HOST = r"^([a-z0-9+.-]+):///"
 
 
-def _split_count_estimate(df: DataFrame) -> int:
-    """Upper bound on the rows of the per-split table: files plus input bytes
-    over the split size (both known to the driver before any task runs)."""
-    spark = df.sparkSession
-    files = len(df.inputFiles())
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    said = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
-    split = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said))  # "128m" as well as bytes
-    return files + size // max(split, 1) + 1
-
-
-def with_row_no(df: DataFrame, broadcast_max: int = ROW_NO_BROADCAST_MAX) -> DataFrame:
-    """Source order as ``row_no`` (0-based, dense) for file sources without one.
-
-    Each row gets the key of its file split ``(_file, _block)`` and its position
-    ``_pos`` inside that split: Parquet exposes ``_metadata.row_index`` (the
-    whole file is one unit); text formats (JSON, CSV) expose
-    ``_metadata.file_block_start``, and a task reads its blocks one after the
-    other, so ``monotonically_increasing_id()`` minus its smallest value in the
-    block is the row's position in the block. ``row_no`` = rows in earlier
-    splits (ordered by path, then block start) + position. The per-split table
-    is one row per file or block, a list the driver already holds to plan the
-    scan; it is broadcast when the driver's estimate of its size is under
-    ``broadcast_max`` rows, else joined without a hint. No window runs over the
-    rows and no task sees a whole file. Number rows before any row filter (the
-    counts must cover the same rows as the positions).
+def _byte_conf(spark: SparkSession, key: str, default: str) -> int:
+    said = spark.conf.get(key, default)
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said))  # "128m" as well as bytes
+
+
+def with_row_no(df: DataFrame) -> DataFrame:
+    """Source order as ``row_no`` for file sources without one: unique and ascending by
+    file path and place in the file, with gaps. No row is counted and the source is not scanned for it.
+
+    The key is put together from a file's place in the list of paths (upper bits) and the row's place in
+    the file: Parquet exposes ``_metadata.row_index``; for text formats (JSON, CSV) it is the number of
+    the block, ``_metadata.file_block_start`` over the least size that a block can have, and
+    behind it the lower bits of ``monotonically_increasing_id()`` (a task reads a block's rows in turn).
+    The list of paths is the one that the driver holds to plan the scan; it is broadcast, and no wide
+    row is shuffled. A place that does not fit into its bits is an error.
     """
     if "row_no" in df.columns:
         return df
-    meta_fields = df.select("_metadata").schema["_metadata"].dataType.fieldNames()
-    file_col = F.col("_metadata.file_path").alias("_file")
-    if "row_index" in meta_fields:
-        keyed = df.select("*", file_col, F.lit(0).cast("bigint").alias("_block"),
-                          F.col("_metadata.row_index").alias("_pos"))
-        splits = keyed.groupBy("_file", "_block").agg(
-            F.count(F.lit(1)).alias("_rows"), F.lit(0).cast("bigint").alias("_first"))
+    spark = df.sparkSession
+    paths = sorted(re.sub(_EMPTY_HOST, r"\1:/", p) for p in df.inputFiles())
+    room = 63 - max(0, len(paths) - 1).bit_length()
+    if "row_index" in df.select("_metadata").schema["_metadata"].dataType.fieldNames():
+        place = F.col("_metadata.row_index")
     else:
-        keyed = df.select("*", file_col, F.col("_metadata.file_block_start").alias("_block"),
-                          F.monotonically_increasing_id().alias("_pos"))
-        splits = keyed.groupBy("_file", "_block").agg(
-            F.count(F.lit(1)).alias("_rows"), F.min("_pos").alias("_first"))
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("_file", "_block", "_first",
-                           F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
-    if _split_count_estimate(df) <= broadcast_max:
-        splits = F.broadcast(splits)
+        block = min(_byte_conf(spark, "spark.sql.files.maxPartitionBytes", "128m"), _byte_conf(spark, "spark.sql.files.openCostInBytes", "4m"))
+        number = F.floor(F.col("_metadata.file_block_start") / F.lit(max(block, 1)))
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+        place = F.when(number < F.lit(1 << max(0, room - _ROW_BITS)), F.shiftleft(number, _ROW_BITS).bitwiseOR(row))
+    placed = df.select("*", F.regexp_replace("_metadata.file_path", _EMPTY_HOST, "$1:/").alias("_file"), place.alias("_place"))
+    files = spark.createDataFrame(list(zip(paths, range(len(paths)))) or [("", 0)], "_file string, _file_no long")
+    fits = F.col("_place").isNotNull() & F.col("_file_no").isNotNull()
+    key = F.shiftleft(F.col("_file_no"), room).bitwiseOR(F.col("_place")) if room < 63 else F.col("_place")
     return (
-        keyed.join(splits, ["_file", "_block"])
-        .withColumn("row_no", (F.col("_base") + F.col("_pos") - F.col("_first")).cast("bigint"))
-        .drop("_file", "_block", "_pos", "_first", "_base")
+        placed.join(F.broadcast(files), "_file", "left")
+        .withColumn("row_no", F.when(fits, key).otherwise(F.raise_error(F.concat(F.lit("No room for a row number in "), F.col("_file")))))
+        .drop("_file", "_place", "_file_no")
     )
 
 
@@ -97,8 +88,7 @@ def read_raw(spark: SparkSession, path: str, fmt: str = "parquet", split: str |
             reader = reader.option("mode", "FAILFAST")
         if fmt == "csv":
             reader = reader.option("header", "true").option("multiLine", "true").option("escape", '"')
-    # Numbered before the split filter: ``row_no`` is then the row's place in
-    # the whole source (gaps where other splits' rows were), order preserved.
+    # Numbered before the split filter: the order is that of the whole source.
     df = with_row_no(reader.format(fmt).load(path))
     if split is None:
         return df
@@ -130,14 +120,20 @@ def session_conf(spark: SparkSession, key: str, value: str, only_if: str | None
                 spark.conf.set(key, old)
 
 
-def save_splits(split_df: DataFrame, out_dir: str, compression: str | None = None) -> None:
+def save_splits(split_df: DataFrame, out_dir: str, compression: str | None = None, rebalance: bool = False) -> None:
     """One table, partitioned by ``split`` (readers prune to one split).
 
     With at most a few open writers per task (one per split value) the writer
     does not sort the wide rows by ``split`` first; that needs
     ``spark.sql.maxConcurrentOutputFileWriters`` > 0, set here for the write
     when the session leaves it at 0.
+
+    ``rebalance`` deals the rows out by split first and lets AQE cut and merge by measured bytes
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so that the number of files follows
+    the bytes of a split and not the number of tasks.
     """
+    if rebalance:
+        split_df = split_df.hint("rebalance", "split")
     writer = split_df.write.mode("overwrite").partitionBy("split")
     if compression:
         writer = writer.option("compression", compression)
@@ -153,15 +149,66 @@ def read_split(spark: SparkSession, out_dir: str, split: str | None = None) -> D
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """``path/_SUCCESS`` exists, through the Hadoop file system of ``path``."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _hadoop(spark, path.rstrip("/") + "/_SUCCESS")
     return bool(fs.exists(hpath))
 
 
-def read_notes_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines notes with a declared schema; blank lines are skipped."""
-    return spark.read.schema(NOTES_SCHEMA).option("mode", "FAILFAST").json(path)
+def _hadoop(spark: SparkSession, path: str):
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def source_listing(df: DataFrame) -> str:
+    """A digest of what ``df`` reads: paths, sizes and times of its files, and its plan."""
+    spark, digest = df.sparkSession, hashlib.sha256()
+    wanted = {p: None for p in sorted(df.inputFiles())}
+    for folder in sorted({p.rsplit("/", 1)[0] for p in wanted}):  # one listing a folder, not one call a file
+        fs, hpath = _hadoop(spark, unquote(folder))
+        for status in fs.listStatus(hpath):
+            name = f"{folder}/{quote(status.getPath().getName())}"
+            if not status.isDirectory():
+                digest.update(f"{name} {status.getLen()} {status.getModificationTime()}\n".encode())
+    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+    digest.update(re.sub(r"#\d+L?|\[file:[^\]]*\]", "", plan).encode())
+    return digest.hexdigest()
+
+
+def manifest_path(out_dir: str) -> str:
+    return out_dir.rstrip("/") + "/_manifest.json"  # names with _ are no data files
+
+
+def write_manifest(spark: SparkSession, out_dir: str, manifest: dict) -> None:
+    """The manifest appears whole or not at all: written beside, then renamed."""
+    fs, target = _hadoop(spark, manifest_path(out_dir))
+    _, draft = _hadoop(spark, manifest_path(out_dir) + f".{uuid.uuid4().hex[:8]}")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+    out.close()
+    fs.delete(target, False)
+    if not fs.rename(draft, target):
+        raise OSError(f"{draft} could not be renamed.")
+
+
+def read_manifest(spark: SparkSession, out_dir: str) -> dict | None:
+    fs, target = _hadoop(spark, manifest_path(out_dir))
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def read_notes_jsonl(spark: SparkSession, path: str, keep_broken: bool = False) -> DataFrame:
+    """JSON-lines notes with a declared schema; blank lines are skipped.
+
+    A broken line is an error; with ``keep_broken`` it is a row of its own, with its text in ``broken_line``.
+    """
+    if not keep_broken:
+        return spark.read.schema(NOTES_SCHEMA).option("mode", "FAILFAST").json(path)
+    schema = StructType(NOTES_SCHEMA.fields + [StructField("broken_line", StringType(), True)])
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", "broken_line").json(path)
 
 
 def read_note_files(spark: SparkSession, path: str) -> DataFrame:

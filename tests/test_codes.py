@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -147,3 +148,18 @@ def test_space_set_is_pythons():
 def test_default_prompt_has_no_code_like_word():
     assert not re.search(PYTHON_CODE_PATTERN, DEFAULT_SYSTEM_PROMPT.upper())
     assert DEFAULT_TEMPLATE.isolates_fields()
+
+
+def test_leakage_equals_brute_force_for_any_number_of_codes(spark):
+    rng = random.Random(11)
+    code = lambda: rng.choice("AB") + rng.choice("01") + rng.choice("0A") + rng.choice(["", ".1", ".A1", ".1A00"])
+    rows = []
+    for _ in range(400):
+        codes = list(dict.fromkeys(code() for _ in range(rng.randint(0, 12))))
+        parts = [rng.choice([code(), code().replace(".", ""), "E1", "x", " ", ".", "1", "A", "é", "\n", ";"]) for _ in range(rng.randint(0, 9))]
+        rows.append(("".join(parts), codes))
+    want = [any(v in t.upper() for c in codes for v in (c, c.replace(".", ""))) if t else False for t, codes in rows]
+    assert 50 < sum(want) < 350
+    df = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(rows)], "i int, t string, c array<string>")
+    got = {r.i: r.l for r in df.select("i", leaks(F.col("t"), F.col("c")).alias("l")).collect()}
+    assert [got[i] for i in range(len(rows))] == want

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,9 +86,8 @@ def test_row_no_follows_file_order(spark):
     path = scratch_path(spark, "raw-multi")
     docs.orderBy("doc_id").repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
     raw = io.read_raw(spark, path)
-    got = raw.select("row_no", "doc_id").collect()
-    assert sorted(r.row_no for r in got) == list(range(200))
-    assert all(r.row_no == r.doc_id for r in got)
+    got = sorted(raw.select("row_no", "doc_id").collect())
+    assert [r.doc_id for r in got] == list(range(200)) and len({r.row_no for r in got}) == 200
 
 
 def test_tokenizer_plug_point(spark):
@@ -145,14 +149,176 @@ def test_row_no_follows_file_order_for_json_blocks(spark):
                 n += 1
     with io.session_conf(spark, "spark.sql.files.maxPartitionBytes", "2000"):
         got = io.read_raw(spark, path, fmt="json").select("row_no", "ehr_text").collect()
-        assert sorted((r.row_no, r.ehr_text) for r in got) == [(i, f"row {i}") for i in range(n)]
-        # the split filter runs after numbering: row_no is the place in the whole source
+        assert [r.ehr_text for r in sorted(got)] == [f"row {i}" for i in range(n)] and len({r.row_no for r in got}) == n
+        plan = io.read_raw(spark, path, fmt="json")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and "Exchange hashpartitioning" not in plan and "Window" not in plan
+        # the split filter runs after numbering: row_no is the same as without it
+        number = {r.ehr_text: r.row_no for r in got}
         test_rows = io.read_raw(spark, path, fmt="json", split="test").select("row_no", "ehr_text").collect()
-        assert len(test_rows) == (n + 2) // 3 and all(r.ehr_text == f"row {r.row_no}" for r in test_rows)
-        # the same numbers without the broadcast
-        plain = io.with_row_no(spark.read.schema(io.RAW_SCHEMA).json(path), broadcast_max=0)
-        assert sorted((r.row_no, r.ehr_text) for r in plain.select("row_no", "ehr_text").collect()) == [
-            (i, f"row {i}") for i in range(n)]
+        assert len(test_rows) == (n + 2) // 3 and all(number[r.ehr_text] == r.row_no for r in test_rows)
+
+
+def test_row_no_without_room_is_an_error(spark, tmp_path, monkeypatch):
+    spark.range(2000).selectExpr("concat('row ', id) ehr_text").coalesce(1).write.json(str(tmp_path / "a"))
+    spark.range(2000).selectExpr("concat('row ', id) ehr_text").coalesce(1).write.mode("append").json(str(tmp_path / "a"))
+    monkeypatch.setattr(io, "_ROW_BITS", 61)  # leaves two blocks a file
+    with io.session_conf(spark, "spark.sql.files.maxPartitionBytes", "4000"):
+        with pytest.raises(Exception, match="No room"):
+            io.read_raw(spark, str(tmp_path / "a"), "json").agg(F.max("row_no")).collect()
+
+
+def test_row_no_with_odd_paths(spark, tmp_path):
+    path = str(tmp_path / "a b+c%20ü")
+    spark.range(5).selectExpr("cast(id as string) ehr_text").coalesce(1).write.json(path)
+    assert [r.ehr_text for r in io.read_raw(spark, path, "json").orderBy("row_no").collect()] == list("01234")
+
+
+def test_predictor_sees_each_note_once_and_in_order(spark, tmp_path):
+    from notecodes.plans.score_job import run_batch_inference, run_folder_inference
+
+    calls = str(tmp_path / "calls")
+    os.makedirs(calls)
+
+    def counting(options):
+        def predict(prompts):
+            with open(f"{calls}/{uuid.uuid4().hex}", "w") as f:
+                f.write("\n".join(re.search(r"note (\d+) end", p)[1] for p in prompts))
+            return ["E11.9"] * len(prompts)
+        return predict
+
+    rows = [{"note": f"note {i} end", "instruction": "x"} for i in range(400)]
+    src = tmp_path / "in"
+    src.mkdir()
+    for k in range(4):
+        (src / f"{k}.json").write_text("\n".join(json.dumps(r) for r in rows[k * 100:(k + 1) * 100]) + "\n")
+    (src / "4.json").write_text('{"note": null}\n{"note": "broken\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run_batch_inference(spark, str(src), str(tmp_path / "no"))
+    bad = str(tmp_path / "bad")
+    out = run_batch_inference(spark, str(src), str(tmp_path / "out"), counting, quarantine_path=bad)
+    seen = [int(x) for name in os.listdir(calls) for x in open(f"{calls}/{name}").read().split("\n")]
+    assert sorted(seen) == list(range(400))
+    files = sorted(f for f in os.listdir(tmp_path / "out") if f.startswith("part"))
+    written = [json.loads(x)["note"] for f in files for x in open(tmp_path / "out" / f)]
+    assert written == [r["note"] for r in rows] and out.count() == 400
+    got = spark.read.schema("broken_line string, violations array<string>").json(bad).collect()
+    assert sorted((list(r.violations), r.broken_line) for r in got) == [(["json"], '{"note": "broken'), (["note"], None)]
+
+    folder = tmp_path / "notes"
+    folder.mkdir()
+    for i in range(7):
+        (folder / f"{i}.txt").write_text(f"note {i} end\nE11.9")
+    scored = run_folder_inference(spark, str(folder), str(tmp_path / "scored"))
+    assert [(r.path.rsplit("/", 1)[1], r.normalized_prediction) for r in sorted(scored.collect())] == [(f"{i}.txt", "E11.9") for i in range(7)]
+
+
+def test_prompts_are_cut_and_flagged(spark, tmp_path):
+    from notecodes.config import PredictOptions
+    from notecodes.functions.tokens import approx_cut
+    from notecodes.operators.score import batch_predict
+
+    assert approx_cut("a b, c", 3) == ("a b,", True) and approx_cut("a b, c", 4) == ("a b, c", False) and approx_cut("", 2) == ("", False)
+    df = spark.createDataFrame([(1, "one two three four"), (2, "one"), (3, None)], "k int, prompt_text string")
+    echo = lambda options: lambda prompts: prompts
+    got = batch_predict(df, echo, PredictOptions(max_seq_length=3)).collect()
+    assert sorted((r.k, r.prediction, r.was_cut) for r in got) == [(1, "one two three", True), (2, "one", False), (3, "", False)]
+    raw = fixtures.raw_examples(spark, SF0001)
+    out = str(tmp_path / "prepared")
+    prepare(spark, raw, out)
+    rows = evaluation_rows(spark, out, EvaluateOptions(split="train", max_seq_length=200))
+    assert {r.was_cut for r in rows.select("was_cut").distinct().collect()} == {True, False}
+
+
+def test_reuse_by_content(spark, tmp_path):
+    from notecodes.plans import prepare as job
+
+    src, out = str(tmp_path / "raw"), str(tmp_path / "prepared")
+    fixtures.raw_examples(spark, SF0001).drop("row_no").withColumn("split", F.lit("train")).write.parquet(src)
+    built = []
+    prepare_once = job.prepare
+    job.prepare = lambda *a, **k: built.append(1) or prepare_once(*a, **k)
+    try:
+        splits = lambda opts: {(r.example_id, r.split) for r in job.load_or_prepare_source(spark, src, out, opts=opts).select("example_id", "split").collect()}
+        first = splits(PrepareOptions())
+        assert splits(PrepareOptions()) == first and len(built) == 1
+        assert spark.read.text(out + "_report.json").count() == 1
+        assert splits(PrepareOptions(output_compression="snappy")) == first and len(built) == 1  # same rows
+        other = splits(PrepareOptions(seed=7))
+        assert other != first and len(built) == 2  # changed options build anew
+        fixtures.raw_examples(spark, SF0001).drop("row_no").limit(50).withColumn("split", F.lit("train")).write.mode("append").parquet(src)
+        splits(PrepareOptions(seed=7))
+        assert len(built) == 3  # so does a changed source
+        os.remove(f"{out}/_manifest.json")  # a run that broke before its end
+        splits(PrepareOptions(seed=7))
+        assert len(built) == 4
+    finally:
+        job.prepare = prepare_once
+
+
+def test_rebalanced_write_follows_bytes(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id", "repeat(cast(id as string), 50) text", "case when id % 20 = 0 then 'test' when id % 20 = 1 then 'validation' else 'train' end split").repartition(40)
+    files = lambda p: {s: sum(f.startswith("part") for f in os.listdir(f"{p}/split={s}")) for s in ("train", "validation", "test")}
+    io.save_splits(rows, str(tmp_path / "a"))
+    io.save_splits(rows, str(tmp_path / "b"), rebalance=True)
+    assert min(files(tmp_path / "a").values()) > 30
+    assert files(tmp_path / "b") == {"train": 1, "validation": 1, "test": 1}
+    with io.session_conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k"):
+        io.save_splits(rows, str(tmp_path / "c"), rebalance=True)
+    got = files(tmp_path / "c")
+    assert got["train"] > 5 * got["test"] and got["test"] <= 2
+    assert spark.read.parquet(str(tmp_path / "c")).count() == 4000
+
+
+def test_key_at_rank_on_uneven_and_equal_keys(spark):
+    from notecodes.operators import profile, split
+
+    rows = spark.range(60_000).selectExpr("case when id = 59999 then 1000000000000 when id < 20000 then 7 else id end k")
+    keys = sorted(r.k for r in rows.collect())
+    for n in (1, 20_000, 20_001, 40_000, 59_999, 60_000):
+        assert split.key_at_rank(rows, n, F.col("k"), most=500) == keys[n - 1], n
+    assert split.key_at_rank(rows, 60_001, F.col("k"), most=500) is None
+    assert split.key_at_rank(rows.where("k < 0"), 1, F.col("k")) is None
+    far = spark.range(5000).selectExpr("case when id = 4999 then 1000000000000 else id end row_no")
+    for n in (1, 2500, 4999, 5000, 9000):
+        assert profile.up_to_rank(far, n, "row_no", most=50).count() == min(n, 5000)
+
+
+def test_length_batches(spark):
+    from notecodes.config import BatchOptions
+    from notecodes.operators import checks
+
+    rows = spark.range(103).selectExpr("concat('id', id) example_id", "repeat('x ', cast(id % 9 as int)) text")
+    got = checks.length_batches(rows, BatchOptions(batch_size=4, mega_batches=5)).collect()
+    assert len(got) == 103 and len({r.example_id for r in got}) == 103
+    batches = {}
+    for r in got:
+        batches.setdefault(r.batch, []).append((r.place, r.n_tokens))
+    assert sorted(batches) == list(range(26)) and [len(batches[b]) for b in sorted(batches)] == [4] * 25 + [3]
+    for mega in range(5):
+        inside = [n for b in range(mega * 5, mega * 5 + 5) for _, n in sorted(batches[b])]
+        assert inside == sorted(inside, reverse=True)
+    assert [r.n_tokens for r in sorted(got, key=lambda r: (r.batch, r.place))][:20] != sorted((r.n_tokens for r in got), reverse=True)[:20]
+    again = checks.length_batches(rows.repartition(7), BatchOptions(batch_size=4, mega_batches=5)).collect()
+    assert sorted(again) == sorted(got)
+    assert checks.length_batches(rows.where("false")).count() == 0
+
+
+def test_predictions_are_read_once(spark, tmp_path):
+    from notecodes.operators import evaluate
+
+    table = prepare(spark, fixtures.raw_examples(spark, SF0001), str(tmp_path / "p")).splits
+    preds = str(tmp_path / "preds")
+    table.select("example_id", F.col("target_text").alias("prediction")).write.parquet(preds)
+    met = evaluate.paired_once(table, spark.read.parquet(preds), F.col("split") == "test")
+    assert met._jdf.queryExecution().optimizedPlan().toString().count("prediction#") and met._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+
+
+def test_close_removes_the_stage(spark, tmp_path):
+    stage = str(tmp_path / "stage")
+    done = prepare(spark, fixtures.raw_examples(spark, SF0001), str(tmp_path / "out"), stage_dir=stage)
+    assert os.path.isdir(stage)
+    done.close()
+    assert not os.path.isdir(stage) and done.splits.count() > 0
 
 
 def test_evaluate_takes_its_part_of_all_predictions(spark, tmp_path):

@@ -107,3 +107,37 @@ def test_rollup_total_equals_overall(clean_rows):
     assert len(rows) == 3 and total.num_examples == overall.num_examples == 152
     for c in evaluate.EVALUATION_FIELDS:
         assert total[c] == pytest.approx(overall[c], abs=1e-12)
+
+
+def test_summary_of_many_distinct_values(spark):
+    """A continuous column of as many values as rows, and uneven ones: equal to a plain nearest rank, no window over all values."""
+    import math
+
+    from notecodes.operators import profile
+
+    rows = spark.range(5000).selectExpr("id % 2 g", "case when id % 2 = 0 then sin(id) * id else (id div 10) * 1.0 end v", "cast(id as double) * id * id w")
+    data = rows.collect()
+
+    def want(values):
+        values, n = sorted(values), len(values)
+        return [n, values[0], values[-1], math.fsum(values) / n] + [values[min(n - 1, round(p / 100 * (n - 1)))] for p in profile.PERCENTILES]
+
+    got = {r.g: list(r)[1:] for r in profile.numeric_summary(rows, "v", ["g"]).collect()}
+    for g in (0, 1):
+        assert got[g] == pytest.approx(want([r.v for r in data if r.g == g]), rel=1e-12)
+    assert list(profile.numeric_summary(rows, "w").first()) == pytest.approx(want([r.w for r in data]))
+    assert profile.numeric_summary(rows.where("false"), "w").count() == 0
+    plan = profile.numeric_summary(rows, "w")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window [" in line]
+    assert any("_part" in line for line in windows) and not any("sum(_c" in line and "_part" not in line for line in windows)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 257, 1000])
+def test_summary_of_few_and_equal_values(spark, n):
+    from notecodes.operators import profile
+
+    rows = spark.range(n).selectExpr("cast(id % 3 as int) v")
+    got = profile.numeric_summary(rows, "v").first()
+    values = sorted(r.v for r in rows.collect())
+    assert [got[f"p{p}"] for p in profile.PERCENTILES] == [values[min(n - 1, round(p / 100 * (n - 1)))] for p in profile.PERCENTILES]
+    assert got["count"] == n and got["min"] == values[0] and got["max"] == values[-1]
