@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from notecodes.functions.tokens import approx_token_count
 from notecodes.operators.split import up_to_rank
-from notecodes.session import spread
+from notecodes.session import spread, staged
 
 # The reported percentiles.
 PERCENTILES = (50, 90, 95, 99)
@@ -24,7 +24,12 @@ def first_rows(df: DataFrame, n: int | None, order_col: str = "row_no") -> DataF
 
 
 #: Parts that a value histogram is cut into; each is summed up in a task of its own.
-PARTS = 256
+PARTS = 128
+
+
+def even_shares(parts: int) -> Column:
+    """1 / parts, 2 / parts, ... below 1, as one literal (a plan with hundreds of them takes long to make)."""
+    return F.split(F.lit(" ".join(str(i / parts) for i in range(1, parts))), " ").cast("array<double>")
 
 
 def value_counts(df: DataFrame, value_col: str, by: Sequence[str] = ()) -> DataFrame:
@@ -36,28 +41,55 @@ def value_counts(df: DataFrame, value_col: str, by: Sequence[str] = ()) -> DataF
 def numeric_summary(df: DataFrame, value_col: str, by: Sequence[str] = (),
                     percentiles: Sequence[int] = PERCENTILES) -> DataFrame:
     """A4 + A5: ``count, min, max, mean`` and nearest-rank percentiles, as doubles."""
-    return summary_of_counts(value_counts(df, value_col, by), by, percentiles)
-
-
-def summary_of_counts(hist: DataFrame, by: Sequence[str] = (), percentiles: Sequence[int] = PERCENTILES, parts: int = PARTS) -> DataFrame:
-    """The summary of ``value_counts``.
-
-    Percentile ``p`` is the sorted value at 0-based index
-    ``min(n - 1, rint(p / 100 * (n - 1)))`` (round half to even, like Python's
-    ``round``). Neither ``percentile`` (interpolates) nor ``percentile_disc``
-    (ceil rank) gives that, so it is the first value whose running count exceeds the
-    index. The running count is built from parts: splitters from a quantile sketch cut the distinct values
-    of a group into up to ``parts`` ranges, the ranges' sums give each one's offset, and only the
-    ranges that hold a wanted index are counted through, each in its own window. So a
-    column of as many distinct values as rows is no single task's work. Empty input gives no row
-    (the reference returns an empty summary). Groups are few (metrics, splits): their
-    splitters and sums, ``parts`` values each, are broadcast.
+    return summary_of_counts(staged(value_counts(df, value_col, by), "value_counts"), by, percentiles)
+
+
+#: Distinct values up to which one window counts through a whole histogram.
+ONE_WINDOW = 1 << 18
+
+
+def percentile_index(n: Column, p: int) -> Column:
+    """0-based place of percentile ``p`` among ``n`` sorted values: ``min(n - 1, rint(p / 100 * (n - 1)))``."""
+    return F.least(n - 1, F.rint(F.lit(p / 100) * (n - 1)))
+
+
+def summary_of_counts(hist: DataFrame, by: Sequence[str] = (), percentiles: Sequence[int] = PERCENTILES, one_window: int = ONE_WINDOW) -> DataFrame:
+    """The summary of ``value_counts`` (best read from a written table).
+
+    Percentiles are nearest ranks (round half to even, like Python's ``round``). Neither
+    ``percentile`` (interpolates) nor ``percentile_disc`` (ceil rank) gives that, so each is the
+    first value whose running count exceeds the index. A histogram of few distinct values is
+    counted through in one window; beyond ``one_window`` of them, in parts (``summary_in_parts``): the
+    rows are the same. Empty input gives no row (the reference returns an empty summary).
+    """
+    if hist.count() > one_window:
+        return summary_in_parts(hist, by, percentiles)
+    part = Window.partitionBy(*by)
+    cum = hist.select(
+        *by, "_v", "_c", F.sum("_c").over(part.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"), F.sum("_c").over(part).alias("_n"))
+    aggs = [
+        F.first("_n").cast("double").alias("count"), F.min("_v").cast("double").alias("min"), F.max("_v").cast("double").alias("max"),
+        (F.sum(F.col("_v").cast("double") * F.col("_c")) / F.first("_n")).alias("mean"),
+    ]
+    for p in percentiles:
+        aggs.append(F.min(F.when(F.col("_cum") > percentile_index(F.col("_n"), p), F.col("_v"))).cast("double").alias(f"p{p}"))
+    # A global aggregate over no rows still yields one (all-NULL) row: drop it.
+    return cum.groupBy(*by).agg(*aggs).where(F.col("count").isNotNull())
+
+
+def summary_in_parts(hist: DataFrame, by: Sequence[str] = (), percentiles: Sequence[int] = PERCENTILES, parts: int = PARTS) -> DataFrame:
+    """The summary of a histogram of any number of distinct values.
+
+    Splitters from a quantile sketch cut the distinct values of a group into up to ``parts`` ranges, the
+    ranges' sums give each one's offset, and only the ranges that hold a wanted index are counted
+    through, each in its own window. So a column of as many distinct values as rows is no
+    single task's work. Groups are few (metrics, splits): their splitters and sums, ``parts`` values each, are broadcast.
     """
     hist = hist.withColumn("_all", F.lit(0))
     keys = [*by, "_all"]
-    cuts = hist.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_v", [i / parts for i in range(1, parts)], 10_000)).alias("_cuts"))
+    cuts = hist.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_v", even_shares(parts), 10_000)).alias("_cuts"))
     # the place of a value among the splitters: one more than the splitters below it
-    ranged = hist.join(F.broadcast(cuts), keys).select(*keys, "_v", "_c", F.array_position(F.array_sort(F.array_append("_cuts", F.col("_v"))), F.col("_v")).alias("_part"))
+    ranged = hist.join(F.broadcast(cuts), keys).select(*keys, "_v", "_c", F.array_position(F.sort_array(F.array_append("_cuts", F.col("_v"))), F.col("_v")).alias("_part"))
     sums = ranged.groupBy(*keys, "_part").agg(
         F.sum("_c").alias("_sum"), F.sum(F.col("_v").cast("double") * F.col("_c")).alias("_total"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
     within = Window.partitionBy(*keys)
@@ -66,7 +98,7 @@ def summary_of_counts(hist: DataFrame, by: Sequence[str] = (), percentiles: Sequ
         F.sum("_sum").over(within).alias("_n"), F.min("_least").over(within).alias("_min"), F.max("_most").over(within).alias("_max"), F.sum("_total").over(within).alias("_all_total"),
     )
     n = F.col("_n")
-    index = {p: F.least(n - 1, F.rint(F.lit(p / 100) * (n - 1))) for p in percentiles}
+    index = {p: percentile_index(n, p) for p in percentiles}
     has = F.lit(False)
     for i in index.values():
         has = has | ((i >= F.col("_before")) & (i < F.col("_before") + F.col("_sum")))
@@ -80,7 +112,6 @@ def summary_of_counts(hist: DataFrame, by: Sequence[str] = (), percentiles: Sequ
     for p, i in index.items():
         inside = (F.col("_cum") > i) & (F.col("_cum") - F.col("_c") <= i)
         aggs.append(F.min(F.when(inside, F.col("_v"))).cast("double").alias(f"p{p}"))
-    # A global aggregate over no rows still yields one (all-NULL) row: drop it.
     return counted.groupBy(*keys).agg(*aggs).where(F.col("count").isNotNull()).drop("_all")
 
 
@@ -138,7 +169,7 @@ def dataset_report(raw: DataFrame, split_df: DataFrame, stats: DataFrame, sample
     """
     sample = spread(first_rows(split_df.select("split", "row_no", "prompt_text", "text", "num_codes"), sample_size), "row_no")
     # the one pass over the written texts: rows per split, series and value
-    counts = value_counts(profile_series(sample, token_count, keep=("split",)), "value", ("split", "metric"))
+    counts = staged(value_counts(profile_series(sample, token_count, keep=("split",)), "value", ("split", "metric")), "value_counts")
     summaries = summary_of_counts(counts.groupBy("metric", "_v").agg(F.sum("_c").alias("_c")), ("metric",))
     if sample_size is None:
         sizes = counts.where(F.col("metric") == CODE_SERIES).groupBy("split").agg(F.sum("_c").alias("count"))

@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,8 +31,13 @@ class Prepared:
     splits: DataFrame      # the written table, read back (partitioned by split)
     stats: DataFrame       # (stat, n)
     rejects: DataFrame     # (row_no, reject_reason)
-    report: DataFrame      # one row
     stage: str             # the classified rows, which stats, rejects and report read
+    make_report: Callable[[], DataFrame]
+
+    @cached_property
+    def report(self) -> DataFrame:
+        """One row; the texts are read when it is first asked for."""
+        return self.make_report()
 
     def close(self) -> None:
         """Remove the staged rows; only ``splits`` can be read from then on."""
@@ -52,10 +59,10 @@ def prepare(spark: SparkSession, raw: DataFrame, out_dir: str, opts: PrepareOpti
     drop_staged(spark, ids)
     written = read_split(spark, out_dir)
     stats = cleaning_stats(staged)
-    report = dataset_report(raw, written, stats, opts.sample_report_size)
+    done = Prepared(written, stats, rejects(staged), stage, lambda: dataset_report(raw, written, stats, opts.sample_report_size))
     if report_path:
-        write_json_document(report, report_path)
-    return Prepared(written, stats, rejects(staged), report, stage)
+        write_json_document(done.report, report_path)
+    return done
 
 
 def prepare_source(spark: SparkSession, path: str, out_dir: str, fmt: str = "parquet",

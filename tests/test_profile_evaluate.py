@@ -109,12 +109,13 @@ def test_rollup_total_equals_overall(clean_rows):
         assert total[c] == pytest.approx(overall[c], abs=1e-12)
 
 
-def test_summary_of_many_distinct_values(spark):
+def test_summary_of_many_distinct_values(spark, monkeypatch):
     """A continuous column of as many values as rows, and uneven ones: equal to a plain nearest rank, no window over all values."""
     import math
 
     from notecodes.operators import profile
 
+    monkeypatch.setattr(profile.summary_of_counts, "__defaults__", ((), profile.PERCENTILES, 100))
     rows = spark.range(5000).selectExpr("id % 2 g", "case when id % 2 = 0 then sin(id) * id else (id div 10) * 1.0 end v", "cast(id as double) * id * id w")
     data = rows.collect()
 
@@ -138,6 +139,7 @@ def test_summary_of_few_and_equal_values(spark, n):
 
     rows = spark.range(n).selectExpr("cast(id % 3 as int) v")
     got = profile.numeric_summary(rows, "v").first()
+    assert got == profile.summary_in_parts(profile.value_counts(rows, "v")).first()
     values = sorted(r.v for r in rows.collect())
     assert [got[f"p{p}"] for p in profile.PERCENTILES] == [values[min(n - 1, round(p / 100 * (n - 1)))] for p in profile.PERCENTILES]
     assert got["count"] == n and got["min"] == values[0] and got["max"] == values[-1]
