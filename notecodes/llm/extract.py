@@ -6,8 +6,11 @@ with weights learned from labelled pages: pages whose markup has exactly one
 A tag that labelled pages have outside only is a barrier. One linear scan finds
 the contiguous region of the highest score (the first of equals) on every page, with
 article and main as keys like others; it is widened to
-the innermost element that holds it, and furniture inside it (menus,
-notices, adverts, forms, comments, by element or class name) is left out.
+the innermost element that holds it, and what has strongly negative words inside it is left out.
+
+Lists of element and class names (menus, notices, adverts, forms, reader comments) are only a prior: they judge
+keys that labelled pages have fewer than ``KNOWN_WORDS`` words of, and some of the names only elements
+without prose. What the prior calls furniture counts as outside in labelled pages.
 
 Weights are counts per key (element name with its first class) from all pages;
 keys rarer than ``LEAST_SHARE`` of the pages have the default weight, which bounds what reaches the
@@ -50,12 +53,22 @@ HEAD_TAGS = frozenset("title meta link base basefont bgsound noscript template h
 INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN = frozenset(["article", "main"])
-FURNITURE_TAGS = frozenset("nav footer aside form menu dialog".split())
+#: Names of elements that are no part of the main text, as a rule: a prior for keys that labelled pages tell too little of.
+FURNITURE_TAGS = frozenset("nav footer aside menu dialog".split())
 FURNITURE_NAMES = frozenset(
-    "ad ads advert advertisement advertising adbox banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer disqus "
-    "footer form header login masthead menu modal nav navbar navigation newsletter notice notification pager pagination paywall popup promo promoted "
-    "reactions reader-comments related replies search share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar topbar widget".split()
+    "ad ads advert advertisement advertising adbox breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer disqus "
+    "footer masthead menu nav navbar navigation newsletter notice pager pagination paywall reactions reader-comments replies "
+    "sidebar skip sponsor sponsored subscribe topbar".split()
 )
+#: The same for elements that are so unless they hold prose (a form around a whole page, a section on search).
+UNSURE_TAGS = frozenset(["form"])
+UNSURE_NAMES = frozenset("banner form header login modal notification popup promo promoted related search share sharing signup social tags toolbar widget".split())
+#: Prose: as many words at least, and a sentence's end for each so many of them.
+PROSE_WORDS, SENTENCE_WORDS = 20, 40
+#: Words in labelled pages from which a key's weights overrule the prior.
+KNOWN_WORDS = 30
+#: Words of keys with such odds (20 to 1 outside) are left out of the region, too.
+LEFT_OUT = -3.0
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -69,39 +82,48 @@ def _names(attributes: str) -> list[str]:
     return [n.lower() for m in _NAMES.finditer(attributes) for n in (m[1] or m[2] or m[3] or "").split()]
 
 
+_SENTENCE_END = re.compile(r"[.!?\u3002](?=[\s\"')\]]|$)")
+
+
 class Page:
-    """A parsed page: ``items`` are (is_word, key, text, furniture, main, container) in page order.
+    """A parsed page: ``items`` are (is_word, key, text, container) in page order.
 
-    ``key`` is the tag's own key, or that of a text's innermost container; ``main``
-    numbers the outermost article or main element (0: outside); ``container``
-    indexes ``parent``, each container's parent (0: the page, html or body).
+    ``key`` is the tag's own key, or that of a text's innermost container; ``container`` indexes the
+    elements that hold others: ``parent`` (0: the page, html or body; a parent comes before its children),
+    ``furniture`` (by the prior, itself or an element around it) and ``main`` (the number
+    of its outermost article or main element, 0: outside). ``known``: keys that the prior does not judge.
+    Parsing takes time linear in the page, however deeply its elements are nested.
     """
 
-    def __init__(self, source: str):
-        self.items: list[tuple[bool, str, str, bool, int, int]] = []
-        self.mains = 0
+    def __init__(self, source: str, known: frozenset[str] = frozenset()):
+        self.items: list[tuple[bool, str, str, int]] = []
         self.parent = [0]
-        opened: list[tuple[int, int]] = [(0, 0)]  # items and mains before each element of the stack
+        kinds: list[tuple[str, str, list[str]]] = [("", "page", [])]  # name, key and names of each container
+        gone: list[bool] = [False]
+        stack: list[tuple[str, str, int]] = [("", "page", 0)]  # name, key, container
+        opened: list[tuple[int, int]] = [(0, 0)]  # items and containers before each element of the stack
+        places: dict[str, list[int]] = {}  # of each name, where it is open in the stack
         head = 0  # place of an open head in the stack
 
         def leave(at: int) -> None:
             """Element ``at`` of the stack ends, and what is open in it."""
             nonlocal head
             if stack[at][0] in DROPPED:
-                del self.items[opened[at][0]:]
-                self.mains = opened[at][1]
+                items, containers = opened[at]
+                del self.items[items:]
+                gone[containers:] = [True] * (len(gone) - containers)
+            for name, _, _ in stack[at:]:
+                places[name].pop()
             del stack[at:], opened[at:]
             if head >= at:
                 head = 0
 
-        stack: list[tuple[str, str, bool, int, int]] = [("", "page", False, 0, 0)]  # name, key, furniture, main, container
         for m in _TOKEN.finditer(source):
             raw, closing, name, attributes, text = m[1], m[2], m[3], m[4], m[5]
             if text is not None:
                 if head and head == len(stack) - 1 and not text.isspace():
                     leave(head)
-                _, key, furniture, main, inside = stack[-1]
-                self.items.append((True, key, text, furniture, main, inside))
+                self.items.append((True, *stack[-1][1:2], text, stack[-1][2]))
                 continue
             if raw or name is None:
                 continue
@@ -109,57 +131,81 @@ class Page:
             if head and not closing and (name == "body" or (name not in HEAD_TAGS and stack[-1][0] in ("head", "title"))):
                 leave(head)
             if name in INLINE or name in VOID or name == "p" or (len(name) == 2 and name[0] == "h" and name[1].isdigit()):
-                self.items.append((False, closing + name, "", *stack[-1][2:]))
+                self.items.append((False, closing + name, "", stack[-1][2]))
                 continue
             if closing:
-                at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-                if at:
-                    self.items.append((False, "/" + stack[at][1], "", *stack[at][2:]))
+                if places.get(name):
+                    at = places[name][-1]
+                    self.items.append((False, "/" + stack[at][1], "", stack[at][2]))
                     leave(at)
                 else:
-                    self.items.append((False, "/" + name, "", *stack[-1][2:]))
+                    self.items.append((False, "/" + name, "", stack[-1][2]))
                 continue
-            if attributes.endswith("/") and (name in SLASHED or any(x[0] in FOREIGN for x in stack)):
+            if attributes.endswith("/") and (name in SLASHED or any(places.get(x) for x in FOREIGN)):
                 continue
             if name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack[-1][0] == name:
                 leave(len(stack) - 1)
             names = _names(attributes) if attributes else []
             key = f"{name}.{names[0]}" if names else name
-            _, _, furniture, main, inside = stack[-1]
-            furniture = (
-                furniture or name in FURNITURE_TAGS or (name == "header" and not main)
-                or (name not in MAIN and name not in ("body", "html") and not FURNITURE_NAMES.isdisjoint(names))
-            )
-            opened.append((len(self.items), self.mains))
-            if name in MAIN and not main and not furniture:
-                self.mains += 1
-                main = self.mains
+            inside = stack[-1][2]
+            opened.append((len(self.items), len(self.parent)))
             if name not in ("html", "body"):
                 self.parent.append(inside)
+                kinds.append((name, key, names))
+                gone.append(False)
                 inside = len(self.parent) - 1
-            stack.append((name, key, furniture, main, inside))
-            if name == "head" and not head and not any(x[0] == "body" for x in stack):
+            places.setdefault(name, []).append(len(stack))
+            stack.append((name, key, inside))
+            if name == "head" and not head and not places.get("body"):
                 head = len(stack) - 1
-            self.items.append((False, key, "", furniture, main, inside))
+            self.items.append((False, key, "", inside))
         if head:
             leave(head)
+        self._mark(kinds, gone, known)
+
+    def _mark(self, kinds: list[tuple[str, str, list[str]]], gone: list[bool], known: frozenset[str]) -> None:
+        """``furniture`` and ``main`` of the containers."""
+        many = len(self.parent)
+        words, ends = [0] * many, [0] * many
+        if any(name in UNSURE_TAGS or not UNSURE_NAMES.isdisjoint(names) for name, _, names in kinds):
+            for is_word, _, text, c in self.items:
+                if is_word:
+                    words[c] += len(text.split())
+                    ends[c] += len(_SENTENCE_END.findall(text))
+            for c in range(many - 1, 0, -1):
+                words[self.parent[c]] += words[c]
+                ends[self.parent[c]] += ends[c]
+        self.furniture, self.main, self.mains = [False] * many, [0] * many, 0
+        for c in range(1, many):
+            (name, key, names), up = kinds[c], self.parent[c]
+            own = False
+            if key not in known:
+                prose = words[c] >= PROSE_WORDS and ends[c] * SENTENCE_WORDS >= words[c]
+                if name not in MAIN:
+                    own = not FURNITURE_NAMES.isdisjoint(names) or (not prose and not UNSURE_NAMES.isdisjoint(names))
+                own = own or name in FURNITURE_TAGS or (name in UNSURE_TAGS and not prose) or (name == "header" and not self.main[up])
+            self.furniture[c] = own or self.furniture[up]
+            self.main[c] = self.main[up]
+            if name in MAIN and not self.main[c] and not self.furniture[c] and not gone[c]:
+                self.mains += 1
+                self.main[c] = self.mains
 
     def labelled(self) -> bool:
         """Whether article or main elements hold most words that are not furniture (a teaser does not)."""
         inside = outside = 0
-        for is_word, _, text, furniture, main, _ in self.items:
-            if is_word and not furniture:
+        for is_word, _, text, c in self.items:
+            if is_word and not self.furniture[c]:
                 n = len(text.split())
-                inside, outside = (inside + n, outside) if main else (inside, outside + n)
+                inside, outside = (inside + n, outside) if self.main[c] else (inside, outside + n)
         return inside > outside
 
     def around(self, containers: set[int]) -> int:
-        """The innermost container that holds all of ``containers``."""
-        both, *others = containers
-        for c in others:
-            while both != c:  # a parent comes before its children
-                both, c = min(both, c), self.parent[max(both, c)]
-        return both
+        """The innermost container that holds all of ``containers``: containers are numbered in page order, so
+        it is the one that holds the first and the last."""
+        a, b = min(containers), max(containers)
+        while a != b:  # a parent comes before its children
+            a, b = min(a, self.parent[b]), max(a, self.parent[b])
+        return a
 
     def within(self, container: int) -> set[int]:
         """``container`` and all containers in it (children come after their parents)."""
@@ -182,10 +228,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for source in part.column("html").to_pylist():
                 page = Page(source or "")
                 if page.mains == 1 and page.labelled():
-                    for is_word, key, text, _, main, _ in page.items:
+                    for is_word, key, text, c in page.items:
                         weight = len(text.split()) if is_word else 1
-                        if weight:
-                            seen[is_word, key[:80], main > 0] += weight
+                        if weight:  # what the prior calls furniture is outside also within an article
+                            seen[is_word, key[:80], page.main[c] > 0 and not page.furniture[c]] += weight
             keys = list(seen)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.bool_()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.bool_()), pa.array([seen[k] for k in keys], pa.int64())],
@@ -194,25 +240,30 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Weights:
-    """Word weights by container key and tag weights by tag key."""
+    """Word weights by container key and tag weights by tag key. Keys with words enough in labelled pages
+    have learned weights alone; the prior judges the others."""
 
     def __init__(self, counts: list[tuple[bool, str, int, int]]):
         self.word: dict[str, float] = {}
         self.tag: dict[str, float] = {}
+        self.known = frozenset(key for is_word, key, inside, outside in counts if is_word and inside + outside >= KNOWN_WORDS)
+        self.out: set[str] = set()
         for is_word, key, inside, outside in counts:
             odds = log((inside + 0.5) / (outside + 0.5))
             if is_word:
                 self.word[key] = max(-1.0, min(1.0, odds)) or 0.1
+                if odds <= LEFT_OUT and key in self.known:
+                    self.out.add(key)
             else:
                 self.tag[key] = -0.1 - max(0.0, min(1.0 if key.lstrip("/") in INLINE else 8.0, -odds))
 
     def region(self, page: Page) -> tuple[int, int]:
         """Bounds of the best-scoring run of items (empty when nothing scores above zero)."""
         best, bounds, run, begin = 0.0, (0, 0), 0.0, 0
-        for i, (is_word, key, text, furniture, _, _) in enumerate(page.items):
+        for i, (is_word, key, text, c) in enumerate(page.items):
             if is_word:
                 n = len(text.split())
-                score = n * (-1.0 if furniture else self.word.get(key, NEW_WORD)) if n else 0.0
+                score = n * (-1.0 if page.furniture[c] else self.word.get(key, NEW_WORD)) if n else 0.0
             else:
                 score = self.tag.get(key, NEW_TAG)
             if run <= 0:
@@ -223,22 +274,20 @@ class Weights:
         return bounds
 
     def main_text(self, source: str | None) -> str:
-        page = Page(source or "")
+        page = Page(source or "", self.known)
         a, b = self.region(page)
-        region = [x for x in page.items[a:b] if x[0] and not x[3] and x[2].strip()]
-        if region and (holder := page.around({x[5] for x in region})):
+        left_out = lambda x: page.furniture[x[3]] or (x[0] and x[1] in self.out)
+        region = [x for x in page.items[a:b] if x[0] and not left_out(x) and x[2].strip()]
+        if region and (holder := page.around({x[3] for x in region})):
             inner = page.within(holder)
-            items = [x for x in page.items if x[5] in inner]
+            items = [x for x in page.items if x[3] in inner]
         else:
             items = page.items[a:b]
         out = []
-        for is_word, key, text, furniture, _, _ in items:
-            if furniture:
-                if not is_word:
-                    out.append(" ")
-            elif is_word:
-                out.append(_decoded(text))
-            elif key.lstrip("/") not in INLINE:
+        for item in items:
+            if item[0] and not left_out(item):
+                out.append(_decoded(item[2]))
+            elif left_out(item) or item[1].lstrip("/") not in INLINE:
                 out.append(" ")
         return " ".join("".join(out).split())
 

@@ -524,6 +524,43 @@ def test_op9_open_and_self_closed_elements():
         assert " ".join("".join(x[2] for x in page.items).split()) == want, source
 
 
+def test_op9_learned_weights_overrule_the_lists(spark):
+    """List and weights disagree: a name of the list that labelled pages have inside, and one outside that no list has."""
+    told = " ".join(f"word{i}" for i in range(40))
+    more = "Engines answer queries from an index. " * 6
+    body = f"<article><p>{told}</p><section class=newsletter><p>{told}</p></section><div class=zzz><p>{told}</p></div></article>"
+    rows = [(i, "u", f"<body><div class=zzz>ten words of some kind or other stand here now</div><article><p>{told}</p></article>") for i in range(40)]
+    weights = extract.learn(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert "div.zzz" in weights.known and "section.newsletter" not in weights.known
+    assert "div.zzz" in weights.out and weights.main_text(body) == told
+    weights = extract.Weights([(True, "article", 900, 1), (True, "section.newsletter", 500, 1), (True, "div.zzz", 1, 900), (False, "section.newsletter", 9, 1)])
+    assert weights.main_text(body) == f"{told} {told}"
+    # pages wrapped in one form, and article sections with a name of the list, keep their text
+    weights = extract.Weights([(True, "article", 900, 1)])
+    assert weights.main_text(f"<form id=aspnetForm><nav>menu</nav><article><p>{more}</p></article></form>") == more.strip()
+    assert weights.main_text(f"<article><p>{told}</p><section class=search><p>{more}</p></section><div class=search>find <input></div><div class=comments><p>{more}</p></div></article>") == f"{told} {more.strip()}"
+
+
+def test_op9_deep_nesting_takes_linear_time():
+    import time
+
+    weights = extract.Weights([(True, "div", 5, 1)])
+    source = "<div>a</x>" * 7200 + "text </p></article>" * 200
+    began = time.time()
+    text = weights.main_text(source)
+    assert time.time() - began < 1.0 and text.count("text") == 200
+
+
+def test_op9_ties_repeats_and_long_pages(spark):
+    weights = extract.Weights([(True, "page", 50, 1), (False, "hr", 1, 900), (False, "p", 1, 1)])
+    page = extract.Page("a b<hr><hr>c d")
+    assert weights.region(page) == (0, 1)  # the first of equals
+    long = "word " * 300_000
+    rows = [(1, "u", f"<article><p>{long}</p></article>"), (1, "u", f"<article><p>{long}</p></article>"), (2, "v", "<p>x</p>"), (2, "v", "<p>x</p>")]
+    got = extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.text == long.strip(), r.n_chars) for r in got) == [(1, True, 1_499_999)] * 2 + [(2, False, 1)] * 2
+
+
 def test_op9_region_is_the_best_run():
     rng = random.Random(1)
     weights = extract.Weights([(True, "page", 50, 1), (False, "p", 1, 5), (False, "u", 3, 1)])
