@@ -2,17 +2,18 @@
 
 * Stated rules (host and path beginnings, allow or block) judge the urls that they fit;
   the longest one wins. Their verdicts label those urls.
-* FP-growth mines combinations of url tokens (host labels, domain, path
-  segments, file type, query names) with the labels over all labelled urls. Rules
+* Tokens (host labels, domain, path segments, file type, query names) that occur in the same labelled urls are one
+  class: any of them says as much as all of them, so combinations inside a class are not mined.
+* FP-growth mines combinations of token classes with the labels over all labelled urls. Rules
   ``tokens -> allow`` or ``tokens -> block`` of at least ``LEAST_CONFIDENCE`` and
   ``LEAST_SUPPORT`` are kept, without those that a rule on fewer of their tokens
   already makes with the same confidence.
-* Urls without a stated rule are matched by an inverted index, token -> rules: a
-  rule fits when as many tokens meet as it has. The most confident one gives the
+* Urls without a stated rule are matched by an inverted index, class -> rules: a
+  rule fits when a token of each of its classes is in the url. The most confident one gives the
   verdict (then more support, more tokens, first by name); without one it is the
   more frequent label.
 
-Urls of equal token sets are matched once. Frequent items and rules are bounded by the
+Urls of equal class sets are matched once. Frequent items and rules are bounded by the
 support threshold (a share of the labelled urls), not by the table.
 
 Defined cases: a null url and one without ``://`` have an empty host and path and no
@@ -74,8 +75,27 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     )))
 
 
+def token_classes(labelled: DataFrame, support: float = LEAST_SUPPORT) -> DataFrame:
+    """(token, class) of the tokens with enough support in (tokens, label); at most tokens a url / support rows.
+
+    Tokens of equal sets of urls (told apart by two 64-bit hashes of the sets) are one class, named by all of them.
+    """
+    total = labelled.count()
+    each = labelled.groupBy("tokens").agg(F.count("*").alias("c")).select(
+        "c", F.xxhash64("tokens").alias("x"), F.xxhash64(F.lit(1), "tokens").alias("y"), F.explode("tokens").alias("token"))
+    frequent = each.groupBy("token").agg(F.sum("c").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y")).where(F.col("n") >= F.lit(support * total))
+    classes = frequent.groupBy("n", "x", "y").agg(F.sort_array(F.collect_list("token")).alias("members"))
+    return classes.select(F.explode("members").alias("token"), F.array_join("members", "|").alias("class"))
+
+
+def classed(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(tokens, classes) of the distinct token sets ``sets`` (tokens): the classes that a token of theirs is in."""
+    met = sets.select("tokens", F.explode("tokens").alias("token")).join(F.broadcast(classes), "token")
+    return met.groupBy("tokens").agg(F.sort_array(F.collect_set("class")).alias("classes"))
+
+
 def mine(labelled: DataFrame, support: float = LEAST_SUPPORT, confidence: float = LEAST_CONFIDENCE) -> DataFrame:
-    """(rule_tokens, label, confidence, support) mined from (tokens, label)."""
+    """(rule_tokens, label, confidence, support) mined from (tokens, label); ``rule_tokens`` are what ``tokens`` hold: classes."""
     spark = labelled.sparkSession
     schema = "rule_tokens array<string>, label string, confidence double, support double"
     if labelled.isEmpty():
@@ -98,7 +118,7 @@ def mine(labelled: DataFrame, support: float = LEAST_SUPPORT, confidence: float
 
 
 def best_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(tokens, mined_rule, mined_verdict, confidence) of the token sets that a mined rule fits."""
+    """(tokens, mined_rule, mined_verdict, confidence) of the sets (tokens) that a mined rule fits."""
     named = rules.withColumn("name", F.array_join("rule_tokens", " "))
     index = named.select("name", "label", "confidence", "support", F.size("rule_tokens").alias("size"), F.explode("rule_tokens").alias("token"))
     met = (
@@ -121,8 +141,12 @@ def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, support
     labelled = base.where("stated IS NOT NULL").select("tokens", F.col("stated").alias("label"))
     said = {r["label"]: r["c"] for r in labelled.groupBy("label").agg(F.count("*").alias("c")).collect()}  # two rows
     default = max(("allow", "block"), key=lambda x: (said.get(x, 0), x == "allow"))
-    mined = staged(mine(labelled, support, confidence), "rules")
-    best = best_rules(base.where("stated IS NULL").select("tokens").distinct(), mined)
+    classes = staged(token_classes(labelled, support), "classes")
+    sets = staged(classed(base.select("tokens").distinct(), classes), "sets")
+    baskets = labelled.join(sets, "tokens", "left").select(F.coalesce("classes", F.array().cast("array<string>")).alias("tokens"), "label")
+    mined = staged(mine(baskets, support, confidence), "rules")
+    of_classes = best_rules(sets.select(F.col("classes").alias("tokens")).distinct(), mined).withColumnRenamed("tokens", "classes")
+    best = sets.join(of_classes, "classes").drop("classes")
     return base.join(best, (base["tokens"] == best["tokens"]) & base["stated"].isNull(), "left").select(
         "page_id", "host", "path", "rule", F.coalesce("stated", "mined_verdict", F.lit(default)).alias("verdict"), "mined_rule", "confidence"
     )

@@ -366,6 +366,45 @@ def test_op4_inverted_index_equals_set_inclusion(spark):
         assert got.get(s) == ((max(fits)[3], max(fits)[4]) if fits else None)
 
 
+def test_op4_shared_segments_do_not_explode(spark):
+    import itertools
+    import time
+
+    rng = random.Random(4)
+    shared = "/".join(f"s{k}" for k in range(25))
+    urls = [f"http://x.com/{rng.choice(['fr', 'de'])}/{shared}/{k}" for k in range(60)] + [f"http://y.net/{shared}/{k}" for k in range(3)] + ["http://y.net/s3", "http://y.net/q", None]
+    pages = spark.createDataFrame(list(enumerate(urls + urls[:2])), "page_id long, url string")  # repeated rows
+    began = time.time()
+    got = url_rules.judged(pages).collect()
+    assert time.time() - began < 60 and len(got) == len(urls) + 2
+    assert all(r.rule == f"com/{u.split('/')[3]}/" for r, u in zip(sorted(got), urls[:60]))
+
+    # verdicts and confidences equal plain set inclusion over all combinations of tokens
+    words = "abcdefg"
+    urls = []
+    for k in range(150):
+        some = [w for w in words if rng.random() < 0.5]
+        some += ["t1", "t2"] if "a" in some else []  # always together
+        urls.append(f"http://{rng.choice(['x.com', 'z.net'])}/{rng.choice(['fr', 'de'])}/" + "/".join(some))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    base = url_rules.with_host_and_path(pages)
+    tokens = {r.page_id: frozenset(r.t) for r in base.select("page_id", url_rules.tokens(F.col("url"), F.col("host"), F.col("path")).alias("t")).collect()}
+    stated = {k: ("allow" if "/fr/" in u else "block") for k, u in enumerate(urls) if "x.com" in u}
+    total, rules = len(stated), {}
+    for n in range(1, 6):
+        for some in itertools.combinations(sorted(set().union(*tokens.values())), n):
+            fits = [label for k, label in stated.items() if set(some) <= tokens[k]]
+            for label in ("allow", "block"):
+                if fits.count(label) >= 0.05 * total and fits.count(label) / len(fits) >= 0.6:
+                    rules[frozenset(some), label] = fits.count(label) / len(fits)
+    got = {r.page_id: r for r in url_rules.judged(pages, support=0.05).collect()}
+    for k in set(range(150)) - set(stated):
+        best = max((c for (some, _), c in rules.items() if some <= tokens[k]), default=None)
+        assert (got[k].confidence is None) == (best is None) and (best is None or got[k].confidence == pytest.approx(best)), urls[k]
+        if best is not None:
+            assert got[k].verdict in {label for (some, label), c in rules.items() if some <= tokens[k] and c == best}
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
