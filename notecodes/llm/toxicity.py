@@ -2,9 +2,9 @@
 
 * The lexicon is mined from labelled training texts: words, and stems
   (beginnings of words), that occur far more often in toxic texts.
-* Its trie is intersected with the Levenshtein automaton of distance 1, which
-  gives one deterministic automaton; a word is read once and yields its term
-  and distance. Tasks run it over all words of a slice at once (one table
+* Its trie is intersected with the Levenshtein automaton of distance 1 (letters put in, left out,
+  replaced, or two neighbours swapped), which gives one deterministic automaton; a word is read once
+  and yields its term and distance. A stem with an edit takes any rest of the word, too. Tasks run it over all words of a slice at once (one table
   lookup per character position).
 * Every hit is scored in its context window: a hit inside quotation marks
   within ``WINDOW`` characters counts as quoted, others as abuse. Fuzzy hits
@@ -12,8 +12,8 @@
 * A logistic model over these counts, fitted on the training sample with a
   prior for cases the sample lacks, gives the score.
 
-``TRAIN_ROWS`` bounds the labelled rows that the model is fitted on and
-``TERMS`` the lexicon; every document is scored over its whole text.
+``TRAIN_ROWS`` bounds the labelled rows that the model is fitted on, and so the lexicon: it has every term
+of the sample whose odds are significant, however rare or long. Every document is scored over its whole text.
 
 Defined cases: null and empty texts have no hits and get the model's base
 score. Without labels of both classes the lexicon is empty and the score is the
@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 from notecodes.llm import textnum as tn
 from notecodes.llm.common import held_out, kept_rows, labelled_sample, scored, setup, staged
 
-TRAIN_ROWS, TERMS, WINDOW = 30_000, 300, 48
+TRAIN_ROWS, WINDOW = 30_000, 48
 STEMS = (4, 5, 6)
 #: Shorter terms are matched exactly only.
 FUZZY_FROM = 5
-#: A term occurs in so many toxic training texts at least (and in that share of them), and so
-#: many times as often as in others.
-LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO = 6, 0.01, 30
+#: A term is so many times as frequent in toxic training texts as in others, at least, and its log-likelihood ratio
+#: against equal frequency (G squared) is so large: 6e-7 by chance, and few words are frequent enough to reach it.
+LEAST_RATIO, LEAST_G2 = 8.0, 25.0
 
 #: Log-odds from which a term's misspellings count like the term.
 TRUSTED = 2.0
@@ -97,8 +97,8 @@ def word_runs(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 class Automaton:
     """Lexicon trie x Levenshtein(1), made deterministic. ``step[state, class]``; state 0 is dead.
 
-    ``hit[state]``: 0 none, 1 exact, 2 one edit; ``term[state]``; ``final[state]``: a stem
-    is complete, so the rest of the word does not matter.
+    ``hit[state]``: 0 none, 1 exact, 2 one edit, 3 a stem with one edit and letters behind it; ``term[state]``;
+    ``final[state]``: a stem is complete, so the rest of the word does not matter.
     """
 
     classes: np.ndarray
@@ -138,34 +138,74 @@ def build_automaton(terms: list[tuple[str, bool]]) -> Automaton:
     for i, c in enumerate(alphabet):
         classes[ord(c)] = i + 1
 
+    # besides trie nodes, a state can hold a stem that was met with an edit (it stays, whatever follows), and
+    # a swap that waits for its second letter
+    many = len(alphabet)
+    place = {c: i for i, c in enumerate(alphabet)}
+    near_stem = lambda i: -1 - i
+    swap = lambda node, c: -1 - len(terms) - node * many - place[c]
+
     def closed(found: dict[int, int]) -> tuple[tuple[int, int], ...]:
         for node, edits in list(found.items()):
-            if edits == 0:  # a letter of the term is missing in the word
+            if node >= 0 and edits == 0:  # a letter of the term is missing in the word
                 for child in children[node].values():
                     found.setdefault(child, 1)
         return tuple(sorted(found.items()))
 
     def after(state: tuple[tuple[int, int], ...], c: str | None) -> tuple[tuple[int, int], ...]:
         found: dict[int, int] = {}
+        stems: list[int] = []
         for node, edits in state:
+            if node < -len(terms):
+                target, first = divmod(-1 - len(terms) - node, many)
+                if c == alphabet[first]:
+                    found.setdefault(target, 1)
+                continue
+            if node < 0:
+                stems.append(-1 - node)
+                continue
             if c is not None and c in children[node]:
                 child = children[node][c]
                 found[child] = min(edits, found.get(child, 2))
-            if edits == 0:  # a letter too many, or another letter
+            if edits == 0:  # a letter too many, or another letter, or two swapped
                 for other in (node, *children[node].values()):
                     found[other] = min(1, found.get(other, 2))
+                for first, child in children[node].items():
+                    if c is not None and first != c and c in children[child]:
+                        found[swap(children[child][c], first)] = 1
+            else:
+                stems += [i for i, stem in ends[node] if stem and len(terms[i][0]) >= FUZZY_FROM]
+        if stems:
+            found[near_stem(min(stems))] = 1  # the most frequent one
         return closed(found)
 
     def verdict(state: tuple[tuple[int, int], ...]) -> tuple[int, int, bool]:
         best = (0, 0, False)
         for node, edits in state:
-            for i, stem in ends[node]:
-                if edits == 0 or len(terms[i][0]) >= FUZZY_FROM:
-                    got = (1 + edits, i, stem and edits == 0)
-                    if not best[0] or got[0] < best[0]:
-                        best = got
+            if -len(terms) <= node < 0:
+                heard = [(3, -1 - node, False)]
+            elif node >= 0:
+                heard = [(1 + edits, i, stem and edits == 0) for i, stem in ends[node] if edits == 0 or len(terms[i][0]) >= FUZZY_FROM]
+            else:
+                continue
+            for got in heard:
+                if not best[0] or got[0] < best[0]:
+                    best = got
         return best
 
+    def letters(state: tuple[tuple[int, int], ...]) -> set[str]:
+        """Those that are not read like any other letter."""
+        out: set[str] = set()
+        for node, edits in state:
+            if node < -len(terms):
+                out.add(alphabet[(-1 - len(terms) - node) % many])
+            elif node >= 0:
+                out.update(children[node])
+                if edits == 0:
+                    for child in children[node].values():
+                        out.update(children[child])
+        return out
+
     ids: dict[tuple, int] = {(): 0, closed({0: 0}): 1}
     order = list(ids)
     rows, done = [np.zeros(len(alphabet) + 1, np.int32)], 1
@@ -181,7 +221,7 @@ def build_automaton(terms: list[tuple[str, bool]]) -> Automaton:
             return ids[target]
 
         row[:] = of(after(state, None))
-        for c in {c for node, _ in state for c in children[node]}:
+        for c in sorted(letters(state)):
             row[classes[ord(c)]] = of(after(state, c))
         rows.append(row)
     said = [verdict(s) for s in order]
@@ -207,18 +247,19 @@ def quoted(cps: np.ndarray, offsets: np.ndarray, start: np.ndarray, end: np.ndar
 
 @dataclass
 class Model:
-    """Lexicon, automaton and logistic weights; ``trust`` is each term's log-odds when misspelled."""
+    """Lexicon, automaton and logistic weights; ``trust`` is each term's log-odds when misspelled (row 0), and
+    when misspelled with letters behind it (row 1)."""
 
     terms: list[tuple[str, bool]]
     base: float = 0.0
     weights: np.ndarray = field(default_factory=lambda: np.zeros(7))
-    trust: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    trust: np.ndarray = field(default_factory=lambda: np.zeros((2, 0)))
 
     def __post_init__(self):
         self.automaton = build_automaton(self.terms)
 
     def hits(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, distance 0/1, quoted) of every hit, and the texts' word counts."""
+        """(text, term, kind, quoted) of every hit, and the texts' word counts. Kinds: 0 exact, 1 an edit, 2 a stem with an edit and a rest."""
         cps, bounds = code_points(data, offsets)
         start, end = word_runs(cps, bounds)
         state = self.automaton.read(cps, start, end)
@@ -232,12 +273,13 @@ class Model:
         n = len(offsets) - 1
         text, term, edits, in_quotes, words = self.hits(data, offsets)
         count = lambda pick: np.bincount(text[pick], minlength=n).astype(float)
+        trust = self.trust[np.maximum(edits - 1, 0), term] if self.trust.size else np.ones(len(term))
         # a misspelling that clean texts do not have counts like the term itself
-        trusted = (edits == 0) | (self.trust[term] >= TRUSTED if len(self.trust) else False)
+        trusted = (edits == 0) | (trust >= TRUSTED if self.trust.size else False)
         exact, exact_quoted = count(trusted & ~in_quotes), count(trusted & in_quotes)
         fuzzy = np.zeros(n)
         pick = ~trusted & ~in_quotes
-        np.maximum.at(fuzzy, text[pick], self.trust[term[pick]] if len(self.trust) else 1.0)
+        np.maximum.at(fuzzy, text[pick], trust[pick])
         return np.column_stack([
             np.ones(n), np.minimum(exact, 1), np.log1p(exact), np.minimum(exact_quoted, 1), np.log1p(exact_quoted),
             fuzzy, np.log1p(exact) / np.log(words + 10.0),
@@ -290,7 +332,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tn.slices(batch, "text", 4 << 20):
             counts = (Counter(), Counter())
             for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist()):
-                words = {w for w in _WORD.findall(text.lower()) if len(w) <= 24}
+                words = set(_WORD.findall(text.lower()))
                 stems = {w[:k] + "*" for k in STEMS for w in words if len(w) > k}
                 counts[label > 0].update(words | stems)
             terms = list(counts[1].keys() | counts[0].keys())
@@ -301,12 +343,18 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def mine_lexicon(sample: DataFrame, toxic: int, clean: int) -> list[tuple[str, bool]]:
-    """Terms that mark toxic texts, the most frequent first; a term that another one covers is left out."""
+    """Terms that mark toxic texts, the most frequent first; a term that another one covers is left out.
+
+    ``sample`` is bounded, and so are its terms.
+    """
+    t, c = F.col("toxic").cast("double"), F.col("clean").cast("double")
+    both = (t + c) / (toxic + clean)
+    part = lambda k, n: F.when(k > 0, k * F.log(k / (n * both))).otherwise(0.0)
+    g2 = 2 * (part(t, toxic) + part(c, clean) + part(toxic - t, toxic * (1 - both) / both) + part(clean - c, clean * (1 - both) / both))
     found = (
         sample.select("text", "label").mapInArrow(_term_counts, "term string, toxic long, clean long")
         .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where((F.col("toxic") >= max(LEAST_TEXTS, LEAST_SHARE * toxic)) & (F.col("toxic") * clean >= LEAST_RATIO * toxic * (F.col("clean") + 1)))
-        .orderBy(F.desc("toxic"), F.desc(F.length("term")), "term").limit(20 * TERMS).collect()
+        .where((t * clean >= LEAST_RATIO * toxic * c) & (F.col("toxic") > 1) & (g2 >= LEAST_G2)).collect()
     )
     rank = sorted(found, key=lambda r: (-r["toxic"], r["term"].endswith("*"), -len(r["term"]), r["term"]))
     # how often the most frequent longer term of a stem occurs (the whole word counts as longer)
@@ -324,7 +372,7 @@ def mine_lexicon(sample: DataFrame, toxic: int, clean: int) -> list[tuple[str, b
         if any(text.startswith(t) if s else t == text for t, s in kept):
             continue
         kept.append((text, stem))
-    return kept[:TERMS]
+    return kept
 
 
 def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, train_rows: int = TRAIN_ROWS) -> Model:
@@ -346,8 +394,9 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, train_r
                 data, offsets = tn.buffer_of(part.column("text"))
                 x = model.features(data, offsets)
                 text, term, edits, in_quotes, _ = model.hits(data, offsets)
-                pick = (edits == 1) & ~in_quotes
-                near = [np.unique(term[pick & (text == i)]).tolist() if pick.any() else [] for i in range(part.num_rows)]
+                pick = (edits > 0) & ~in_quotes
+                kind = (edits - 1) * len(terms) + term  # a place in ``trust``
+                near = [np.unique(kind[pick & (text == i)]).tolist() if pick.any() else [] for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("label"), pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(near, pa.list_(pa.int32()))], ["label", "x", "near"]
                 )
@@ -357,14 +406,15 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, train_r
     y = (got.column("label").to_numpy() > 0).astype(float)
     x = np.array(got.column("x").to_pylist())
     near = got.column("near").to_pylist()
-    seen = np.zeros((2, len(terms)))
+    seen = np.zeros((2, 2 * len(terms)))
     bare = x[:, 1] == 0  # an exact hit would take a fuzzy one's credit
     for label, terms_near, ok in zip(y.astype(int), near, bare):
         if ok:
             seen[label, terms_near] += 1
     # odds of the texts without an exact hit; what no text of the sample has is taken for a misspelling
-    model.trust = np.where(seen.sum(axis=0) == 0, TRUSTED, np.clip(np.log(seen[1] + 0.5) - np.log(seen[0] + 0.5), 0, 8))
-    x[:, 5] = [max((model.trust[t] for t in terms_near if model.trust[t] < TRUSTED), default=0.0) for terms_near in near]
+    trust = np.where(seen.sum(axis=0) == 0, TRUSTED, np.clip(np.log(seen[1] + 0.5) - np.log(seen[0] + 0.5), 0, 8))
+    model.trust = trust.reshape(2, len(terms))
+    x[:, 5] = [max((trust[t] for t in terms_near if trust[t] < TRUSTED), default=0.0) for terms_near in near]
     model.weights = fit_logistic(x, y, _PRIOR)
     return model
 

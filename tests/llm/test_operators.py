@@ -432,12 +432,86 @@ def test_op5_automaton_equals_edit_distance():
     ends = np.cumsum([len(w) for w in words])
     state = auto.read(cps, ends - [len(w) for w in words], ends)
     for w, s in zip(words, state):
-        found = []
-        for t, stem in terms:
-            near = min(edit_distance(t, w), 0 if stem and w.startswith(t) else 9)
-            if near <= (1 if len(t) >= toxicity.FUZZY_FROM else 0):
-                found.append(near)
-        assert auto.hit[s] == (1 + min(found) if found else 0), w
+        assert auto.hit[s] == verdict(w, terms), w
+
+
+def swapped_distance(a, b):
+    """Edit distance with swaps of neighbours (each letter is edited once)."""
+    d = [[max(i, j) if not i or not j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i, j in ((i, j) for i in range(1, len(a) + 1) for j in range(1, len(b) + 1)):
+        d[i][j] = min(d[i - 1][j] + 1, d[i][j - 1] + 1, d[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+        if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+            d[i][j] = min(d[i][j], d[i - 2][j - 2] + 1)
+    return d[-1][-1]
+
+
+def verdict(w, terms):
+    """0 none, 1 exact, 2 one edit, 3 a stem with one edit and a rest, by plain edit distances."""
+    found = [0]
+    for t, stem in terms:
+        most = 1 if len(t) >= toxicity.FUZZY_FROM else 0
+        near = swapped_distance(t, w)
+        if near == 0 or (stem and w.startswith(t)):
+            found.append(1)
+        elif near <= most:
+            found.append(2)
+        elif stem and most and any(swapped_distance(t, w[:k]) <= 1 for k in range(len(w))):
+            found.append(3)
+    return min([f for f in found if f], default=0)
+
+
+def test_op5_misspelt_stems_and_swaps():
+    import numpy as np
+
+    terms = [("moron", True), ("idiot", False), ("idiots", False), ("bad", True), ("stupid", True)]
+    auto = toxicity.build_automaton(terms)
+    rng = random.Random(3)
+    words = "m0rons m0ronic idoit id1ots moron morons mroon mroonic bda badly batly stupdi stpuidly st dumb idiotz odiit onrom".split()
+    for _ in range(1500):
+        w = list(rng.choice(terms)[0] + rng.choice(["", "", "s", "ic", "ion"]))
+        for _ in range(rng.randint(0, 2)):
+            i = rng.randrange(len(w))
+            if rng.random() < 0.4 and i + 1 < len(w):
+                w[i], w[i + 1] = w[i + 1], w[i]
+            else:
+                w[i: i + rng.randint(0, 1)] = rng.choice(["", "o", "m", "z", "t"])
+            w = w or ["q"]
+        words.append("".join(w))
+    data = "".join(words).encode()
+    cps, _ = toxicity.code_points(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    ends = np.cumsum([len(w) for w in words])
+    state = auto.read(cps, ends - [len(w) for w in words], ends)
+    got = auto.hit[state].tolist()
+    assert dict(zip(words, got)) == {w: verdict(w, terms) for w in words}
+    assert all(g > 0 for w, g in list(zip(words, got))[:9] if w != "bda")
+
+
+def test_op5_rare_and_long_terms(spark):
+    """Terms of twelve texts each (2.5% of the toxic ones), some of more than 24 letters, and their misspellings in texts that the model has not seen."""
+    rng = random.Random(21)
+    terms = ["".join(rng.choices("bcdfghjklmnpqrstvwz", k=n)) for n in [7, 8, 9, 10, 11, 12, 30, 40] * 5]
+    rows, marks = [], []
+    for i in range(2400):
+        toxic = i % 5 == 0
+        text = prose(rng, 60).split()
+        if toxic:
+            text.insert(rng.randrange(60), terms[i // 5 % len(terms)])
+        rows.append((i, " ".join(text)))
+        marks.append((i, 1, int(toxic)))
+    wrong = {}
+    for k, t in enumerate(terms):
+        w = list(t)
+        at = rng.randrange(1, len(w) - 2)
+        if k % 2:
+            w[at], w[at + 1] = w[at + 1], w[at]
+        else:
+            w[at] = "0"
+        wrong[5000 + k] = " ".join(prose(rng, 40).split() + ["".join(w)] + prose(rng, 20).split())
+    clean = {6000 + k: prose(rng, 60) for k in range(100)}
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(frame(spark, rows + list(wrong.items()) + list(clean.items())), labels).collect()}
+    assert sum(got[i] for i in wrong) >= 0.95 * len(wrong) and sum(got[i] for i in clean) <= 1
+    assert sum(got[i] != int(i % 5 == 0) for i, _ in rows) <= 5
 
 
 def test_op5_terms_of_all_scripts_match():
