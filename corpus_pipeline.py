@@ -8,6 +8,12 @@ columns of ``documents``.
 
 A stage's models are learned from the rows that it is given, with the labels of
 ``sf_dir`` whose id's remainder is not the held-out one.
+
+Defined cases: null and empty texts get their models' base scores and no group of copies; if they stay, they are
+packed as one end token. Very long texts are read whole and cut by packing only. Repeated rows of one id
+are one group, of which one row stays; of equal texts the smallest id stays; rows without an id are judged by
+themselves and all stay. Without labels no row is rejected as toxic, and quality scores are 0.5, which keeps a row. An empty
+table passes every stage and gives no sequences. Extra columns stay until packing, whatever their names.
 """
 
 from __future__ import annotations

@@ -333,6 +333,64 @@ def test_op3_every_language_of_a_document(spark):
     assert score[len(train)] < 0.3 and all(sorted(by[i].values())[-2] < 0.01 for i in range(150))
 
 
+def test_op3_equals_plain_em(spark):
+    """Counts, likelihoods, expectation-maximisation and the choice of languages word by word in plain Python."""
+    import math
+
+    rng = random.Random(8)
+    stems = {"aa": ("ba", "do", "ki"), "bb": ("szt", "ör", "ly"), "cc": ("çe", "ğı", "un")}
+    rows = [(i, prose(rng, 30, stems[x]), x, "s", 1, "x", "y", 7) for i in range(40) for x in [rng.choice(list(stems))]]
+    mixed = [(900 + k, " ".join(prose(rng, rng.randint(1, 25), stems[x]) for x in rng.sample(list(stems), rng.randint(1, 3))), None, "s", 1, "x", "y", 7) for k in range(25)]
+    tie = [(990, "zzz", None, "s", 1, "", "", 0), (991, "a1b2", "aa", "s", 1, "", "", 0), (992, prose(rng, 40_000, stems["bb"]), None, "s", 1, "", "", 0)]
+    rows += mixed + tie + mixed[:2]  # repeated rows
+
+    def mix(x):
+        for shift, by in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+            x = (x ^ x >> shift) * by % 2**64
+        return x ^ x >> 33
+
+    def grams(text):
+        for word in re.findall(rb"[a-z\x80-\xff]+", (text or "").lower().encode()):
+            b = [1, *word, 2]
+            yield [mix((b[i] | b[i + 1] << 8 | b[i + 2] << 16) + 1) >> 49 for i in range(len(word))]
+
+    counts = {x: [0.5] * langid.GRAMS for x in stems}
+    for i, text, lang, *_ in rows:
+        if lang and zlib.crc32(str(i).encode()) % 4 != 2:
+            for word in grams(text):
+                for g in word:
+                    counts[lang][g] += 1
+    logs = {x: [math.log(v / math.fsum(c)) for v in c] for x, c in counts.items()}
+    langs = sorted(stems)
+
+    def infer(text):
+        like = [[sum(logs[x][g] for g in word) for x in langs] for word in grams(text)]
+        like = [[math.exp(max(v - max(w), -60.0)) for v in w] for w in like]
+        alone = [math.fsum(math.log(max(w[j], 1e-26)) for w in like) for j in range(3)]
+        j = max(range(3), key=lambda j: alone[j])
+        share, value = [float(k == j) for k in range(3)], alone[j]
+        for k in (2, 3):
+            now = [math.fsum(s * v for s, v in zip(share, w)) for w in like]
+            gain = {j: math.fsum(math.log(max(a * (1 - 1 / k) + w[j] / k, 1e-26)) for a, w in zip(now, like)) for j in range(3) if not share[j]}
+            allowed = {j for j in range(3) if share[j]} | {max(gain, key=lambda j: (gain[j], -j))}
+            new = [1 / k if j in allowed else 0.0 for j in range(3)]
+            for _ in range(langid.ROUNDS):
+                r = [[s * v / max(math.fsum(a * b for a, b in zip(new, w)), 1e-300) for s, v in zip(new, w)] for w in like]
+                new = [math.fsum(x[j] for x in r) / len(like) for j in range(3)]
+            got = math.fsum(math.log(max(math.fsum(s * v for s, v in zip(new, w)), 1e-300)) for w in like) - (k - 1) * langid.PENALTY * math.log(len(like) + 1.0)
+            if got <= value:
+                break
+            share, value = new, got
+        return share
+
+    got = langid.languages(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(got) == len(rows)
+    for r, row in zip(sorted(got, key=lambda r: (r.doc_id, r.score)), sorted(rows, key=lambda r: r[0])):
+        want = infer(row[1])
+        assert r.lang_pred == langs[max(range(3), key=lambda j: want[j])] and r.score == pytest.approx(max(max(want), 1 / 3), abs=1e-6), r.doc_id
+        assert dict(r.mixture) == pytest.approx({x: s for x, s in zip(langs, want) if s > 0.005}, abs=1e-6)
+
+
 def test_op4_stated_and_mined_rules(spark):
     urls = [
         (1, "http://A.Example.ORG/es/x"), (2, "https://example.org/en/12"), (3, "https://example.org/en/2?q=/en/1"), (4, "http://x.com/fr/1#a"),
@@ -686,6 +744,38 @@ def test_op9_region_is_the_best_run():
         assert sum(score[a:b]) == pytest.approx(best)
 
 
+def test_pipeline_odd_rows_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(17)
+    rows, labels = labelled(spark, rng, 150)
+    odd = [(5000, None), (5001, ""), (5002, " \n"), (5003, prose(rng, 30_000)), (None, "no id here"), (None, None), (5004, rows[1][1]), (5005, rows[1][1]), (5004, rows[1][1])]
+    item = prose(rng, 20)
+
+    def write(at, docs, labels, items):
+        frame(spark, docs).write.parquet(f"{at}/documents.parquet")  # with columns score, kept, node
+        labels.select("doc_id", "quality", "toxic").write.parquet(f"{at}/labels.parquet")
+        spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
+
+    sf = str(tmp_path / "odd")
+    write(sf, rows + odd, labels, [(1, item), (2, None), (3, "")])
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf).cache()
+        assert docs.columns == DOCS.replace(",", "").split()[::2], name
+    ids = [r.doc_id for r in docs.collect()]
+    assert ids.count(5004) + ids.count(5005) + ids.count(1) <= 1 and len(ids) == len(set(ids) - {None}) + ids.count(None)
+    packed = corpus_pipeline.run(spark, sf).collect()
+    assert {r.doc_id for r in packed} == set(ids) and sum(r.length for r in packed if r.doc_id == 5003) > 2048
+
+    none = str(tmp_path / "none")
+    write(none, [], labels.limit(0), [])
+    assert corpus_pipeline.run(spark, none).count() == 0
+    unlabelled = str(tmp_path / "unlabelled")
+    write(unlabelled, rows[:20], labels.limit(0), [])
+    assert {r.doc_id for r in corpus_pipeline.run(spark, unlabelled).collect()} == {i for i, _ in rows[:20]}
+
+
 def test_pipeline_stages(spark, tmp_path):
     """The pipeline against its operators' brute-force counterparts on a small corpus."""
     import corpus_pipeline
