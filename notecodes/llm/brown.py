@@ -5,19 +5,24 @@ Tokens are words `[^\\x20\\x09-\\x0D]+` (A-Z lower-cased) and one end per text.
 
 * Counts: every distinct word of the training texts is counted by Spark (64-bit word
   hashes; the table grows with the corpus).
-* Units: words of at least ``UNIT_SHARE`` of all training tokens are units of their own;
-  all other words, unseen ones too, belong to the unit of their form (shape
-  and last three bytes, hashed to ``FORMS``), so every word has a class. There are at most
-  1 / UNIT_SHARE + FORMS units, whatever the corpus.
-* Exchange clustering assigns units to ``CLASSES`` classes: each round Spark counts
-  every unit's neighbour classes over all unit bigrams (a table of units x classes
-  comes back), and units, half of them a round, move to the class that raises the
-  bigram likelihood most. The start is a k-means over the neighbour counts.
-* Transitions are smoothed with the class unigram; within a class a token has
+* The classes' frame: words of at least ``UNIT_SHARE`` of all training tokens are units of their
+  own, all others stand together by form (last three bytes and a flag, hashed to ``FORMS``).
+  Exchange clustering assigns these bounded units to ``CLASSES`` classes: each half-round Spark
+  counts every unit's neighbour classes over all unit bigrams (a table of units x classes
+  comes back), and half of the units move to the class that raises the bigram likelihood most.
+  The start is a k-means over the neighbour counts; the end is where a round adds
+  less than ``LEAST_GAIN`` bits of mutual information between neighbouring classes.
+* Every other counted word, however rare, then gets a class of its own by the same gain: Spark gathers
+  each word's neighbour classes (two bytes an occurrence, dealt and sorted by word), to
+  which its form's neighbours count as ``PRIOR`` more occurrences. So the words with a class grow with
+  the corpus; unseen words have their form's class.
+* Transitions are counted with the classes of the looked-up words (below) and of the other words' forms, and smoothed
+  with the class unigram; within a class a token has
   (c + 0.5) / (class tokens + 0.5 * (class words + 1)), unseen words c = 0.
-* Scoring: words of at least ``KNOWN_SHARE`` of the training tokens (a bounded table) are looked
-  up inside the tasks. Each text's other words go to a join on the word with
-  the counts (no word there is frequent, so no key is hot) and back by text.
+* Scoring: words of at least ``KNOWN_SHARE`` of the training tokens (a bounded table of counts and classes) are
+  looked up inside the tasks. Each text's other words go to a join on the word with
+  the words' table (no counted word there is frequent) and back by text, and bigrams of two
+  such words to a join for either word.
 
 Defined cases: null and empty texts are one end token. Rows with the same id and
 text get equal results, one row each; rows of one id with different texts are scored by
@@ -38,14 +43,19 @@ from pyspark.sql import functions as F
 from notecodes.llm import textnum as tn
 from notecodes.llm.common import held_out, setup, staged
 
-UNIT_SHARE, KNOWN_SHARE = 1 / (1 << 13), 1 / (1 << 17)
-FORMS, CLASSES, ROUNDS, SMOOTH = 1024, 48, 6, 20.0
+UNIT_SHARE, KNOWN_SHARE = 1 / (1 << 13), 1 / (1 << 20)
+FORMS, CLASSES, SMOOTH, PRIOR = 1024, 48, 20.0, 2.0
+#: Exchange ends when two half-rounds add less than this many bits; the bound on half-rounds guards against cycles.
+LEAST_GAIN, MOST_TURNS = 0.0005, 40
+
+#: Codes of a neighbour's class in six bits; this one says that the neighbour's class is in the join.
+_JOINED = 63
 
 _SLICE = 4 << 20
 _FORM_SHIFT = np.uint64(64 - 10)
 
 # kinds of rows that carry a text's own values past the join
-_TOKENS, _KNOWN, _BASE, _MODEL, _COPIES = -1, -2, -3, -4, -5
+_TOKENS, _KNOWN, _BASE, _MODEL, _COPIES, _PAIR = -1, -2, -3, -4, -5, -6
 
 
 def _words(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, tn.Words]:
@@ -67,9 +77,8 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in tn.slices(batch, "text", _SLICE):
             data, _, words = _words(part)
-            unique, example, counts = np.unique(words.hash, return_index=True, return_counts=True)
-            form = forms_of(data, tn.Words(words.start[example], words.end[example], unique, words.first)) if len(unique) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), pa.array(form, pa.int32()), pa.array(counts, pa.int64())], ["word", "form", "n"])
+            unique, counts = np.unique(words.hash, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), pa.array(counts, pa.int64())], ["word", "n"])
 
 
 @dataclass
@@ -89,16 +98,21 @@ class Units:
         return np.where(self.words[at] == hashes, 1 + at, 1 + len(self.words) + forms)
 
 
-def _token_units(units: Units, data: np.ndarray, words: tn.Words) -> np.ndarray:
-    """Units of all tokens of a slice: each text's words, then its end (0)."""
+def _tokens(words: tn.Words, values: np.ndarray, end) -> np.ndarray:
+    """The words' values with each text's end put in."""
     ends = words.first[1:] + np.arange(len(words.first) - 1)
-    out = np.zeros(len(words.hash) + len(ends), np.int64)
+    out = np.full(len(values) + len(ends), end, values.dtype)
     is_word = np.ones(len(out), bool)
     is_word[ends] = False
-    out[is_word] = units.of(words.hash, forms_of(data, words)) if len(words.hash) else 0
+    out[is_word] = values
     return out
 
 
+def _token_units(units: Units, data: np.ndarray, words: tn.Words) -> np.ndarray:
+    """Units of all tokens of a slice: each text's words, then its end (0)."""
+    return _tokens(words, units.of(words.hash, forms_of(data, words)) if len(words.hash) else np.zeros(0, np.int64), 0)
+
+
 def _bigrams(units: Units):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -156,15 +170,19 @@ def first_classes(near: np.ndarray, many: int, rounds: int = 12, seed: int = 3)
     return classes
 
 
-def exchange(classes: np.ndarray, near: np.ndarray, many: int, turn: int) -> np.ndarray:
-    """One exchange round: units whose turn it is move to the class that raises
-    sum N(c, d) log(N(c, d) / (N(c) N(d))) most, other units held."""
-    follows, before = near[:, :many], near[:, many:]
+def gains(classes: np.ndarray, near: np.ndarray, many: int) -> np.ndarray:
+    """What one neighbour (rows: classes after, then classes before) adds to the score of each class (columns)."""
     joint = np.zeros((many, many))
-    np.add.at(joint, classes, follows)
+    np.add.at(joint, classes, near[:, :many])
     total = joint.sum(axis=1) + 1e-9
     gain = np.log((joint + 0.1) / (total[:, None] * total[None, :] / total.sum() + 0.1))
-    score = follows @ gain.T + before @ gain
+    return np.vstack([gain.T, gain])
+
+
+def exchange(classes: np.ndarray, near: np.ndarray, many: int, turn: int) -> np.ndarray:
+    """One exchange round: units whose turn it is move to the class that raises
+    sum N(c, d) log(N(c, d) / (N(c) N(d))) most, other units held."""
+    score = near @ gains(classes, near, many)
     score[:, 0] = -np.inf  # the end keeps its class
     best = score.argmax(axis=1)
     out = classes.copy()
@@ -175,102 +193,265 @@ def exchange(classes: np.ndarray, near: np.ndarray, many: int, turn: int) -> np.
     return out
 
 
+def information(classes: np.ndarray, near: np.ndarray, many: int) -> float:
+    """Bits of mutual information between neighbouring classes."""
+    joint = np.zeros((many, many))
+    np.add.at(joint, classes, near[:, :many])
+    p = joint / max(joint.sum(), 1)
+    alone = p.sum(axis=1)[:, None] * p.sum(axis=0)[None, :]
+    return float((p[p > 0] * np.log2(p[p > 0] / alone[p > 0])).sum())
+
+
+def clustered(bigrams: DataFrame, size: int, many: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the units and their neighbour counts, when exchange no longer gains."""
+    spread = (tn.mix64(np.arange(size, dtype=np.uint64)) % np.uint64(many - 1)).astype(np.int64) + 1
+    spread[0] = 0
+    classes = first_classes(neighbour_counts(bigrams, size, spread, many), many)
+    near = neighbour_counts(bigrams, size, classes, many)
+    bits, best = [information(classes, near, many)], (classes, near)
+    for turn in range(MOST_TURNS):
+        classes = exchange(classes, near, many, turn)
+        near = neighbour_counts(bigrams, size, classes, many)
+        bits.append(information(classes, near, many))
+        if bits[-1] >= max(bits):
+            best = classes, near
+        if turn and bits[-1] - bits[-3] < LEAST_GAIN:
+            break
+    return best
+
+
+def _contexts(units: Units, classes: np.ndarray):
+    """(word, form, near) of a slice's words that are no units: two bytes an occurrence, the classes after and before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tn.slices(batch, "text", _SLICE):
+                data, _, words = _words(part)
+                unit = _token_units(units, data, words)
+                token = classes[unit]
+                at = np.flatnonzero(unit > len(units.words))
+                if not len(at):
+                    continue
+                hashes = words.hash[at - np.cumsum(unit == 0)[at]]  # a token's place less the ends before it
+                order = np.argsort(hashes, kind="stable")
+                at, hashes = at[order], hashes[order]
+                near = np.empty((len(at), 2), np.uint8)
+                near[:, 0], near[:, 1] = token[at + 1], np.where(at > 0, token[at - 1], 0)
+                begin = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+                offsets = np.append(begin, len(at)).astype(np.int32) * 2
+                lists = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(near.tobytes())])
+                form = unit[at[begin]] - 1 - len(units.words)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[begin].view(np.int64)), pa.array(form, pa.int32()), lists], ["word", "form", "near"])
+
+    return run
+
+
+def _assigned(weights: np.ndarray, prior: np.ndarray, many: int):
+    """(word, n, class) from rows sorted by word; one word's sums at a time pass from batch to batch."""
+
+    def chosen(word: np.ndarray, form: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
+        score = (near + prior[form]) @ weights
+        score[:, 0] = -np.inf  # the end's own class
+        n = near[:, :many].sum(axis=1).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(word), pa.array(n), pa.array(score.argmax(axis=1), pa.int32())], ["word", "n", "class"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word, form = batch.column("word").to_numpy(), batch.column("form").to_numpy()
+            lists = batch.column("near")
+            offsets = np.frombuffer(lists.buffers()[1], np.int32)[lists.offset: lists.offset + len(lists) + 1].astype(np.int64)
+            near = np.frombuffer(lists.buffers()[2], np.uint8)[offsets[0]: offsets[-1]].astype(np.int64)
+            new = np.concatenate(([True], word[1:] != word[:-1]))
+            of = np.repeat(np.cumsum(new) - 1, np.diff(offsets) // 2) * 2 * many
+            size = int(new.sum())
+            total = np.bincount(np.concatenate([of + near[0::2], of + many + near[1::2]]), minlength=size * 2 * many).reshape(size, 2 * many).astype(float)
+            word, form = word[new], form[new]
+            if held is not None:
+                if held[0][0] == word[0]:
+                    total[0] += held[2][0]
+                else:
+                    yield chosen(*held)
+            if size > 1:
+                yield chosen(word[:-1], form[:-1], total[:-1])
+            held = word[-1:], form[-1:], total[-1:]
+        if held is not None:
+            yield chosen(*held)
+
+    return run
+
+
 @dataclass
 class Model:
-    """Everything a task needs; all tables are bounded by UNIT_SHARE, KNOWN_SHARE, FORMS and CLASSES."""
+    """Everything a task needs; all tables are bounded by KNOWN_SHARE, FORMS and CLASSES."""
 
-    units: Units
-    classes: np.ndarray
-    log_step: np.ndarray  # log10 P(class | class before)
-    log_size: np.ndarray  # log10 of each class's emission denominator
     known: np.ndarray  # sorted hashes of the words looked up in the tasks
     known_count: np.ndarray
+    known_class: np.ndarray
+    form_class: np.ndarray  # classes of unseen words
     tokens: int
     distinct: int
     ends: int
+    log_step: np.ndarray | None = None  # log10 P(class | class before); 0 beside _JOINED
+    log_size: np.ndarray | None = None  # log10 of each class's emission denominator
 
     @property
     def log_base(self) -> float:
         return float(np.log10(max(self.tokens + 0.5 * (self.distinct + 1), 0.5)))
 
+    def looked_up(self, data: np.ndarray, words: tn.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word: whether the table has it, where, and its class (else its form's)."""
+        form = forms_of(data, words) if len(words.hash) else np.zeros(0, np.int64)
+        if not len(self.known):
+            return np.zeros(len(form), bool), np.zeros(len(form), np.int64), self.form_class[form]
+        at = np.minimum(np.searchsorted(self.known, words.hash), len(self.known) - 1)
+        hit = self.known[at] == words.hash
+        return hit, at, np.where(hit, self.known_class[at], self.form_class[form])
+
+
+def _steps(shared, many: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(many * many, np.int64)
+        for batch in batches:
+            for part in tn.slices(batch, "text", _SLICE):
+                data, _, words = _words(part)
+                token = _tokens(words, shared.value.looked_up(data, words)[2], 0)
+                total += np.bincount(np.concatenate(([0], token[:-1])) * many + token, minlength=many * many)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["at", "n"])
+
+    return run
+
+
+def learn(train: DataFrame, counts: DataFrame) -> tuple[Model, DataFrame]:
+    """The model, and (word, n, class) of every counted word that is no unit.
 
-def learn(train: DataFrame, counts: DataFrame) -> Model:
-    """``train``: (text) of the training rows; ``counts``: (word, form, n) of all their words."""
+    ``train``: (text) of the training rows; ``counts``: (word, n) of all their words.
+    """
     ends = train.count()
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = int(sums["n"] or 0) + ends, int(sums["v"]) + (ends > 0)
-    known = counts.where(F.col("n") >= F.lit(tokens * KNOWN_SHARE)).select("word", "form", "n").toArrow()  # at most 1 / KNOWN_SHARE rows
-    word, n = known.column("word").to_numpy().view(np.uint64), known.column("n").to_numpy()
+    own = counts.where(F.col("n") >= F.lit(tokens * UNIT_SHARE)).select("word", "n").toArrow()  # at most 1 / UNIT_SHARE rows
+    word, n = own.column("word").to_numpy().view(np.uint64), own.column("n").to_numpy()
     order = np.argsort(word)
-    word, n = word[order], n[order]
-    units = Units(word[n >= tokens * UNIT_SHARE])
+    units, unit_n = Units(word[order]), n[order]
     bigrams = staged(train.mapInArrow(_bigrams(units), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "bigrams")
-    spread = 1 + tn.mix64(np.arange(units.size, dtype=np.uint64)).astype(np.int64) % (CLASSES - 1)
-    classes = np.where(np.arange(units.size) > 0, np.abs(spread) % (CLASSES - 1) + 1, 0)
-    classes = first_classes(neighbour_counts(bigrams, units.size, classes, CLASSES), CLASSES)
-    for turn in range(ROUNDS):
-        near = neighbour_counts(bigrams, units.size, classes, CLASSES)
-        if turn < ROUNDS - 1:
-            classes = exchange(classes, near, CLASSES, turn)
-    joint = np.zeros((CLASSES, CLASSES))
-    np.add.at(joint, classes, near[:, :CLASSES])
-    total = joint.sum(axis=0)
-    unigram = (total + 0.5) / (total.sum() + 0.5 * CLASSES)
+    classes, near = clustered(bigrams, units.size, CLASSES)
+    unit_class, form_class = classes[1: 1 + len(units.words)], classes[1 + len(units.words):]
+    form_near = near[1 + len(units.words):]
+    prior = PRIOR * form_near / np.maximum(form_near[:, :CLASSES].sum(axis=1, keepdims=True), 1)
+    words = staged(
+        train.mapInArrow(_contexts(units, classes), "word long, form int, near binary").repartition("word").sortWithinPartitions("word")
+        .mapInArrow(_assigned(gains(classes, near, CLASSES), prior, CLASSES), "word long, n long, class int"), "classes"
+    )
+    rest = words.where(F.col("n") >= F.lit(tokens * KNOWN_SHARE)).toArrow()  # at most 1 / KNOWN_SHARE rows
+    known = np.concatenate([units.words, rest.column("word").to_numpy().view(np.uint64)])
+    order = np.argsort(known)
+    model = Model(
+        known[order], np.concatenate([unit_n, rest.column("n").to_numpy()])[order],
+        np.concatenate([unit_class, rest.column("class").to_numpy()])[order].astype(np.int64), form_class, tokens, distinct, ends,
+    )
+    shared = train.sparkSession.sparkContext.broadcast(model)
+    got = train.mapInArrow(_steps(shared, CLASSES), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # pairs of classes
+    joint = np.zeros(CLASSES * CLASSES)
+    joint[got.column("at").to_numpy()] = got.column("n").to_numpy()
+    joint = joint.reshape(CLASSES, CLASSES)
+    unigram = (joint.sum(axis=0) + 0.5) / (joint.sum() + 0.5 * CLASSES)
     step = (joint + SMOOTH * unigram[None, :]) / (joint.sum(axis=1, keepdims=True) + SMOOTH)
-    # distinct words of each class: own words, and all others by form
-    others = counts.where(F.col("n") < F.lit(tokens * UNIT_SHARE)).groupBy("form").agg(F.count("*").alias("v")).toArrow()  # FORMS rows
-    words_in = np.zeros(CLASSES)
-    np.add.at(words_in, classes[1: 1 + len(units.words)], 1)
-    np.add.at(words_in, classes[1 + len(units.words) + others.column("form").to_numpy().astype(np.int64)], others.column("v").to_numpy())
-    return Model(units, classes, np.log10(step), np.log10(total + 0.5 * (words_in + 1)), word, n, tokens, distinct, ends)
+    model.log_step = np.zeros((_JOINED + 1, _JOINED + 1))
+    model.log_step[:CLASSES, :CLASSES] = np.log10(step)
+    total, words_in = np.zeros(CLASSES), np.zeros(CLASSES)
+    total[0] = ends
+    np.add.at(total, unit_class, unit_n)
+    np.add.at(words_in, unit_class, 1)
+    for row in words.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():  # CLASSES rows
+        total[row["class"]] += row["n"]
+        words_in[row["class"]] += row["v"]
+    model.log_size = np.log10(total + 0.5 * (words_in + 1))
+    return model, words
+
+
+def _keys(part: pa.RecordBatch) -> np.ndarray:
+    """A key of each row's id and text."""
+    ids = part.column("doc_id")
+    raw = tn.span_hashes(*_raw(part))
+    return tn.mix64(ids.fill_null(0).to_numpy().view(np.uint64) + raw * tn._MIX1 + np.asarray(ids.is_null()).astype(np.uint64))
+
+
+def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, begins, sizes) of the equal rows of ``columns``."""
+    order = np.lexsort(columns)
+    if not len(order):
+        return order, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([c[order][1:] != c[order][:-1] for c in columns])
+    begin = np.flatnonzero(new)
+    return order, begin, np.diff(np.append(begin, len(order)))
+
+
+def _scored(shared):
+    """Rows for the join: a text's words outside of the table with the classes around them, and the text's own sums."""
 
-
-def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
             for part in tn.slices(batch, "text", _SLICE // 4):
                 data, _, words = _words(part)
-                n, doc = part.num_rows, words.doc
-                ids = part.column("doc_id")
-                raw = tn.span_hashes(*_raw(part))
-                key = tn.mix64(ids.fill_null(0).to_numpy().view(np.uint64) + raw * tn._MIX1 + np.asarray(ids.is_null()).astype(np.uint64))
-                token = model.classes[_token_units(model.units, data, words)]
-                before = np.concatenate(([0], token[:-1]))
-                step = model.log_step[before, token]
+                n, doc, key = part.num_rows, words.doc, _keys(part)
+                hit, at, own_class = model.looked_up(data, words)
+                token, sure = _tokens(words, own_class, 0), _tokens(words, hit, True)
+                seen_class = np.where(sure, token, _JOINED)
+                before = np.concatenate(([0], seen_class[:-1]))  # a text starts behind an end
                 bounds = words.first + np.arange(n + 1)
-                path = np.add.reduceat(step, bounds[:-1]) if n else np.zeros(0)
-                ends = np.log10(model.ends + 0.5)
-                is_word = np.ones(len(token), bool)
-                is_word[bounds[1:] - 1] = False
-                at = np.minimum(np.searchsorted(model.known, words.hash), max(0, len(model.known) - 1))
-                hit = model.known[at] == words.hash if len(model.known) else np.zeros(len(at), bool)
+                path = np.add.reduceat(model.log_step[before, seen_class], bounds[:-1])
                 worth = np.zeros(len(at))
-                if len(model.known):
-                    worth[hit] = np.log10(model.known_count[at[hit]] + 0.5)
-                size = np.bincount(doc, weights=model.log_size[token[is_word]], minlength=n)
+                worth[hit] = np.log10(model.known_count[at[hit]] + 0.5)
                 seen = np.bincount(doc, weights=worth, minlength=n)
-                model_sum = path + seen - size  # the end is its class's only token
-                model_sum += ends - model.log_size[0]
+                size = np.bincount(doc[hit], weights=model.log_size[own_class[hit]], minlength=n)
+                ends = np.log10(model.ends + 0.5)
+                model_sum = path + seen - size + ends - model.log_size[0]
                 base_sum = seen + ends - (words.counts + 1) * model.log_base
                 known = np.bincount(doc, weights=hit, minlength=n) + (model.ends > 0)
                 rare = np.flatnonzero(~hit)
-                order = rare[np.lexsort((words.hash[rare], doc[rare]))]
-                h, d = words.hash[order], doc[order]
-                new = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1]))) if len(h) else np.zeros(0, bool)
-                begin = np.flatnonzero(new)
-                times = np.diff(np.append(begin, len(h)))
+                place = rare + doc[rare]  # in the tokens
+                around = (before[place] * 64 + seen_class[place + 1]) * 64 + own_class[rare]
+                order, begin, times = _groups(around, words.hash[rare], doc[rare])
+                first = rare[order][begin]
                 own = [(_TOKENS, words.counts + 1), (_KNOWN, known), (_BASE, base_sum), (_MODEL, model_sum), (_COPIES, np.ones(n))]
                 spread = tn.mix64(key + np.uint64(1)).view(np.int64)  # not a word: keeps these rows dealt out evenly
-                keys = np.concatenate([key[d[begin]], *(key for _ in own)]).view(np.int64)
-                hashes = np.concatenate([h[begin].view(np.int64), *(spread for _ in own)])
+                keys = np.concatenate([key[doc[first]], *(key for _ in own)]).view(np.int64)
+                hashes = np.concatenate([words.hash[first].view(np.int64), *(spread for _ in own)])
                 kinds = np.concatenate([times, *(np.full(n, k) for k, _ in own)]).astype(np.int32)
-                values = np.concatenate([np.zeros(len(begin)), *(v.astype(float) for _, v in own)])
-                id_values = pa.concat_arrays([pa.nulls(len(begin) + 4 * n, pa.int64()), ids])
+                values = np.concatenate([around[order][begin].astype(float), *(v.astype(float) for _, v in own)])
+                id_values = pa.concat_arrays([pa.nulls(len(first) + 4 * n, pa.int64()), part.column("doc_id")])
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(hashes), pa.array(kinds), pa.array(values), id_values], ["key", "word", "kind", "value", "doc_id"])
 
     return run
 
 
+def _pairs(shared):
+    """Bigrams of two words outside of the table: (key, before, word, times, form classes of both)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            for part in tn.slices(batch, "text", _SLICE // 4):
+                data, _, words = _words(part)
+                doc = words.doc
+                hit, _, own_class = model.looked_up(data, words)
+                at = np.flatnonzero(~hit[1:] & ~hit[:-1] & (doc[1:] == doc[:-1])) if len(hit) else np.zeros(0, np.int64)
+                order, begin, times = _groups(words.hash[at + 1], words.hash[at], doc[at])
+                first = at[order][begin]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(_keys(part)[doc[first]].view(np.int64)), pa.array(words.hash[first].view(np.int64)), pa.array(words.hash[first + 1].view(np.int64)),
+                    pa.array(times, pa.int32()), pa.array(own_class[first] * 64 + own_class[first + 1], pa.int32()),
+                ], ["key", "before", "word", "times", "forms"])
+
+    return run
+
+
 def _raw(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, offsets = tn.buffer_of(part.column("text"))
     return data, offsets[:-1], offsets[1:]
@@ -281,24 +462,38 @@ def scores(docs: DataFrame, mod: int = 5, rest: int = 1) -> DataFrame:
     setup(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     train = rows.where(~held_out("doc_id", mod, rest)).select("text")
-    counts = staged(
-        train.mapInArrow(_word_counts, "word long, form int, n long").groupBy("word").agg(F.first("form").alias("form"), F.sum("n").alias("n")), "counts"
-    )
-    model = learn(train, counts)
+    counts = staged(train.mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    model, words = learn(train, counts)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    others = words.where(F.col("n") < F.lit(model.tokens * KNOWN_SHARE)).select(F.col("word").alias("counted"), F.col("n").alias("c"), "class")
+    log_step, log_size = F.lit(model.log_step.ravel()), F.lit(model.log_size)
+    part = lambda c, at: F.shiftright(F.col(c), 6 * at).bitwiseAND(63)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _scored(shared.value)(batches)
-
-    found = rows.mapInArrow(run, "key long, word long, kind int, value double, doc_id long")
-    others = counts.where(F.col("n") < F.lit(model.tokens * KNOWN_SHARE)).select(F.col("word").alias("counted"), F.col("n").alias("c"))
+    found = rows.mapInArrow(_scored(shared), "key long, word long, kind int, value double, doc_id long").withColumn(
+        "around", F.when(F.col("kind") > 0, F.col("value").cast("int"))
+    )
     met = found.join(others.hint("shuffle_hash"), (F.col("word") == F.col("counted")) & (F.col("kind") > 0), "left")
-    worth = F.when(F.col("kind") > 0, F.col("kind") * F.log10(F.coalesce("c", F.lit(0)) + 0.5))
+    own = F.coalesce("class", part("around", 0))
+    met = met.select(
+        "key", "doc_id", "kind", "value", (F.col("kind") > 0).alias("is_word"), F.col("c"),
+        F.when(F.col("kind") > 0, F.col("kind") * (log_step[part("around", 2) * 64 + own] + log_step[own * 64 + part("around", 1)] - log_size[own])).alias("moved"),
+    )
+    pairs = rows.mapInArrow(_pairs(shared), "key long, before long, word long, times int, forms int")
+    pairs = (
+        pairs.join(others.hint("shuffle_hash"), F.col("before") == F.col("counted"), "left")
+        .select("key", "word", "times", "forms", F.coalesce("class", part("forms", 1)).alias("from_class"))
+        .join(others.hint("shuffle_hash"), F.col("word") == F.col("counted"), "left")
+        .select("key", (F.col("times") * log_step[F.col("from_class") * 64 + F.coalesce("class", part("forms", 0))]).alias("value"))
+        .groupBy("key").agg(F.sum("value").alias("value"))
+        .select("key", F.lit(None).cast("long").alias("doc_id"), F.lit(_PAIR).alias("kind"), "value", F.lit(False).alias("is_word"), F.lit(None).cast("long").alias("c"), F.lit(None).cast("double").alias("moved"))
+    )
     of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("value")))
-    per = met.groupBy("key").agg(
+    zero = F.lit(0.0)
+    per = met.unionByName(pairs).groupBy("key").agg(
         F.max("doc_id").alias("doc_id"), of(_COPIES).alias("copies"), of(_TOKENS).alias("n_tokens"),
-        (of(_KNOWN) + F.coalesce(F.sum(F.when((F.col("kind") > 0) & F.col("c").isNotNull(), F.col("kind"))), F.lit(0))).alias("n_known"),
-        F.coalesce(F.sum(worth), F.lit(0.0)).alias("worth"), of(_BASE).alias("base"), of(_MODEL).alias("model"),
+        (of(_KNOWN) + F.coalesce(F.sum(F.when(F.col("is_word") & F.col("c").isNotNull(), F.col("kind"))), F.lit(0))).alias("n_known"),
+        F.coalesce(F.sum(F.when(F.col("is_word"), F.col("kind") * F.log10(F.coalesce("c", F.lit(0)) + 0.5))), zero).alias("worth"), of(_BASE).alias("base"),
+        (of(_MODEL) + F.coalesce(of(_PAIR), zero) + F.coalesce(F.sum("moved"), zero)).alias("model"),
     )
     each = lambda c: F.col(c) / F.col("copies")
     return per.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 from math import log10
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,6 +298,84 @@ def test_op2_classes_learn_word_order(spark):
     assert got and all(r.score > r.base_score + 5 for r in got)
 
 
+def test_op2_score_equals_a_plain_class_model(spark, docs, monkeypatch):
+    """Classes of all counted words, transitions and scores by dicts; shares are set so that most words go through the joins."""
+    monkeypatch.setattr(brown, "UNIT_SHARE", 1 / 150)
+    monkeypatch.setattr(brown, "KNOWN_SHARE", 1 / 2000)
+    many = brown.CLASSES
+    train = [words_of(t) for i, t in corpus() if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = Counter(w for t in train for w in t)
+    tokens = sum(counts.values()) + len(train)
+
+    def of(word):
+        data, offsets = textnum.buffer_of(textnum.pa.array([word]))
+        found = textnum.words_of(data, offsets, textnum.NON_SPACE)
+        return int(found.hash[0]), int(brown.forms_of(data, found)[0])
+
+    key = {w: of(w) for t in [words_of(t) for _, t in corpus()] for w in t}
+    own = sorted((w for w, n in counts.items() if n >= tokens / 150), key=lambda w: key[w][0])
+    looked_up = {w for w, n in counts.items() if n >= tokens / 2000}
+    assert 5 < len(own) < len(looked_up) < len(counts)
+    unit = {w: 1 + own.index(w) if w in own else 1 + len(own) + key[w][1] for w in key} | {None: 0}
+    size = 1 + len(own) + brown.FORMS
+    pairs = Counter((unit[a], unit[b]) for t in train for a, b in zip([None, *t], [*t, None]))
+    frame_of = spark.createDataFrame([(a * size + b, n) for (a, b), n in pairs.items()], "pair long, n long")
+    classes, near = brown.clustered(frame_of, size, many)
+    weights = brown.gains(classes, near, many)
+
+    around = {w: np.zeros(2 * many) for w in counts}
+    for t in train:
+        line = [0, *(classes[unit[w]] for w in t), 0]
+        for k, w in enumerate(t):
+            around[w][line[k + 2]] += 1
+            around[w][many + line[k]] += 1
+    chosen = {}
+    for w in counts:
+        like = near[unit[w]]
+        score = (around[w] + brown.PRIOR * like / max(like[:many].sum(), 1)) @ weights
+        chosen[w] = classes[unit[w]] if w in own else 1 + int(score[1:].argmax())
+    assert any(chosen[w] != classes[unit[w]] for w in counts)
+    step = Counter()
+    for t in train:
+        line = [0, *(chosen[w] if w in looked_up else classes[unit[w]] for w in t), 0]
+        step.update(zip(line, line[1:]))
+    into, out_of = Counter(), Counter()
+    for (a, b), n in step.items():
+        into[b] += n
+        out_of[a] += n
+    total, kinds = Counter({0: len(train)}), Counter()
+    for w, n in counts.items():
+        total[chosen[w]] += n
+        kinds[chosen[w]] += 1
+
+    def score(t):
+        line = [0, *(chosen.get(w, classes[unit[w]]) for w in t), 0]
+        value = 0.0
+        for a, b, w in zip(line, line[1:], [*t, None]):
+            unigram = (into[b] + 0.5) / (tokens + 0.5 * many)
+            value += log10((step[a, b] + brown.SMOOTH * unigram) / (out_of[a] + brown.SMOOTH))
+            value += log10(((counts[w] if w else len(train)) + 0.5) / (total[b] + 0.5 * (kinds[b] + 1)))
+        return value
+
+    texts = dict(corpus())
+    for r in brown.scores(docs).collect():
+        assert r.score == pytest.approx(score(words_of(texts[r.doc_id])), rel=1e-9, abs=1e-9)
+
+
+def test_op2_exchange_stops_when_nothing_is_gained(spark, monkeypatch):
+    rng = random.Random(3)
+    size, many = 40, 6
+    rows = [((a * size) + b, 1 + 30 * ((a + 1) % 5 == b % 5) + rng.randint(0, 2)) for a in range(size) for b in range(size)]
+    table = spark.createDataFrame(rows, "pair long, n long")
+    turns = []
+    plain = brown.exchange
+    monkeypatch.setattr(brown, "exchange", lambda *a: turns.append(1) or plain(*a))
+    classes, near = brown.clustered(table, size, many)
+    assert classes[0] == 0 and (classes[1:] > 0).all() and 2 <= len(turns) < brown.MOST_TURNS
+    start = np.array([0, *(1 + i % (many - 1) for i in range(1, size))])
+    assert brown.information(classes, near, many) >= brown.information(start, brown.neighbour_counts(table, size, start, many), many) - 0.02
+
+
 def test_op3_languages(spark, none):
     rng = random.Random(3)
     stems = {"aa": ("ba", "do", "ki"), "bb": ("szt", "ör", "ly"), "cc": ("çe", "ğı", "un")}
