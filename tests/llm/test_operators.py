@@ -362,6 +362,18 @@ def test_op2_score_equals_a_plain_class_model(spark, docs, monkeypatch):
         assert r.score == pytest.approx(score(words_of(texts[r.doc_id])), rel=1e-9, abs=1e-9)
 
 
+def test_op2_nothing_to_learn_from(spark):
+    """Only held-out rows: every count is 0, and the scores are those of an empty vocabulary."""
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1][:4]
+    texts = ["one two one", None, "", "w" * 40_000 + " x" * 2_000]
+    got = {r.doc_id: r for r in brown.scores(frame(spark, list(zip(ids, texts)))).collect()}
+    assert sorted(got) == ids
+    for i, t in zip(ids, texts):
+        r, n = got[i], len(words_of(t)) + 1
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (True, n, 0, 0)
+        assert r.base_score == pytest.approx(n * log10(0.5 / 0.5)) and r.score <= 0
+
+
 def test_op2_exchange_stops_when_nothing_is_gained(spark, monkeypatch):
     rng = random.Random(3)
     size, many = 40, 6
