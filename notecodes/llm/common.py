@@ -10,12 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notecodes.llm import textnum as tn
-from notecodes.session import scratch_path, ship_package
+from notecodes.session import bound_batches, scratch_path, ship_package
 
 #: Bits of the membership bitmaps sent to tasks: 2 MB whatever the input's size.
 BITMAP_BITS = 24
-#: Bytes of an Arrow batch, about (one row at least).
-BATCH_BYTES = 4 << 20
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -59,14 +57,9 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def setup(spark: SparkSession) -> None:
-    """Make the package importable on the executors, and bound the bytes of Arrow batches
-    (both sides of the pipe hold a batch; long rows would make them many times larger)."""
+    """Make the package importable on the executors, and bound the bytes of Arrow batches."""
     ship_package(spark)
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    said = spark.conf.get(key, None)
-    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said) if said else 0
-    if now <= 0 or now > BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
+    bound_batches(spark)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, mod: int, rest: int, bound: int) -> DataFrame:

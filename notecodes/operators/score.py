@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import replace
+from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
@@ -16,11 +17,14 @@ from notecodes.functions.codes import PYTHON_CODE_PATTERN, extract_codes
 from notecodes.functions.prompts import prompt_text, system_prompt
 from notecodes.functions.text import clean_text
 from notecodes.functions.tokens import approx_cut
-from notecodes.session import ship_package
+from notecodes.session import bound_batches, ship_package
 
 #: Generation settings that a request may bring along.
 SETTINGS = ("max_new_tokens", "temperature", "top_p", "do_sample", "num_beams")
 
+#: Predictors of different settings that a task holds at most; the one unused for longest goes first.
+KEPT_PREDICTORS = 256
+
 Predictor = Callable[[list[str]], list[str]]
 PredictorFactory = Callable[[PredictOptions], Predictor]
 
@@ -64,34 +68,34 @@ def batch_predict(df: DataFrame, factory: PredictorFactory = rule_predictor, opt
 
     The predictor is built once per task (a model load), then called on slices of
     ``batch_size`` prompts. Columns named in ``settings`` are a row's own
-    generation settings: one predictor per distinct setting. All columns of ``df`` travel
-    to Python and back, so pass the narrow ones. Nothing is collected.
+    generation settings: one predictor per distinct setting (of more than ``KEPT_PREDICTORS`` in a task,
+    one that was dropped is built anew when its setting comes again). All columns of ``df`` travel
+    to Python and back, so pass the narrow ones. They come in Arrow batches of a few MB, of which
+    only the prompts and the settings become Python values. Nothing is collected.
 
     With ``options.max_seq_length``, the predictor gets each prompt cut to that many tokens by
     ``cut`` (the tokenizer's plug point: ``(text, tokens) -> (text, was it cut)``), and a column ``was_cut`` says so.
     """
     ship_package(df.sparkSession)
+    bound_batches(df.sparkSession)
     batch = max(1, options.batch_size)
     most = options.max_seq_length
     schema = StructType(df.schema.fields + [StructField(out_col, StringType(), True)] + ([StructField("was_cut", BooleanType(), True)] if most else []))
     own = [c for c in settings if c in df.columns]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ready: dict[tuple, Predictor] = {}
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @lru_cache(KEPT_PREDICTORS)
         def predictor(values: tuple) -> Predictor:
-            if values not in ready:
-                ready[values] = factory(replace(options, **dict(zip(own, values))))
-            return ready[values]
+            return factory(replace(options, **dict(zip(own, values))))
 
-        for pdf in batches:
-            prompts = pdf[prompt_col].fillna("").tolist()
+        for part in batches:
+            prompts = [p or "" for p in part.column(prompt_col).to_pylist()]
             cuts = [cut(p, most) for p in prompts] if most else []
             if most:
                 prompts = [text for text, _ in cuts]
             # rows of equal settings are predicted together; answers keep the rows' order
             rows: dict[tuple, list[int]] = {}
-            for i, values in enumerate(zip(*(pdf[c].tolist() for c in own)) if own else [()] * len(prompts)):
+            for i, values in enumerate(zip(*(part.column(c).to_pylist() for c in own)) if own else [()] * len(prompts)):
                 rows.setdefault(values, []).append(i)
             preds = [""] * len(prompts)
             for values, at in rows.items():
@@ -99,9 +103,10 @@ def batch_predict(df: DataFrame, factory: PredictorFactory = rule_predictor, opt
                 for k in range(0, len(at), batch):
                     for i, x in zip(at[k:k + batch], predict([prompts[j] for j in at[k:k + batch]])):
                         preds[i] = str(x).strip()
-            yield pdf.assign(**{out_col: preds} | ({"was_cut": [was for _, was in cuts]} if most else {}))
+            new = [pa.array(preds, pa.string())] + ([pa.array([was for _, was in cuts], pa.bool_())] if most else [])
+            yield pa.RecordBatch.from_arrays(part.columns + new, schema.names)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
 def parse_predictions(df: DataFrame, raw_col: str = "raw_prediction") -> DataFrame:

@@ -112,6 +112,20 @@ def ship_package(spark: SparkSession) -> None:
     context._notecodes_shipped = True
 
 
+#: Bytes of an Arrow batch, about (one row at least).
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of the Arrow batches that go to Python (both sides of the pipe hold a batch,
+    and the default counts rows: long rows would make a batch many times larger)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    said = spark.conf.get(key, None)
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said) if said else 0
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def cluster_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
     """Settings sized for a run over ``input_bytes`` of raw notes on ``total_cores``.
 

@@ -7,12 +7,12 @@ import os
 
 from pyspark.sql import functions as F
 
-from notecodes.config import PrepareOptions
+from notecodes.config import PredictOptions, PrepareOptions
 from notecodes.operators import checks, score
 from notecodes.plans.prepare import load_or_prepare, prepare
-from notecodes.session import scratch_path
+from notecodes.session import BATCH_BYTES, scratch_path
 from notecodes.sources import fixtures, io
-from notecodes.streaming.score_stream import run_stream_once
+from notecodes.streaming.score_stream import STREAM_NOTES_SCHEMA, run_stream_once, score_micro_batch
 from tests.conftest import SF0001
 
 
@@ -92,3 +92,47 @@ def test_custom_predictor_is_built_once_per_task(spark):
     df = spark.createDataFrame([(i, f"p{i}") for i in range(10)], "example_id int, prompt_text string")
     out = score.batch_predict(df, factory)
     assert {r.prediction for r in out.collect()} == {"I10"}
+
+
+LONG = 100_000
+
+
+def long_notes(spark):
+    """24 MB of notes in one task, far fewer rows than an Arrow batch may have."""
+    return spark.range(240).coalesce(1).select(F.col("id").alias("row_no"), F.concat(F.repeat(F.lit("a"), LONG - 4), F.lpad(F.col("id").cast("string"), 4, "0")).alias("note"),
+                                               F.lit(None).cast("string").alias("instruction"))
+
+
+def chars_at_once():
+    """A factory whose predictor answers with the characters of all prompts of the call."""
+    return lambda options: lambda prompts: [str(sum(map(len, prompts)))] * len(prompts)
+
+
+def test_long_rows_of_a_stream_come_in_small_batches(spark):
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in STREAM_NOTES_SCHEMA.fields[3:]]
+    sink, quarantine = scratch_path(spark, "long-out"), scratch_path(spark, "long-bad")
+    score_micro_batch(long_notes(spark).select("*", *rest), 0, sink, quarantine, chars_at_once(), PredictOptions(batch_size=10_000))
+    got = spark.read.parquet(sink).select("row_no", "raw_prediction", F.length("note").alias("n")).collect()
+    assert sorted(r.row_no for r in got) == list(range(240)) and {r.n for r in got} == {LONG}
+    assert max(int(r.raw_prediction) for r in got) <= BATCH_BYTES + 2 * LONG
+
+
+def test_a_task_keeps_a_bounded_number_of_predictors(spark):
+    class Counted:
+        alive = 0
+
+        def __init__(self, options):
+            Counted.alive += 1
+            self.own = options.max_new_tokens
+
+        def __del__(self):
+            Counted.alive -= 1
+
+        def __call__(self, prompts):
+            return [f"{self.own} {Counted.alive}"] * len(prompts)
+
+    n = 3 * score.KEPT_PREDICTORS
+    rows = spark.range(2 * n).coalesce(1).select((F.col("id") % n).cast("int").alias("max_new_tokens"), F.lit("p").alias("prompt_text"))
+    got = [(r.max_new_tokens, *map(int, r.prediction.split())) for r in score.batch_predict(rows, Counted, settings=("max_new_tokens",)).collect()]
+    assert len(got) == 2 * n and all(mine == own for mine, own, _ in got)
+    assert max(alive for *_, alive in got) <= score.KEPT_PREDICTORS + 1
