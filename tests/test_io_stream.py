@@ -136,3 +136,11 @@ def test_a_task_keeps_a_bounded_number_of_predictors(spark):
     got = [(r.max_new_tokens, *map(int, r.prediction.split())) for r in score.batch_predict(rows, Counted, settings=("max_new_tokens",)).collect()]
     assert len(got) == 2 * n and all(mine == own for mine, own, _ in got)
     assert max(alive for *_, alive in got) <= score.KEPT_PREDICTORS + 1
+
+
+def test_long_prompts_are_cut_in_small_batches(spark):
+    rows_at_once = lambda options: lambda prompts: [f"{p[-1]} {len(p)} {len(prompts)}" for p in prompts]
+    prompts = long_notes(spark).select("row_no", F.concat(F.lit("b "), "note").alias("prompt_text"))
+    got = score.batch_predict(prompts, rows_at_once, PredictOptions(batch_size=10_000, max_seq_length=1)).select("row_no", "prediction", "was_cut").collect()
+    assert sorted(r.row_no for r in got) == list(range(240)) and all(r.was_cut and r.prediction.startswith("b 1 ") for r in got)
+    assert max(int(r.prediction.split()[2]) for r in got) <= BATCH_BYTES / LONG + 1
