@@ -144,3 +144,17 @@ def test_long_prompts_are_cut_in_small_batches(spark):
     got = score.batch_predict(prompts, rows_at_once, PredictOptions(batch_size=10_000, max_seq_length=1)).select("row_no", "prediction", "was_cut").collect()
     assert sorted(r.row_no for r in got) == list(range(240)) and all(r.was_cut and r.prediction.startswith("b 1 ") for r in got)
     assert max(int(r.prediction.split()[2]) for r in got) <= BATCH_BYTES / LONG + 1
+
+
+def test_long_prompts_are_predicted_in_small_batches(spark):
+    got = score.score_notes(long_notes(spark), chars_at_once(), PredictOptions(batch_size=10_000)).select("row_no", "raw_prediction").collect()
+    assert sorted(r.row_no for r in got) == list(range(240))
+    assert max(int(r.raw_prediction) for r in got) <= BATCH_BYTES + 2 * LONG
+
+
+def test_other_columns_come_back_as_they_are(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, CAST(NULL AS INT), 1.50BD, TIMESTAMP'2024-01-02 03:04:05', array('a', NULL), 'E11.9', true),
+                      (NULL, 7, NULL, NULL, NULL, NULL, NULL) AS t(k, small, price, at, words, prompt_text, flag)""")
+    got = score.batch_predict(df, lambda options: lambda prompts: prompts)
+    assert got.schema.fields[:-1] == df.schema.fields and sorted(got.drop("prediction").collect(), key=str) == sorted(df.collect(), key=str)
+    assert sorted(r.prediction for r in got.collect()) == ["", "E11.9"]
