@@ -56,7 +56,7 @@ HOT_SHARE = 1 / 4096
 #: Posting lists of more nodes that are still in several components are replaced by the exact way.
 LONG = 64
 
-_SIGNED = "doc_id long, n_shingles long, key1 long, key2 long, sig array<long>"
+_SIGNED = "doc_id long, n_shingles long, key1 long, key2 long, sig array<long>, code binary"
 
 
 def signature(shingles: np.ndarray, mult: np.ndarray, flip: np.ndarray) -> np.ndarray:
@@ -87,15 +87,17 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     sigs.append(signature(s, mult, flip))
             lengths = np.array([K if len(s) else 0 for s in sets])
             flat = np.concatenate(sigs).view(np.int64) if sigs else np.zeros(0, np.int64)
+            codes, at = (flat & 255).astype(np.uint8).tobytes(), np.cumsum(lengths).tolist()
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys[0].view(np.int64)),
-                 pa.array(keys[1].view(np.int64)), tn.list_array(flat, lengths, pa.int64())],
-                ["doc_id", "n_shingles", "key1", "key2", "sig"],
+                 pa.array(keys[1].view(np.int64)), tn.list_array(flat, lengths, pa.int64()),
+                 pa.array([codes[to - n: to] for to, n in zip(at, lengths.tolist())], pa.binary())],
+                ["doc_id", "n_shingles", "key1", "key2", "sig", "code"],
             )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, the set's 128-bit key and its signature (empty for an empty set)."""
+    """doc_id, n_shingles, the set's 128-bit key, its signature and the low byte of each coordinate (empty for an empty set)."""
     setup(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signed, _SIGNED)
 
@@ -143,20 +145,12 @@ def _enough_collisions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
 
-def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            low = (batch.column("sig").flatten().to_numpy().reshape(-1, K) & 255).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([r.tobytes() for r in low], pa.binary())], ["node", "code"])
-
-
 def colliding(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) with at least T equal coordinates. Coordinates are compared by
-    their low byte: the count can only be too high, so no pair is lost."""
-    codes = nodes.select("node", "sig").mapInArrow(_codes, "node long, code binary")
+    their low byte (``code``): the count can only be too high, so no pair is lost."""
     return (
-        pairs.join(codes.select(F.col("node").alias("a"), F.col("code").alias("ca")), "a")
-        .join(codes.select(F.col("node").alias("b"), F.col("code").alias("cb")), "b")
+        pairs.join(nodes.select(F.col("node").alias("a"), F.col("code").alias("ca")), "a")
+        .join(nodes.select(F.col("node").alias("b"), F.col("code").alias("cb")), "b")
         .select("a", "b", "ca", "cb").mapInArrow(_enough_collisions, "a long, b long")
     )
 
@@ -201,8 +195,12 @@ def wanted_sets(ids: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the similarity."""
-    sets = wanted_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs)
+    """The pairs (a, b) whose full shingle sets reach the similarity.
+
+    The sets are always shuffled to their pairs: behind a broadcast of few pairs, one task would hold
+    the Python worker that makes the sets and the one that compares them at the same time.
+    """
+    sets = wanted_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs).hint("merge")
     return (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -293,10 +291,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = staged(signatures(docs), "signed")
     classes = staged(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key1", "key2")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")),
+        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("code").alias("code")),
         "classes",
     )
-    nodes = classes.select("node", "n", "sig")
+    nodes = classes.select("node", "n", "sig", "code")
     lists = postings(nodes)
     hubs = lists.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.min_by("node", F.struct("n", "node")).alias("least")).where("hub < last").drop("last")
     shared = staged(lists.join(hubs, "key").select("key", "hub", "least", "node", "n"), "shared")

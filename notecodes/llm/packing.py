@@ -107,11 +107,13 @@ class ChunkEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
+        # hashes of the known chunks in ascending order, and the slot of each
+        self.known, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.first = np.zeros(1 << 14, np.int64)
 
-    def _learn(self, hashes: list[int], texts: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+        """``hashes`` ascend, and none of them is known."""
         ids = self.chunks(texts)
         lengths = np.array([len(i) for i in ids], np.int64)
         flat = np.fromiter((x for i in ids for x in i), np.uint32, int(lengths.sum()))
@@ -123,7 +125,8 @@ class ChunkEncoder:
         self.flat[self.used: self.used + len(flat)] = flat
         self.first[at + 1: at + n + 1] = self.used + np.cumsum(lengths)
         self.used += len(flat)
-        self.known.update(zip(hashes, range(at, at + n)))
+        place = np.searchsorted(self.known, hashes)
+        self.known, self.slot = np.insert(self.known, place, hashes), np.insert(self.slot, place, np.arange(at, at + n))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, first id of each text) of the slice's texts, without end ids."""
@@ -133,14 +136,16 @@ class ChunkEncoder:
         starts = starts[starts < len(data)]
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
         unique, example, which = np.unique(tn.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        slots = [self.known.get(h, -1) for h in unique.tolist()]
-        slot = np.array(slots, np.int64)
+        slot = np.full(len(unique), -1)
+        if len(self.known):
+            place = np.minimum(np.searchsorted(self.known, unique), len(self.known) - 1)
+            slot = np.where(self.known[place] == unique, self.slot[place], -1)
         new = np.flatnonzero(slot < 0)
         if len(new):
             raw = data.tobytes()
             a, b = starts[example[new]].tolist(), ends[example[new]].tolist()
             slot[new] = np.arange(len(self.known), len(self.known) + len(new))
-            self._learn(unique[new].tolist(), [raw[x:y].decode("utf-8", "replace") for x, y in zip(a, b)])
+            self._learn(unique[new], [raw[x:y].decode("utf-8", "replace") for x, y in zip(a, b)])
         slot = slot[which]
         begin, size = self.first[slot], self.first[slot + 1] - self.first[slot]
         to = np.cumsum(size)

@@ -10,10 +10,12 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from notecodes.llm import brown, decontaminate, extract, fingerprint, langid, neardup, packing, quality, textnum, toxicity, url_rules
+from notecodes.llm.common import staged
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, kept string, node long"
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -891,3 +893,24 @@ def test_pipeline_stages(spark, tmp_path):
     assert len(ids ^ good) <= 3 and not ids & {2001, 2002, 2003, 3000}
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()} == ids
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_pair_checks_hold_one_python_worker_a_task(spark):
+    texts = [(i, " ".join(f"w{(7 * i * j) % 11}x{j}" for j in range(40))) for i in range(1, 4)] + [(4, " ".join(f"w{(7 * j) % 11}x{j}" for j in range(40)))]
+    docs = staged(spark.createDataFrame(texts, "doc_id long, text string"), "t_docs")
+    nodes = staged(neardup.signatures(docs).withColumnRenamed("doc_id", "node"), "t_nodes")
+    pairs = staged(spark.createDataFrame([(4, 1), (4, 2), (3, 2)], "a long, b long"), "t_pairs")
+    near = neardup.colliding(pairs, nodes)
+    assert near._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    sure = neardup.confirmed(pairs, docs)
+    assert "BroadcastHashJoin" not in sure._jdf.queryExecution().executedPlan().toString()
+    assert {(r.a, r.b) for r in near.collect()} == {(r.a, r.b) for r in sure.collect()} == {(4, 1)}
+
+
+def test_known_chunks_take_few_bytes():
+    coder = packing.ChunkEncoder(packing.tokenizer_path())
+    texts = [" ".join(f"word{i * j} Other-{j}" for j in range(i % 7, 200)) for i in range(60)]
+    for part in (texts[:20], texts[10:50], texts[::-1]):
+        got = [ids.tolist() for ids in coder.texts(*textnum.buffer_of(pa.array(part)))]
+        assert got == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in part]
+    assert len(coder.known) > 1000 and coder.known.nbytes + coder.slot.nbytes == 16 * len(coder.known)
