@@ -14,10 +14,18 @@ from notecodes.session import bound_batches, scratch_path, ship_package
 
 #: Bits of the membership bitmaps sent to tasks: 2 MB whatever the input's size.
 BITMAP_BITS = 24
+#: Narrow rows of a staged table for which another file is worth while, when their number is known.
+FILE_ROWS = 100_000
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once in the shared folder and read back: later steps do not recompute it, and a lost executor loses nothing."""
+def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` written once in the shared folder and read back: later steps do not recompute it, and a lost executor loses nothing.
+
+    With ``rows`` (an upper bound of its rows), as many files as task slots or as ``FILE_ROWS`` asks for are written at most: each
+    file costs a local file system a process, and the next step a task.
+    """
+    if rows is not None:
+        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, rows // FILE_ROWS + 1))
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

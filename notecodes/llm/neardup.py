@@ -55,6 +55,8 @@ SIMILARITY = (75, 100)
 HOT_SHARE = 1 / 4096
 #: Posting lists of more nodes that are still in several components are replaced by the exact way.
 LONG = 64
+#: Narrow rows that a signature, or a pair with a set, counts for in the number of files.
+SET_ROWS = 100
 
 _SIGNED = "doc_id long, n_shingles long, key1 long, key2 long, sig array<long>, code binary"
 
@@ -215,8 +217,9 @@ def components(edges: DataFrame) -> DataFrame:
     each round (pointer jumping), so rounds grow with the logarithm of a chain's
     length. Each round is one written table.
     """
-    both = staged(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "edges")
-    labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("comp")), "labels")
+    rows = 2 * edges.count()  # of directed edges, and so of nodes, at most
+    both = staged(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "edges", rows)
+    labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("comp")), "labels", rows)
     while True:
         near = (
             both.join(labels.select(F.col("node").alias("b"), F.col("comp").alias("near")), "b")
@@ -227,7 +230,7 @@ def components(edges: DataFrame) -> DataFrame:
         step = staged(
             low.join(jump, "low", "left")
             .select("node", F.least("low", F.coalesce("far", "low")).alias("comp"), (F.least("low", F.coalesce("far", "low")) < F.col("comp")).alias("moved")),
-            "labels",
+            "labels", rows,
         )
         labels = step.select("node", "comp")
         if step.where("moved").isEmpty():
@@ -262,10 +265,11 @@ def rare_shingles(crowded: DataFrame, docs: DataFrame) -> DataFrame:
     the shared ones are ordered.
     """
     least, whole = SIMILARITY
+    rows = crowded.agg(F.sum("n")).first()[0] or 0  # of shingles
     posted = staged(
         crowded.join(wanted_sets(crowded.select(F.col("node").alias("id")), docs), "node")
         .select("node", "n", "comp", F.explode("shingles").alias("key")),
-        "crowded_sets",
+        "crowded_sets", rows,
     )
     shared = posted.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
     ordered = (
@@ -283,44 +287,46 @@ def rare_shingles(crowded: DataFrame, docs: DataFrame) -> DataFrame:
     small = lists.groupBy("key").agg(F.min("n").alias("least_n"))
     lists = lists.join(small, "key").where("NOT long OR 3 * (n + least_n) <= 7 * common").drop("least_n")
     mixed = lists.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    return staged(lists.join(mixed, "key").withColumn("common", F.expr("CASE WHEN long THEN common ELSE 2147483647 END")).drop("long"), "rare")
+    return staged(lists.join(mixed, "key").withColumn("common", F.expr("CASE WHEN long THEN common ELSE 2147483647 END")).drop("long"), "rare", rows)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     signed = staged(signatures(docs), "signed")
+    rows = signed.count()
     classes = staged(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key1", "key2")
         .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig"), F.first("code").alias("code")),
-        "classes",
+        "classes", SET_ROWS * rows,
     )
     nodes = classes.select("node", "n", "sig", "code")
+    posts = (K - T + 1) * nodes.count()
     lists = postings(nodes)
     hubs = lists.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.min_by("node", F.struct("n", "node")).alias("least")).where("hub < last").drop("last")
-    shared = staged(lists.join(hubs, "key").select("key", "hub", "least", "node", "n"), "shared")
+    shared = staged(lists.join(hubs, "key").select("key", "hub", "least", "node", "n"), "shared", posts)
 
     spokes = shared.select(F.explode(F.array("hub", "least")).alias("to"), "node").where("node <> to")
-    star = staged(colliding(spokes.select(F.greatest("node", "to").alias("a"), F.least("node", "to").alias("b")).distinct(), nodes), "star")
-    links = staged(confirmed(star, docs), "links")
+    star = staged(colliding(spokes.select(F.greatest("node", "to").alias("a"), F.least("node", "to").alias("b")).distinct(), nodes), "star", posts)
+    links = staged(confirmed(star, docs), "links", SET_ROWS * star.count())
     found = components(links)
 
     placed = shared.join(found, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
     lengths = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("length")).where("x < y").select("key", "length")
-    open_lists = staged(placed.join(lengths, "key"), "open")
+    open_lists = staged(placed.join(lengths, "key"), "open", posts)
     rest = staged(
-        colliding(across(open_lists.where(F.col("length") <= LONG).select("key", "node", "n", "comp", F.lit(2147483647).alias("common"))).join(star, ["a", "b"], "left_anti"), nodes), "rest"
+        colliding(across(open_lists.where(F.col("length") <= LONG).select("key", "node", "n", "comp", F.lit(2147483647).alias("common"))).join(star, ["a", "b"], "left_anti"), nodes), "rest", posts
     )
-    crowded = staged(open_lists.where(F.col("length") > LONG).select("node", "n", "comp").distinct(), "crowded")
+    crowded = staged(open_lists.where(F.col("length") > LONG).select("node", "n", "comp").distinct(), "crowded", rows)
     if not crowded.isEmpty():
         met = across(rare_shingles(crowded, docs)).join(star, ["a", "b"], "left_anti").join(rest, ["a", "b"], "left_anti")
         rest = rest.union(staged(colliding(met, nodes), "met"))
-    more = staged(confirmed(rest, docs), "more")
+    more = staged(confirmed(rest, docs), "more", SET_ROWS * rest.count())
     if not more.isEmpty():
         found = components(links.union(more))
 
     # every row of a document's id shares its component, also when its texts differ
     texts = signed.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "key1", "key2").join(classes.select("key1", "key2", "node"), ["key1", "key2"])
-    own = staged(texts.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last")), "own")
+    own = staged(texts.groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("last")), "own", rows)
     split = own.where("node < last").select("doc_id", F.col("node").alias("b"))
     if not split.isEmpty():
         through = texts.join(split, "doc_id").select(F.col("node").alias("a"), "b").where("a <> b")

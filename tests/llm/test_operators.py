@@ -895,6 +895,22 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_components_are_written_in_few_files(spark):
+    """Each file of a local file system costs the executor a process; small tables need one for each task slot at most."""
+    edges = spark.createDataFrame([(10 * i + j + 1, 10 * i + j) for i in range(300) for j in range(9)], "a long, b long")
+    told = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in told}
+    try:
+        for k, v in told.items():
+            spark.conf.set(k, v)
+        found = neardup.components(edges)
+        assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+        assert {r.node: r.comp for r in found.collect()} == {10 * i + j: 10 * i for i in range(300) for j in range(10)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_pair_checks_hold_one_python_worker_a_task(spark):
     texts = [(i, " ".join(f"w{(7 * i * j) % 11}x{j}" for j in range(40))) for i in range(1, 4)] + [(4, " ".join(f"w{(7 * j) % 11}x{j}" for j in range(40)))]
     docs = staged(spark.createDataFrame(texts, "doc_id long, text string"), "t_docs")
